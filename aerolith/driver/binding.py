@@ -141,14 +141,15 @@ class Binding:
             daily_rows=self.daily,
             summary_rows=self.summary,
             registry=self.registry,
-            tiebreak=(),
+            snapshot=True,
         )
 
     # Streams
 
     @cached_property
     def event_stream(self) -> DataFrame:
-        return self.stream_of(f"{self.sf_dir}/events.parquet")
+        # As a glob the path may be one file or a folder of files; a file source takes no bare file.
+        return self.stream_of(f"{self.sf_dir}/events.parque[t]")
 
     def stream_of(self, path: str) -> DataFrame:
         """Events files as a stream of readings with instants, as a watermark needs."""

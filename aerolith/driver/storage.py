@@ -205,7 +205,7 @@ def s11(b: Binding) -> DataFrame:
 
 @query(
     "s12_parse_delimited_message",
-    """SELECT epoch_ms(ts) AS time, user_id AS id, 1.0::double AS count, value + 5.0::double AS high,
+    """SELECT epoch_us(ts) // 1000 AS time, user_id AS id, 1.0::double AS count, value + 5.0::double AS high,
  value - 5.0::double AS low, value AS vwap FROM events""",
 )
 def s12(b: Binding) -> DataFrame:

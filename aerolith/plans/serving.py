@@ -62,6 +62,8 @@ def compare_columns(joined: DataFrame) -> DataFrame:
 class Serving:
     """Queries over the views. ``tiebreak`` orders readings of one station with equal times.
 
+    ``snapshot`` says that the live view holds one row per station, as the keyed sink keeps it;
+    otherwise the latest reading of each station is picked out first.
     Where a station is asked for, ``station_id=None`` through the ``*_all`` form answers for
     every station at once.
     """
@@ -72,9 +74,12 @@ class Serving:
     summary_rows: DataFrame | None = None
     registry: DataFrame | None = None
     tiebreak: Sequence[str] = ()
+    snapshot: bool = False
 
     def _latest(self, station_id: str | None = None, province: str | None = None) -> DataFrame:
         matched = filters.match_optional(self.realtime_rows, station_id=station_id, province=province)
+        if self.snapshot:
+            return matched.drop("_id")
         return latest.latest_per_key(matched, ["station_id"], ["timestamp"], self.tiebreak).drop("_id")
 
     def realtime(self, station_id: str | None = None, province: str | None = None) -> DataFrame:
