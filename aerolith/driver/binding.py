@@ -27,6 +27,14 @@ TIEBREAK = ("event_id",)
 AS_OF = "2024-01-31"
 MID_MONTH = "2024-01-16"
 
+# Declared columns of the tables used most, so no job runs to find them.
+_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 
 def query(name: str, sql: str | None = None) -> Callable:
     """Register ``fn(binding)`` under ``name`` with its oracle."""
@@ -46,7 +54,10 @@ class Binding:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        reader = self.spark.read
+        if name in _COLUMNS:
+            reader = reader.schema(_COLUMNS[name])
+        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def scratch(self, label: str) -> str:
         return run_dir(self.spark, label)
@@ -98,7 +109,7 @@ class Binding:
         return views.realtime_view(
             self.readings.drop("event_type", "date"), self.stations, TIEBREAK
         ).select("event_id", *[c for c in schemas.REALTIME_VIEW.names if c != "date"]).withColumn(
-            "date", day_string(F.col("timestamp"))
+            "date", day_string("timestamp")
         )
 
     @cached_property
@@ -133,16 +144,10 @@ class Binding:
             key, "date", "timestamp", *schemas.MEASURES
         )
 
-    @cached_property
-    def serving(self) -> Serving:
-        return Serving(
-            realtime_rows=self.realtime,
-            hourly_rows=self.hourly,
-            daily_rows=self.daily,
-            summary_rows=self.summary,
-            registry=self.registry,
-            snapshot=True,
-        )
+    def serving(self, *needed: str) -> Serving:
+        """Serving over the views named; the others are not built."""
+        rows = {name if name == "registry" else f"{name}_rows": getattr(self, name) for name in needed}
+        return Serving(**rows, snapshot=True)
 
     # Streams
 
@@ -180,7 +185,7 @@ def readings_of(events: DataFrame) -> DataFrame:
         "event_type",
         station_of("user_id").alias("station_id"),
         F.col("ts").alias("timestamp"),
-        day_string(F.col("ts")).alias("date"),
+        day_string("ts").alias("date"),
         F.col("value").alias("pm25"),
         (k.cast("int") * F.lit(0.5) - F.lit(5.0)).alias("temperature"),
         k.cast("double").alias("humidity"),

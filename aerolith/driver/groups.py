@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from aerolith.driver import oracle as o
 from aerolith.driver.binding import HOW, TIEBREAK, Binding, query
+from aerolith.functions.rules import alert_display, pm25_to_aqi_sql
 from aerolith.operators import complete, joins, latest, projections, ranking, rollups
 from aerolith.plans.serving import explode_alerts
-from aerolith.functions import alert_display, pm25_to_aqi
 from aerolith.sources.lake import union_readings
 
 ANCHOR = "2026-06-01"
@@ -110,9 +110,9 @@ def a1(b: Binding) -> DataFrame:
 
 @query("a2_peak_hour_latest", o.using("daily", "SELECT date, station_id, peak_aqi_hour FROM daily"))
 def a2(b: Binding) -> DataFrame:
-    peak = rollups.peak_hour(pm25_to_aqi(F.col("pm25")), F.hour("timestamp"))
+    peak = rollups.peak_hour(pm25_to_aqi_sql("pm25"), "hour(timestamp)")
     grouped = b.days.groupBy("date", "station_id").agg(peak.alias("peak_aqi_hour"))
-    return rollups._render_date(grouped)
+    return rollups.render_date(grouped)
 
 
 @query(
@@ -124,10 +124,10 @@ def a2(b: Binding) -> DataFrame:
     ),
 )
 def a3(b: Binding) -> DataFrame:
-    aqi = pm25_to_aqi(F.col("pm25"), "null")
-    peak = rollups.peak_hour(aqi, F.hour("timestamp"), tie="first", empty=0)
+    aqi = pm25_to_aqi_sql("pm25", "null")
+    peak = rollups.peak_hour(aqi, "hour(timestamp)", tie="first", empty=0)
     grouped = b.days.groupBy("date", "station_id").agg(peak.alias("peak_aqi_hour"))
-    return rollups._render_date(grouped)
+    return rollups.render_date(grouped)
 
 
 @query("a4_station_summary", o.using("summary", "SELECT * FROM summary"))
@@ -376,7 +376,7 @@ def t4(b: Binding) -> DataFrame:
     ),
 )
 def t5(b: Binding) -> DataFrame:
-    _, threshold = alert_display(F.col("alert_type"), F.col("level"))
+    _, threshold = alert_display()
     ratio = (F.col("value") / threshold).alias("ratio")
     alerts = explode_alerts(b.realtime).select("station_id", "alert_type", ratio)
     return alerts.orderBy(F.desc("ratio"), "station_id", "alert_type")

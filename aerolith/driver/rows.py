@@ -120,7 +120,7 @@ def p6(b: Binding) -> DataFrame:
 )
 def p7(b: Binding) -> DataFrame:
     return b.readings.select(
-        "event_id", rules.hour_key(F.col("station_id"), F.col("timestamp")).alias("_id")
+        "event_id", rules.hour_key("station_id", "timestamp").alias("_id")
     )
 
 
@@ -150,7 +150,7 @@ def p8(b: Binding) -> DataFrame:
     o.using("daily", "SELECT date, station_id, peak_aqi_hour FROM daily"),
 )
 def p10(b: Binding) -> DataFrame:
-    peak = F.max(F.struct(pm25_to_aqi(F.col("pm25")).alias("aqi"), F.hour("timestamp").alias("hour")))
+    peak = F.max(F.struct(pm25_to_aqi("pm25").alias("aqi"), F.hour("timestamp").alias("hour")))
     grouped = b.readings.groupBy("date", "station_id").agg(peak.alias("peak"))
     return grouped.withColumn("peak_aqi_hour", F.col("peak.hour")).drop("peak")
 
@@ -244,11 +244,11 @@ def f4(b: Binding) -> DataFrame:
     "f5_search",
     o.using(
         "stations",
-        "SELECT station_id, province, region FROM stations WHERE region = 'ASIA' AND lower(province) LIKE '%in%'",
+        "SELECT station_id, province, region FROM stations WHERE region = 'ASIA' AND contains(lower(province), 'n_1')",
     ),
 )
 def f5(b: Binding) -> DataFrame:
-    return filters.search(b.stations, "ASIA", "  IN ")
+    return filters.search(b.stations, "ASIA", "  N_1 ")
 
 
 @query(
@@ -261,7 +261,7 @@ def f5(b: Binding) -> DataFrame:
 )
 def f6(b: Binding) -> DataFrame:
     alerts = explode_alerts(b.realtime)
-    _, threshold = alert_display(F.col("alert_type"), F.col("level"))
+    _, threshold = alert_display()
     return filters.breaches(alerts.withColumn("threshold_exceeded", threshold)).select(
         "station_id", "alert_type", "value"
     )
@@ -307,9 +307,8 @@ def f10(b: Binding) -> DataFrame:
     ),
 )
 def x1(b: Binding) -> DataFrame:
-    pm25 = F.col("pm25")
     return _gappy(b).select(
-        "event_id", pm25_to_aqi(pm25).alias("aqi"), pm25_to_aqi(pm25, "null").alias("serving_aqi")
+        "event_id", pm25_to_aqi("pm25").alias("aqi"), pm25_to_aqi("pm25", "null").alias("serving_aqi")
     )
 
 
@@ -318,7 +317,7 @@ def x1(b: Binding) -> DataFrame:
     o.using("rated", "SELECT event_id, aqi_alert FROM rated"),
 )
 def x2(b: Binding) -> DataFrame:
-    return b.rated.select("event_id", aqi_alert(F.col("aqi_index")).alias("aqi_alert"))
+    return b.rated.select("event_id", aqi_alert("aqi_index").alias("aqi_alert"))
 
 
 @query(
@@ -330,7 +329,7 @@ def x2(b: Binding) -> DataFrame:
     ),
 )
 def x3(b: Binding) -> DataFrame:
-    t = F.col("temperature")
+    t = "temperature"
     return _gappy(b).select(
         "event_id",
         temp_alert(t).alias("temp_alert"),
@@ -347,7 +346,7 @@ def x3(b: Binding) -> DataFrame:
 )
 def x4(b: Binding) -> DataFrame:
     return _gappy(b).select(
-        "event_id", heat_index(F.col("temperature"), F.col("humidity")).alias("heat_index")
+        "event_id", heat_index("temperature", "humidity").alias("heat_index")
     )
 
 
@@ -361,7 +360,7 @@ def x4(b: Binding) -> DataFrame:
 def x5(b: Binding) -> DataFrame:
     return _gappy(b).select(
         "event_id",
-        weather_condition(F.col("pm25"), F.col("temperature")).alias("weather_condition"),
+        weather_condition("pm25", "temperature").alias("weather_condition"),
     )
 
 
@@ -372,7 +371,7 @@ def x5(b: Binding) -> DataFrame:
     ),
 )
 def x6(b: Binding) -> DataFrame:
-    return b.rated.select("event_id", aqi_category(F.col("aqi_index")).alias("aqi_category"))
+    return b.rated.select("event_id", aqi_category("aqi_index").alias("aqi_category"))
 
 
 @query(
@@ -385,7 +384,7 @@ def x6(b: Binding) -> DataFrame:
 )
 def x7(b: Binding) -> DataFrame:
     return b.rated.select(
-        "event_id", is_anomaly(F.col("aqi_alert"), F.col("temp_alert")).alias("is_anomaly")
+        "event_id", is_anomaly("aqi_alert", "temp_alert").alias("is_anomaly")
     )
 
 
@@ -399,11 +398,11 @@ def x7(b: Binding) -> DataFrame:
 )
 def x8(b: Binding) -> DataFrame:
     joined = joins.current_against_baseline(b.realtime, b.summary)
-    historical = pm25_to_aqi(F.col("historical_avg_pm25"), "null")
+    historical = pm25_to_aqi("historical_avg_pm25", "null")
     return joined.select(
         "station_id",
-        deviation(F.col("temperature"), F.col("historical_avg_temp"), 1).alias("temp_deviation"),
-        deviation(F.col("pm25"), F.col("historical_avg_pm25"), 2).alias("pm25_deviation"),
+        deviation("temperature", "historical_avg_temp", 1).alias("temp_deviation"),
+        deviation("pm25", "historical_avg_pm25", 2).alias("pm25_deviation"),
         (F.col("aqi_index") - historical).alias("aqi_deviation"),
     )
 
@@ -418,7 +417,7 @@ def x8(b: Binding) -> DataFrame:
     ),
 )
 def x9(b: Binding) -> DataFrame:
-    shown, threshold = alert_display(F.col("alert_type"), F.col("level"))
+    shown, threshold = alert_display()
     return explode_alerts(b.realtime).select(
         "station_id", shown.alias("shown"), threshold.alias("threshold")
     )
@@ -442,9 +441,9 @@ def x10(b: Binding) -> DataFrame:
     ),
 )
 def x11(b: Binding) -> DataFrame:
-    _, threshold = alert_display(F.col("alert_type"), F.col("level"))
-    ratio, percent = exceedance(F.col("value"), threshold)
-    return explode_alerts(b.realtime).select(
+    _, threshold = alert_display()
+    ratio, percent = exceedance("value", "threshold")
+    return explode_alerts(b.realtime).withColumn("threshold", threshold).select(
         "station_id", "alert_type", ratio.alias("ratio"), percent.alias("percent")
     )
 
@@ -461,8 +460,8 @@ def x11(b: Binding) -> DataFrame:
 )
 def x12(b: Binding) -> DataFrame:
     joined = joins.current_against_baseline(b.realtime, b.summary)
-    current, baseline = F.col("temperature"), F.col("historical_avg_temp")
-    shown = deviation_display(current, baseline, deviation(current, baseline, 1))
+    current, baseline = "temperature", "historical_avg_temp"
+    shown = deviation_display(current, baseline, rules.deviation_sql(current, baseline, 1))
     return joined.select(
         "station_id", *[c.alias(n) for c, n in zip(shown, ("direction", "worse", "ratio"), strict=True)]
     )
@@ -474,12 +473,11 @@ def x12(b: Binding) -> DataFrame:
  {o.half_up('-value', 1)} AS negative FROM events""",
 )
 def x14(b: Binding) -> DataFrame:
-    v = F.col("value")
     return b.events.select(
         "event_id",
-        half_up(v, 1).alias("one"),
-        half_up(v, 0).alias("whole"),
-        half_up(-v, 1).alias("negative"),
+        half_up("value", 1).alias("one"),
+        half_up("value", 0).alias("whole"),
+        half_up("-value", 1).alias("negative"),
     )
 
 
@@ -489,12 +487,11 @@ def x14(b: Binding) -> DataFrame:
  {o.half_away('-value', 1)} AS negative FROM events""",
 )
 def x15(b: Binding) -> DataFrame:
-    v = F.col("value")
     return b.events.select(
         "event_id",
-        half_away(v, 1).alias("one"),
-        half_away(v, 0).alias("whole"),
-        half_away(-v, 1).alias("negative"),
+        half_away("value", 1).alias("one"),
+        half_away("value", 0).alias("whole"),
+        half_away("-value", 1).alias("negative"),
     )
 
 
@@ -504,7 +501,7 @@ def x15(b: Binding) -> DataFrame:
   / 10.0::double AS one FROM (SELECT event_id, cast(round(value * 100) AS bigint) AS c FROM events)""",
 )
 def x16(b: Binding) -> DataFrame:
-    return b.events.select("event_id", half_even(F.col("value"), 1).alias("one"))
+    return b.events.select("event_id", half_even("value", 1).alias("one"))
 
 
 @query(
@@ -512,7 +509,7 @@ def x16(b: Binding) -> DataFrame:
     "SELECT event_id, date_trunc('hour', ts) AS hour_start FROM events",
 )
 def x19(b: Binding) -> DataFrame:
-    composed = rules.compose_timestamp(F.col("date"), F.hour("timestamp"))
+    composed = rules.compose_timestamp("date", "hour(timestamp)")
     return b.readings.select("event_id", composed.alias("hour_start"))
 
 
@@ -527,8 +524,8 @@ def x19(b: Binding) -> DataFrame:
 def x20(b: Binding) -> DataFrame:
     return b.rated.select(
         "event_id",
-        is_benign(F.col("aqi_alert")).alias("air_benign"),
-        is_benign(F.col("temp_alert")).alias("temp_benign"),
+        is_benign("aqi_alert").alias("air_benign"),
+        is_benign("temp_alert").alias("temp_benign"),
     )
 
 

@@ -21,7 +21,7 @@ def _first_station(b: Binding) -> str:
 
 @query("q1_realtime", o.using("realtime", f"SELECT {_REALTIME_COLUMNS} FROM realtime"))
 def q1(b: Binding) -> DataFrame:
-    return b.serving.realtime()
+    return b.serving("realtime").realtime()
 
 
 @query(
@@ -32,7 +32,7 @@ def q1(b: Binding) -> DataFrame:
     ),
 )
 def q1_province(b: Binding) -> DataFrame:
-    return b.serving.realtime(province=b.table("nation").agg(F.max("n_name")).first()[0])
+    return b.serving("realtime").realtime(province=b.table("nation").agg(F.max("n_name")).first()[0])
 
 
 @query(
@@ -44,7 +44,7 @@ def q1_province(b: Binding) -> DataFrame:
     ),
 )
 def q2(b: Binding) -> DataFrame:
-    return b.serving.realtime_series_all()
+    return b.serving("hourly").realtime_series_all()
 
 
 @query(
@@ -55,7 +55,7 @@ def q2(b: Binding) -> DataFrame:
     ),
 )
 def q2_station(b: Binding) -> DataFrame:
-    return b.serving.realtime_series(_first_station(b), 12)
+    return b.serving("hourly").realtime_series(_first_station(b), 12)
 
 
 @query(
@@ -68,7 +68,7 @@ def q2_station(b: Binding) -> DataFrame:
     ),
 )
 def q3(b: Binding) -> DataFrame:
-    return b.serving.hourly_all()
+    return b.serving("hourly").hourly_all()
 
 
 @query(
@@ -79,7 +79,7 @@ def q3(b: Binding) -> DataFrame:
     ),
 )
 def q3_date(b: Binding) -> DataFrame:
-    return b.serving.hourly_all("2024-01-15")
+    return b.serving("hourly").hourly_all("2024-01-15")
 
 
 @query(
@@ -91,12 +91,12 @@ def q3_date(b: Binding) -> DataFrame:
     ),
 )
 def q4(b: Binding) -> DataFrame:
-    return b.serving.daily_all("2024-01-05", "2024-01-25")
+    return b.serving("daily").daily_all("2024-01-05", "2024-01-25")
 
 
 @query("q5_provinces", o.using("summary", "SELECT * FROM summary"))
 def q5(b: Binding) -> DataFrame:
-    return b.serving.provinces()
+    return b.serving("summary").provinces()
 
 
 @query(
@@ -113,7 +113,7 @@ def q5(b: Binding) -> DataFrame:
     ),
 )
 def q6(b: Binding) -> DataFrame:
-    stats = b.serving.stats(HOW)
+    stats = b.serving("summary").stats(HOW)
     national = stats["national"].withColumnsRenamed(
         {"national_avg_temp": "avg_temp", "national_avg_pm25": "avg_pm25"}
     )
@@ -127,7 +127,7 @@ def q6(b: Binding) -> DataFrame:
 
 @query("q7_alerts", o.using("alerts", "SELECT * FROM alerts"))
 def q7(b: Binding) -> DataFrame:
-    return b.serving.alerts()
+    return b.serving("realtime").alerts()
 
 
 @query(
@@ -140,12 +140,12 @@ def q7(b: Binding) -> DataFrame:
 )
 def q7_province(b: Binding) -> DataFrame:
     province = b.table("nation").agg(F.min("n_name")).first()[0]
-    return b.serving.alerts(province, "aqi")
+    return b.serving("realtime").alerts(province, "aqi")
 
 
 @query("q8_compare", o.using("compare", "SELECT * FROM compare"))
 def q8(b: Binding) -> DataFrame:
-    return b.serving.compare_all()
+    return b.serving("realtime", "summary").compare_all()
 
 
 @query(
@@ -161,12 +161,12 @@ def q8(b: Binding) -> DataFrame:
     ),
 )
 def q9(b: Binding) -> DataFrame:
-    return b.serving.provinces_table(query=" A ", field="temp", direction="asc")
+    return b.serving("realtime").provinces_table(query=" A ", field="temp", direction="asc")
 
 
 @query("q9_last_updated", o.using("realtime", "SELECT max(timestamp) AS last_updated FROM realtime"))
 def q9_updated(b: Binding) -> DataFrame:
-    return b.serving.last_updated()
+    return b.serving("realtime").last_updated()
 
 
 @query(
@@ -180,7 +180,7 @@ def q9_updated(b: Binding) -> DataFrame:
     ),
 )
 def q10_compare(b: Binding) -> DataFrame:
-    return b.serving.city_compare()
+    return b.serving("realtime", "summary", "registry").city_compare()
 
 
 @query(
@@ -194,7 +194,7 @@ def q10_compare(b: Binding) -> DataFrame:
     ),
 )
 def q10_alerts(b: Binding) -> DataFrame:
-    return b.serving.city_alerts()
+    return b.serving("realtime", "registry").city_alerts()
 
 
 @query(
@@ -213,7 +213,7 @@ def q10_alerts(b: Binding) -> DataFrame:
     ),
 )
 def q10_stats(b: Binding) -> DataFrame:
-    stats = b.serving.city_stats(HOW)
+    stats = b.serving("summary", "registry").city_stats(HOW)
     national = stats["national"].withColumnsRenamed(
         {"national_avg_temp": "temp", "national_avg_aqi": "aqi"}
     )
@@ -237,7 +237,7 @@ def q10_stats(b: Binding) -> DataFrame:
     ),
 )
 def q11(b: Binding) -> DataFrame:
-    return b.serving.city_cards()
+    return b.serving("realtime", "registry").city_cards()
 
 
 def many_readings(b: Binding) -> Serving:

@@ -3,6 +3,9 @@
 ``half_up``    ties go towards +infinity    (display values, deviations)
 ``half_away``  ties go away from zero       (batch and hourly rollups)
 ``half_even``  ties go to the even digit    (national averages)
+
+Arguments are column names or SQL text. Each ``*_sql`` function gives the expression as text, so
+rules nest without a round trip to the JVM per operator and serve SQL functions as they are.
 """
 
 from __future__ import annotations
@@ -11,67 +14,82 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def half_up(x: Column, digits: int = 1) -> Column:
-    scale = 10.0**digits
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+def half_up_sql(x: str, digits: int = 1) -> str:
+    scale = f"{10.0**digits!r}D"
+    return f"(floor(({x}) * {scale} + 0.5D) / {scale})"
 
 
-def half_away(x: Column, digits: int) -> Column:
-    return F.round(x, digits)
+def half_away_sql(x: str, digits: int) -> str:
+    return f"round({x}, {digits})"
 
 
-def half_even(x: Column, digits: int) -> Column:
-    return F.bround(x, digits)
+def half_even_sql(x: str, digits: int) -> str:
+    return f"bround({x}, {digits})"
 
 
-_ROUNDERS = {"up": half_up, "away": half_away, "even": half_even}
+_ROUNDERS = {"up": half_up_sql, "away": half_away_sql, "even": half_even_sql}
 
 
-def _quotient(num: Column, den: Column) -> Column:
+def _floor_div(num: str, den: str) -> str:
     """Floor division of integers, null for a zero divisor."""
-    den = F.nullif(den, F.lit(0).cast("bigint"))
-    return F.call_function("div", num - F.pmod(num, den), den)
+    return f"((({num}) - pmod({num}, nullif({den}, 0L))) div nullif({den}, 0L))"
 
 
-def mean_of_sum(total: Column, n: Column, digits: int, ties: str = "away") -> Column:
+def mean_of_sum_sql(total: str, n: str, digits: int, ties: str = "away") -> str:
     """Rounded mean of a floating sum and a count."""
-    return _ROUNDERS[ties](F.try_divide(total, n), digits)
+    return _ROUNDERS[ties](f"try_divide({total}, {n})", digits)
 
 
-def mean_of_units(units: Column, n: Column, digits: int, scale: int, ties: str = "away") -> Column:
+def mean_of_units_sql(units: str, n: str, digits: int, scale: int, ties: str = "away") -> str:
     """Rounded mean of an integer sum of 10**-scale units: exact, whatever the row order was."""
-    step = F.lit(10 ** (scale - digits)).cast("bigint")
-    unit = step * n
-    two = F.lit(2).cast("bigint")
+    unit = f"{10 ** (scale - digits)}L * {n}"
     if ties == "up":
-        rounded = _quotient(two * units + unit, two * unit)
+        rounded = _floor_div(f"2L * {units} + {unit}", f"2L * {unit}")
     elif ties == "away":
-        size = _quotient(two * F.abs(units) + unit, two * unit)
-        rounded = F.when(units < 0, -size).otherwise(size)
+        size = _floor_div(f"2L * abs({units}) + {unit}", f"2L * {unit}")
+        rounded = f"CASE WHEN {units} < 0 THEN -{size} ELSE {size} END"
     elif ties == "even":
-        below = _quotient(units, unit)
-        twice_rest = two * (units - below * unit)
-        odd = F.pmod(below, two)
-        rounded = below + F.when(twice_rest > unit, 1).when(twice_rest == unit, odd).otherwise(0)
+        below = _floor_div(units, unit)
+        rest = f"2L * ({units} - {below} * {unit})"
+        odd = f"pmod({below}, 2L)"
+        rounded = (
+            f"{below} + CASE WHEN {rest} > {unit} THEN 1L WHEN {rest} = {unit} THEN {odd} ELSE 0L END"
+        )
     else:
         raise ValueError(f"unknown tie rule {ties!r}")
-    return rounded / F.lit(10.0**digits)
+    return f"(({rounded}) / {10.0**digits!r}D)"
 
 
-def to_units(x: Column, scale: int) -> Column:
+def units_sql(x: str, scale: int) -> str:
     """Fixed-point value as a whole number of 10**-scale units."""
-    return F.rint(x * F.lit(10.0**scale)).cast("bigint")
+    return f"CAST(rint(({x}) * {10.0**scale!r}D) AS BIGINT)"
+
+
+def mean_sql(x: str, digits: int, how: str = "double", scale: int = 2, ties: str = "away") -> str:
+    if how == "double":
+        return _ROUNDERS[ties](f"avg({x})", digits)
+    if how == "fixed":
+        return mean_of_units_sql(f"sum({units_sql(x, scale)})", f"count({x})", digits, scale, ties)
+    raise ValueError(f"unknown mean {how!r}")
+
+
+def half_up(x: str, digits: int = 1) -> Column:
+    return F.expr(half_up_sql(x, digits))
 
 
-def mean(x: Column, digits: int, how: str = "double", scale: int = 2, ties: str = "away") -> Column:
+def half_away(x: str, digits: int) -> Column:
+    return F.expr(half_away_sql(x, digits))
+
+
+def half_even(x: str, digits: int) -> Column:
+    return F.expr(half_even_sql(x, digits))
+
+
+def mean(x: str, digits: int, how: str = "double", scale: int = 2, ties: str = "away") -> Column:
     """Aggregate: rounded mean of ``x``.
 
     ``how='double'`` rounds ``avg(x)``, whose last bits depend on the order rows are summed in.
     ``how='fixed'`` sums whole 10**-scale units, so re-runs and recovered tasks give one answer;
     it needs readings with at most ``scale`` decimals.
     """
-    if how == "double":
-        return _ROUNDERS[ties](F.avg(x), digits)
-    if how == "fixed":
-        return mean_of_units(F.sum(to_units(x, scale)), F.count(x), digits, scale, ties)
-    raise ValueError(f"unknown mean {how!r}")
+    return F.expr(mean_sql(x, digits, how, scale, ties))

@@ -1,4 +1,8 @@
-"""Air-quality and weather rules as native column expressions (no Python in the plan)."""
+"""Air-quality and weather rules as SQL expressions (no Python in the plan).
+
+Arguments are column names or SQL text; a ``*_sql`` function gives the text, its namesake the
+column.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.rounding import half_up
+from aerolith.functions.rounding import half_up_sql
 
 # PM2.5 concentration breakpoints and the index range of each segment
 # (concentration low, concentration high, index low, index high); above the last: 500.
@@ -43,134 +47,138 @@ AQI_THRESHOLD = 150
 TEMP_THRESHOLD = 35
 
 
-def _ladder(x: Column, steps: Sequence[tuple[Column, Column]], top: Column) -> Column:
-    chain = F.when(steps[0][0], steps[0][1])
-    for condition, value in steps[1:]:
-        chain = chain.when(condition, value)
-    return chain.otherwise(top)
+def _case(arms: Sequence[tuple[str, str]], otherwise: str) -> str:
+    return f"CASE {' '.join(f'WHEN {c} THEN {v}' for c, v in arms)} ELSE {otherwise} END"
+
+
+def _among(x: str, labels: Sequence[str]) -> str:
+    listed = ", ".join(f"'{label}'" for label in labels)
+    return f"coalesce({x} IN ({listed}), false)"
 
 
-def pm25_to_aqi(pm25: Column, null_policy: str = "zero") -> Column:
+def pm25_to_aqi_sql(pm25: str, null_policy: str = "zero") -> str:
     """Integer air-quality index of a PM2.5 concentration.
 
     A null concentration gives 0 (``null_policy='zero'``, pipelines) or null (``'null'``, serving).
     """
-    steps = []
+    empty = {"zero": "0", "null": "NULL"}.get(null_policy)
+    if empty is None:
+        raise ValueError(f"unknown null_policy {null_policy!r}")
+    arms = [(f"{pm25} IS NULL", empty)]
     for low, high, index_low, index_high in PM25_SEGMENTS:
         slope = (index_high - index_low) / (high - low)
-        exact = F.lit(slope) * (pm25 - F.lit(low)) + F.lit(index_low)
-        steps.append((pm25 <= F.lit(high), F.floor(exact + F.lit(0.5)).try_cast("int")))
-    index = _ladder(pm25, steps, F.lit(AQI_CEILING))
-    if null_policy == "zero":
-        return F.when(pm25.isNull(), F.lit(0)).otherwise(index)
+        exact = f"{slope!r}D * ({pm25} - {low!r}D) + {index_low!r}D"
+        arms.append((f"{pm25} <= {high!r}D", f"try_cast(floor({exact} + 0.5D) AS INT)"))
+    return _case(arms, str(AQI_CEILING))
+
+
+def _band_sql(aqi: str, label: int) -> str:
+    return _case([(f"{aqi} <= {band[0]}", f"'{band[label]}'") for band in AQI_BANDS], f"'{AQI_TOP_BAND}'")
+
+
+def _nullable_sql(x: str, label: str, null_policy: str) -> str:
     if null_policy == "null":
-        return F.when(pm25.isNotNull(), index)
+        return f"CASE WHEN {x} IS NOT NULL THEN {label} END"
+    if null_policy == "fallthrough":
+        return label
     raise ValueError(f"unknown null_policy {null_policy!r}")
 
 
-def _band(aqi: Column, label: int) -> Column:
-    steps = [(aqi <= F.lit(band[0]), F.lit(band[label])) for band in AQI_BANDS]
-    return _ladder(aqi, steps, F.lit(AQI_TOP_BAND))
+def heat_index_sql(temperature: str, humidity: str) -> str:
+    return half_up_sql(f"{temperature} + 0.05D * {humidity}", 1)
+
 
+def pm25_to_aqi(pm25: str, null_policy: str = "zero") -> Column:
+    return F.expr(pm25_to_aqi_sql(pm25, null_policy))
 
-def aqi_alert(aqi: Column, null_policy: str = "null") -> Column:
+
+def aqi_alert(aqi: str, null_policy: str = "null") -> Column:
     """Alert label of an index. ``'fallthrough'`` sends null to the top band, as a bare CASE does."""
-    return _nullable(aqi, _band(aqi, 1), null_policy)
+    return F.expr(_nullable_sql(aqi, _band_sql(aqi, 1), null_policy))
 
 
-def aqi_category(aqi: Column, null_policy: str = "null") -> Column:
+def aqi_category(aqi: str, null_policy: str = "null") -> Column:
     """Short display label of an index."""
-    return _nullable(aqi, _band(aqi, 2), null_policy)
+    return F.expr(_nullable_sql(aqi, _band_sql(aqi, 2), null_policy))
 
 
-def temp_alert(t: Column, null_policy: str = "null") -> Column:
+def temp_alert(t: str, null_policy: str = "null") -> Column:
     """Alert label of a temperature; ``'normal'`` reads a missing temperature as Normal."""
-    steps = [
-        (t < F.lit(10), F.lit("Too Cold")),
-        (t <= F.lit(35), F.lit("Normal")),
-        (t <= F.lit(40), F.lit("Hot")),
-    ]
-    label = _ladder(t, steps, F.lit("Extreme Heat"))
+    arms = [(f"{t} < 10", "'Too Cold'"), (f"{t} <= 35", "'Normal'"), (f"{t} <= 40", "'Hot'")]
     if null_policy == "normal":
-        return F.when(t.isNull(), F.lit("Normal")).otherwise(label)
-    return _nullable(t, label, null_policy)
+        return F.expr(_case([(f"{t} IS NULL", "'Normal'"), *arms], "'Extreme Heat'"))
+    return F.expr(_nullable_sql(t, _case(arms, "'Extreme Heat'"), null_policy))
 
 
-def _nullable(x: Column, label: Column, null_policy: str) -> Column:
-    if null_policy == "null":
-        return F.when(x.isNotNull(), label)
-    if null_policy == "fallthrough":
-        return label
-    raise ValueError(f"unknown null_policy {null_policy!r}")
+def heat_index(temperature: str, humidity: str) -> Column:
+    return F.expr(heat_index_sql(temperature, humidity))
 
 
-def heat_index(temperature: Column, humidity: Column) -> Column:
-    return half_up(temperature + F.lit(0.05) * humidity, 1)
+def weather_condition(pm25: str, temperature: str) -> Column:
+    arms = [(f"{pm25} > 150", "'Hazardous'"), (f"{temperature} > 35", "'Extreme Heat'")]
+    return F.expr(_case(arms, "'Normal'"))
 
 
-def weather_condition(pm25: Column, temperature: Column) -> Column:
-    return F.when(pm25 > 150, "Hazardous").when(temperature > 35, "Extreme Heat").otherwise("Normal")
+def is_anomaly(aqi_label: str, temp_label: str) -> Column:
+    return F.expr(f"{_among(aqi_label, ALERT_AQI)} OR {_among(temp_label, ANOMALY_TEMP)}")
 
 
-def is_anomaly(aqi_label: Column, temp_label: Column) -> Column:
-    return F.coalesce(aqi_label.isin(*ALERT_AQI), F.lit(False)) | F.coalesce(
-        temp_label.isin(*ANOMALY_TEMP), F.lit(False)
-    )
+def is_benign(label: str) -> Column:
+    return F.expr(_among(label, BENIGN))
 
 
-def is_benign(label: Column) -> Column:
-    return F.coalesce(label.isin(*BENIGN), F.lit(False))
+def deviation_sql(current: str, baseline: str, digits: int) -> str:
+    """Signed difference, half-up; null when either side is."""
+    return half_up_sql(f"{current} - {baseline}", digits)
 
 
-def deviation(current: Column, baseline: Column, digits: int) -> Column:
-    """Signed difference, half-up; null when either side is."""
-    return half_up(current - baseline, digits)
+def deviation(current: str, baseline: str, digits: int) -> Column:
+    return F.expr(deviation_sql(current, baseline, digits))
 
 
 def deviation_display(
-    current: Column, baseline: Column, dev: Column, higher_is_worse: bool = True
+    current: str, baseline: str, dev: str, higher_is_worse: bool = True
 ) -> tuple[Column, Column, Column]:
     """(direction, worse, ratio) of a deviation; the ratio stops at 1.5 and is 1 without a baseline."""
-    up = F.coalesce(dev > 0, F.lit(False))
-    flat = F.coalesce(dev == 0, F.lit(False))
-    direction = F.when(flat, "→").when(up, "↑").otherwise("↓")
-    worse = F.when(flat, F.lit(False)).otherwise(up if higher_is_worse else ~up)
-    no_baseline = baseline.isNull() | (baseline == 0)
-    ratio = F.when(no_baseline, F.lit(1.0)).otherwise(
-        F.least(F.lit(1.5), F.try_divide(F.coalesce(current, F.lit(0.0)), baseline))
-    )
-    return direction, worse, ratio
+    up = f"coalesce({dev} > 0, false)"
+    flat = f"coalesce({dev} = 0, false)"
+    direction = _case([(flat, "'→'"), (up, "'↑'")], "'↓'")
+    worse = _case([(flat, "false")], up if higher_is_worse else f"NOT {up}")
+    share = f"least(1.5D, try_divide(coalesce({current}, 0D), {baseline}))"
+    ratio = _case([(f"{baseline} IS NULL OR {baseline} = 0", "1.0D")], share)
+    return F.expr(direction), F.expr(worse), F.expr(ratio)
 
 
-def alert_display(alert_type: Column, level: Column) -> tuple[Column, Column]:
+def alert_display(alert_type: str = "alert_type", level: str = "level") -> tuple[Column, Column]:
     """(display type, threshold) of an alert. Every temperature alert, cold ones too, shows as Heatwave."""
-    air = alert_type == "Air Quality"
-    shown = (
-        F.when(air & (level == "Hazardous"), "AQI Hazardous").when(air, "Pollution Spike").otherwise("Heatwave")
+    air = f"{alert_type} = 'Air Quality'"
+    shown = _case(
+        [(f"{air} AND {level} = 'Hazardous'", "'AQI Hazardous'"), (air, "'Pollution Spike'")], "'Heatwave'"
     )
-    return shown, F.when(air, F.lit(AQI_THRESHOLD)).otherwise(F.lit(TEMP_THRESHOLD))
+    return F.expr(shown), F.expr(_case([(air, str(AQI_THRESHOLD))], str(TEMP_THRESHOLD)))
 
 
-def exceedance(value: Column, threshold: Column) -> tuple[Column, Column]:
+def exceedance(value: str, threshold: str) -> tuple[Column, Column]:
     """(ratio, whole percent) of a value against its threshold."""
-    ratio = value / threshold
-    return ratio, F.floor(ratio * 100 + F.lit(0.5)).cast("int")
+    ratio = f"{value} / {threshold}"
+    return F.expr(ratio), F.expr(f"CAST(floor({ratio} * 100 + 0.5D) AS INT)")
 
 
-def day_string(ts: Column) -> Column:
+def day_string(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
-def shift_hours(ts: Column, hours: int) -> Column:
-    return ts + F.expr(f"INTERVAL '{int(hours)}' HOUR") if hours else ts
+def shift_hours_sql(ts: str, hours: int) -> str:
+    return f"{ts} + INTERVAL '{int(hours)}' HOUR" if hours else ts
 
 
-def hour_key(station: Column, ts: Column) -> Column:
+def hour_key(station: str, ts: str) -> Column:
     """Stable row key of a station-hour."""
-    return F.concat_ws("_", station, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    return F.expr(f"concat_ws('_', {station}, date_format({ts}, 'yyyy-MM-dd HH:mm:ss'))")
 
 
-def compose_timestamp(date: Column, hour: Column) -> Column:
+def compose_timestamp(date: str, hour: str) -> Column:
     """Timestamp without zone from a day string and an hour, the hour padded to two digits."""
-    padded = F.lpad(hour.cast("string"), 2, "0")
-    return F.concat(date.cast("string"), F.lit(" "), padded, F.lit(":00:00")).cast("timestamp_ntz")
+    return F.expr(
+        f"CAST(concat(CAST({date} AS STRING), ' ', lpad(CAST({hour} AS STRING), 2, '0'), ':00:00') AS TIMESTAMP_NTZ)"
+    )

@@ -4,24 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from aerolith.functions.rules import AQI_CEILING, PM25_SEGMENTS
-
-
-def _aqi_body() -> str:
-    arms = ["WHEN c IS NULL THEN 0"]
-    for low, high, index_low, index_high in PM25_SEGMENTS:
-        slope = (index_high - index_low) / (high - low)
-        arms.append(
-            f"WHEN c <= {high!r}D THEN try_cast(floor({slope!r}D * (c - {low!r}D) + {index_low!r}D + 0.5D) AS INT)"
-        )
-    return f"CASE {' '.join(arms)} ELSE {AQI_CEILING} END"
+from aerolith.functions.rules import heat_index_sql, pm25_to_aqi_sql
 
 
 def register_sql_functions(spark: SparkSession) -> None:
+    define = "CREATE OR REPLACE TEMPORARY FUNCTION"
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION calculateHeatIndex(t DOUBLE, h DOUBLE) RETURNS DOUBLE "
-        "RETURN floor((t + 0.05D * h) * 10D + 0.5D) / 10D"
-    )
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION pm25ToAQI(c DOUBLE) RETURNS INT RETURN {_aqi_body()}"
+        f"{define} calculateHeatIndex(t DOUBLE, h DOUBLE) RETURNS DOUBLE RETURN {heat_index_sql('t', 'h')}"
     )
+    spark.sql(f"{define} pm25ToAQI(c DOUBLE) RETURNS INT RETURN {pm25_to_aqi_sql('c')}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.rounding import half_up
@@ -93,16 +93,16 @@ def merge_feeds(
         *[F.max(c).alias(c) for c in columns]
     )
 
-    def preferred(name: str) -> Column:
-        return F.coalesce(F.col(f"_forecast_{name}"), F.col(f"_archive_{name}"))
+    def preferred(name: str) -> str:
+        return f"coalesce(_forecast_{name}, _archive_{name})"
 
     return merged.select(
         key,
         "time",
         half_up(preferred("temperature"), 1).alias("temperature"),
         half_up(preferred("humidity"), 0).alias("humidity"),
-        half_up(F.col("pm25"), 1).alias("pm25"),
-        half_up(F.col("no2"), 1).alias("no2"),
+        half_up("pm25", 1).alias("pm25"),
+        half_up("no2", 1).alias("no2"),
     )
 
 

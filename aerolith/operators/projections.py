@@ -31,11 +31,11 @@ def to_double(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def with_day(df: DataFrame) -> DataFrame:
-    return df.withColumn("date", rules.day_string(F.col("timestamp")))
+    return df.withColumn("date", rules.day_string("timestamp"))
 
 
 def with_hour(df: DataFrame, tz_offset_hours: int = 0) -> DataFrame:
-    return df.withColumn("hour", F.hour(rules.shift_hours(F.col("timestamp"), tz_offset_hours)))
+    return df.withColumn("hour", F.expr(f"hour({rules.shift_hours_sql('timestamp', tz_offset_hours)})"))
 
 
 def serving_aliases(hourly: DataFrame) -> DataFrame:
@@ -46,18 +46,18 @@ def local_hours(windowed: DataFrame, tz_offset_hours: int = 7) -> DataFrame:
     """Window bounds as local ``timestamp`` and ``hour_end``; the window column goes."""
     return windowed.withColumns(
         {
-            "timestamp": rules.shift_hours(F.col("window.start"), tz_offset_hours),
-            "hour_end": rules.shift_hours(F.col("window.end"), tz_offset_hours),
+            "timestamp": F.expr(rules.shift_hours_sql("window.start", tz_offset_hours)),
+            "hour_end": F.expr(rules.shift_hours_sql("window.end", tz_offset_hours)),
         }
     ).drop("window")
 
 
 def rate(readings: DataFrame, aqi_null: str = "zero", temp_null: str = "null") -> DataFrame:
     """Add the index and both alert labels to readings."""
-    return readings.withColumn("aqi_index", rules.pm25_to_aqi(F.col("pm25"), aqi_null)).withColumns(
+    return readings.withColumn("aqi_index", rules.pm25_to_aqi("pm25", aqi_null)).withColumns(
         {
-            "aqi_alert": rules.aqi_alert(F.col("aqi_index")),
-            "temp_alert": rules.temp_alert(F.col("temperature"), temp_null),
+            "aqi_alert": rules.aqi_alert("aqi_index"),
+            "temp_alert": rules.temp_alert("temperature", temp_null),
         }
     )
 
@@ -66,8 +66,8 @@ def derive_conditions(enriched: DataFrame) -> DataFrame:
     """Add the perceived temperature and the weather condition."""
     return enriched.withColumns(
         {
-            "heat_index": rules.heat_index(F.col("temperature"), F.col("humidity")),
-            "weather_condition": rules.weather_condition(F.col("pm25"), F.col("temperature")),
+            "heat_index": rules.heat_index("temperature", "humidity"),
+            "weather_condition": rules.weather_condition("pm25", "temperature"),
         }
     )
 
@@ -83,10 +83,10 @@ def display_shape(realtime: DataFrame) -> DataFrame:
         F.col("pm25").alias("pm2_5"),
         "no2",
         F.col("aqi_index").alias("aqi_value"),
-        rules.aqi_category(F.col("aqi_index")).alias("aqi_category"),
+        rules.aqi_category("aqi_index").alias("aqi_category"),
         "aqi_alert",
         "temp_alert",
-        rules.is_anomaly(F.col("aqi_alert"), F.col("temp_alert")).alias("is_anomaly"),
+        rules.is_anomaly("aqi_alert", "temp_alert").alias("is_anomaly"),
         "timestamp",
     )
 
@@ -94,4 +94,4 @@ def display_shape(realtime: DataFrame) -> DataFrame:
 def stamp_ingestion(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Event time and day taken from one instant: now, or ``as_of``."""
     instant = F.lit(str(as_of)).cast("timestamp") if as_of else F.current_timestamp()
-    return df.withColumns({"timestamp": instant, "date": rules.day_string(instant)})
+    return with_day(df.withColumn("timestamp", instant))

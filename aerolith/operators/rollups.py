@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.functions import rules
-from aerolith.functions.rounding import half_up, mean, mean_of_sum, mean_of_units, to_units
+from aerolith.functions.rounding import (
+    half_up,
+    mean,
+    mean_of_sum_sql,
+    mean_of_units_sql,
+    units_sql,
+)
 
 DAILY_KEYS = ("date", "station_id", "province", "region")
 SUMMARY_KEYS = ("station_id", "province", "region")
@@ -24,27 +30,28 @@ _SCALE = 2
 _HOUR_CODES = 32
 
 
-def pack_peak(aqi: Column, hour: Column, tie: str = "latest") -> Column:
+def pack_peak_sql(aqi: str, hour: str, tie: str = "latest") -> str:
     """Number that orders like (aqi, hour) or, for ``tie='first'``, like (aqi, -hour)."""
-    code = hour + 1 if tie == "latest" else F.lit(_HOUR_CODES - 1) - hour
-    return aqi.cast("bigint") * _HOUR_CODES + F.coalesce(code, F.lit(0))
+    code = f"{hour} + 1" if tie == "latest" else f"{_HOUR_CODES - 1} - {hour}"
+    return f"CAST({aqi} AS BIGINT) * {_HOUR_CODES}L + coalesce({code}, 0)"
 
 
-def unpack_peak_hour(packed: Column, tie: str = "latest") -> Column:
-    code = F.nullif(F.pmod(packed, F.lit(_HOUR_CODES)), F.lit(0))
-    return (code - 1 if tie == "latest" else F.lit(_HOUR_CODES - 1) - code).cast("int")
+def unpack_peak_hour_sql(packed: str, tie: str = "latest") -> str:
+    code = f"nullif(pmod({packed}, {_HOUR_CODES}L), 0L)"
+    hour = f"{code} - 1" if tie == "latest" else f"{_HOUR_CODES - 1} - {code}"
+    return f"CAST({hour} AS INT)"
 
 
-def peak_hour(aqi: Column, hour: Column, tie: str = "latest", empty: int | None = None) -> Column:
+def peak_hour(aqi: str, hour: str, tie: str = "latest", empty: int | None = None) -> Column:
     """Aggregate: hour of the greatest index; ties go to the latest or the first such hour."""
-    found = unpack_peak_hour(F.max(pack_peak(aqi, hour, tie)), tie)
-    return found if empty is None else F.coalesce(found, F.lit(empty))
+    found = unpack_peak_hour_sql(f"max({pack_peak_sql(aqi, hour, tie)})", tie)
+    return F.expr(found if empty is None else f"coalesce({found}, {empty})")
 
 
-def _render_date(df: DataFrame) -> DataFrame:
+def render_date(df: DataFrame) -> DataFrame:
     """Days leave as strings; grouping on a DateType costs less than on text."""
     if "date" in df.columns and isinstance(df.schema["date"].dataType, T.DateType):
-        return df.withColumn("date", rules.day_string(F.col("date")))
+        return df.withColumn("date", rules.day_string("date"))
     return df
 
 
@@ -59,37 +66,38 @@ def daily_partials(
 
     Daily and summary views both follow from it, so the raw data is read once for the two.
     """
-    aqi = rules.pm25_to_aqi(F.col("pm25"), aqi_null)
-    hour = F.hour(rules.shift_hours(F.col("timestamp"), tz_offset_hours))
+    aqi = rules.pm25_to_aqi_sql("pm25", aqi_null)
+    hour = f"hour({rules.shift_hours_sql('timestamp', tz_offset_hours)})"
     sums = []
-    for name, column in _MEASURES.items():
-        x = F.col(column)
-        sums.append(F.sum(to_units(x, _SCALE) if how == "fixed" else x).alias(f"sum_{name}"))
-        sums.append(F.count(x).alias(f"n_{name}"))
-    return readings.groupBy(*keys).agg(
+    for name, x in _MEASURES.items():
+        addend = units_sql(x, _SCALE) if how == "fixed" else x
+        sums += [f"sum({addend}) AS sum_{name}", f"count({x}) AS n_{name}"]
+    rated = readings.withColumn("_aqi", F.expr(aqi))
+    state = [
         *sums,
-        F.max("temperature").alias("max_temp"),
-        F.min("temperature").alias("min_temp"),
-        F.sum(aqi).alias("sum_aqi"),
-        F.count(aqi).alias("n_aqi"),
-        F.max(pack_peak(aqi, hour)).alias("peak"),
-        F.count("*").alias("record_count"),
-    )
+        "max(temperature) AS max_temp",
+        "min(temperature) AS min_temp",
+        "sum(_aqi) AS sum_aqi",
+        "count(_aqi) AS n_aqi",
+        f"max({pack_peak_sql('_aqi', hour)}) AS peak",
+        "count(*) AS record_count",
+    ]
+    return rated.groupBy(*keys).agg(*[F.expr(x) for x in state])
 
 
 def _mean_of_partials(name: str, digits: int, how: str, scale: int = _SCALE, merge: bool = False) -> Column:
-    total, n = F.col(f"sum_{name}"), F.col(f"n_{name}")
+    total, n = f"sum_{name}", f"n_{name}"
     if merge:
-        total, n = F.sum(total), F.sum(n)
+        total, n = f"sum({total})", f"sum({n})"
     rounded = (
-        mean_of_units(total, n, digits, scale) if how == "fixed" else mean_of_sum(total, n, digits)
+        mean_of_units_sql(total, n, digits, scale) if how == "fixed" else mean_of_sum_sql(total, n, digits)
     )
-    return rounded.alias(f"avg_{name}")
+    return F.expr(f"{rounded} AS avg_{name}")
 
 
 def daily_from_partials(partials: DataFrame, how: str = "double") -> DataFrame:
     keys = [c for c in DAILY_KEYS if c in partials.columns]
-    return _render_date(
+    return render_date(
         partials.select(
             *keys,
             _mean_of_partials("temp", 1, how),
@@ -99,7 +107,7 @@ def daily_from_partials(partials: DataFrame, how: str = "double") -> DataFrame:
             _mean_of_partials("pm25", 2, how),
             _mean_of_partials("no2", 2, how),
             _mean_of_partials("aqi", 0, how, scale=0),
-            unpack_peak_hour(F.col("peak")).alias("peak_aqi_hour"),
+            F.expr(f"{unpack_peak_hour_sql('peak')} AS peak_aqi_hour"),
             "record_count",
         )
     )
@@ -126,28 +134,28 @@ def daily_rollup(enriched: DataFrame, how: str = "double", **options) -> DataFra
 def station_summary(enriched: DataFrame, how: str = "double") -> DataFrame:
     """Per station over all its days."""
     return enriched.groupBy(*SUMMARY_KEYS).agg(
-        mean(F.col("temperature"), 1, how).alias("avg_temp"),
+        mean("temperature", 1, how).alias("avg_temp"),
         F.round(F.max("temperature"), 1).alias("max_temp"),
-        mean(F.col("humidity"), 1, how).alias("avg_humidity"),
-        mean(F.col("pm25"), 2, how).alias("avg_pm25"),
-        mean(F.col("no2"), 2, how).alias("avg_no2"),
+        mean("humidity", 1, how).alias("avg_humidity"),
+        mean("pm25", 2, how).alias("avg_pm25"),
+        mean("no2", 2, how).alias("avg_no2"),
         F.count("*").alias("record_count"),
     )
 
 
 def complete_daily(complete: DataFrame, how: str = "double") -> DataFrame:
     """Daily rollup of complete days: whole-number humidity, first peak hour, counted temperatures."""
-    aqi = rules.pm25_to_aqi(F.col("pm25"), "null")
-    return _render_date(
-        complete.groupBy(*DAILY_KEYS).agg(
-            mean(F.col("temperature"), 1, how, ties="up").alias("avg_temp"),
-            half_up(F.max("temperature"), 1).alias("max_temp"),
-            half_up(F.min("temperature"), 1).alias("min_temp"),
-            mean(F.col("humidity"), 0, how, ties="up").alias("avg_humidity"),
-            mean(F.col("pm25"), 2, how, ties="up").alias("avg_pm25"),
-            mean(F.col("no2"), 2, how, ties="up").alias("avg_no2"),
-            half_up(F.avg(aqi), 0).alias("avg_aqi"),
-            peak_hour(aqi, F.col("slot"), tie="first", empty=0).alias("peak_aqi_hour"),
+    rated = complete.withColumn("_aqi", rules.pm25_to_aqi("pm25", "null"))
+    return render_date(
+        rated.groupBy(*DAILY_KEYS).agg(
+            mean("temperature", 1, how, ties="up").alias("avg_temp"),
+            half_up("max(temperature)", 1).alias("max_temp"),
+            half_up("min(temperature)", 1).alias("min_temp"),
+            mean("humidity", 0, how, ties="up").alias("avg_humidity"),
+            mean("pm25", 2, how, ties="up").alias("avg_pm25"),
+            mean("no2", 2, how, ties="up").alias("avg_no2"),
+            half_up("avg(_aqi)", 0).alias("avg_aqi"),
+            peak_hour("_aqi", "slot", tie="first", empty=0).alias("peak_aqi_hour"),
             F.count("temperature").alias("record_count"),
         )
     )
@@ -156,11 +164,11 @@ def complete_daily(complete: DataFrame, how: str = "double") -> DataFrame:
 def complete_summary(complete: DataFrame, how: str = "double") -> DataFrame:
     """Per-station summary of complete days."""
     return complete.groupBy(*SUMMARY_KEYS).agg(
-        mean(F.col("temperature"), 1, how, ties="up").alias("avg_temp"),
-        half_up(F.max("temperature"), 1).alias("max_temp"),
-        mean(F.col("humidity"), 0, how, ties="up").alias("avg_humidity"),
-        mean(F.col("pm25"), 2, how, ties="up").alias("avg_pm25"),
-        mean(F.col("no2"), 2, how, ties="up").alias("avg_no2"),
+        mean("temperature", 1, how, ties="up").alias("avg_temp"),
+        half_up("max(temperature)", 1).alias("max_temp"),
+        mean("humidity", 0, how, ties="up").alias("avg_humidity"),
+        mean("pm25", 2, how, ties="up").alias("avg_pm25"),
+        mean("no2", 2, how, ties="up").alias("avg_no2"),
         F.count("temperature").alias("record_count"),
     )
 
@@ -173,19 +181,18 @@ def hourly_rollup(
 ) -> DataFrame:
     """Tumbling-window statistics per station, on a stream or a table alike."""
 
-    def spread(column: str, name: str, digits: int) -> list[Column]:
-        x = F.col(column)
+    def spread(x: str, name: str, digits: int) -> list[Column]:
         return [
             mean(x, digits, how).alias(f"avg_{name}"),
-            F.round(F.max(x), digits).alias(f"max_{name}"),
-            F.round(F.min(x), digits).alias(f"min_{name}"),
+            F.expr(f"round(max({x}), {digits}) AS max_{name}"),
+            F.expr(f"round(min({x}), {digits}) AS min_{name}"),
         ]
 
     return rated.groupBy(F.window("timestamp", width), *keys).agg(
         *spread("pm25", "pm25", 2),
         *spread("temperature", "temp", 1),
         *spread("humidity", "humidity", 1),
-        mean(F.col("no2"), 2, how).alias("avg_no2"),
+        mean("no2", 2, how).alias("avg_no2"),
         F.round(F.avg("aqi_index"), 0).alias("avg_aqi"),
         F.max("aqi_index").alias("max_aqi"),
     )
@@ -194,8 +201,8 @@ def hourly_rollup(
 def national_means(summary: DataFrame, how: str = "double") -> DataFrame:
     """One row: the mean of the stations' means, ties to even; null for an empty summary."""
     return summary.agg(
-        mean(F.col("avg_temp"), 2, how, ties="even").alias("national_avg_temp"),
-        mean(F.col("avg_pm25"), 2, how, ties="even").alias("national_avg_pm25"),
+        mean("avg_temp", 2, how, ties="even").alias("national_avg_temp"),
+        mean("avg_pm25", 2, how, ties="even").alias("national_avg_pm25"),
     )
 
 

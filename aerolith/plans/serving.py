@@ -53,8 +53,8 @@ def compare_columns(joined: DataFrame) -> DataFrame:
         F.col("pm25").alias("current_pm25"),
         "historical_avg_pm25",
         F.col("aqi_index").alias("current_aqi"),
-        rules.deviation(F.col("temperature"), F.col("historical_avg_temp"), 1).alias("temp_deviation"),
-        rules.deviation(F.col("pm25"), F.col("historical_avg_pm25"), 2).alias("pm25_deviation"),
+        rules.deviation("temperature", "historical_avg_temp", 1).alias("temp_deviation"),
+        rules.deviation("pm25", "historical_avg_pm25", 2).alias("pm25_deviation"),
     )
 
 
@@ -193,7 +193,7 @@ class Serving:
 
     def city_compare(self) -> DataFrame:
         """``compare`` by city, with the baseline's index and the index deviation."""
-        historical = rules.pm25_to_aqi(F.col("historical_avg_pm25"), "null")
+        historical = rules.pm25_to_aqi("historical_avg_pm25", "null")
         cities = self.registry.select("station_id", "city_id", F.col("province").alias("_city"))
         return (
             self.compare_all()
@@ -212,7 +212,7 @@ class Serving:
 
     def city_alerts(self, severity: str = "all") -> DataFrame:
         """``alerts`` with city id, display type and threshold."""
-        shown, threshold = rules.alert_display(F.col("alert_type"), F.col("level"))
+        shown, threshold = rules.alert_display("alert_type", "level")
         return joins.with_city(self.alerts(severity=severity), self.registry).select(
             "city_id",
             F.col("province").alias("city_name"),
@@ -226,7 +226,7 @@ class Serving:
         """``stats`` by city, pollution as an index."""
 
         def rows(top: DataFrame) -> DataFrame:
-            aqi = rules.pm25_to_aqi(F.col("avg_pm25"), "null")
+            aqi = rules.pm25_to_aqi("avg_pm25", "null")
             return joins.with_city(top, self.registry).select(
                 "city_id",
                 F.col("province").alias("city_name"),
@@ -236,7 +236,7 @@ class Serving:
 
         national = self.national(how).select(
             "national_avg_temp",
-            rules.pm25_to_aqi(F.col("national_avg_pm25"), "null").alias("national_avg_aqi"),
+            rules.pm25_to_aqi("national_avg_pm25", "null").alias("national_avg_aqi"),
         )
         return {
             "top_hottest_cities": rows(self.top_stations("avg_temp")),

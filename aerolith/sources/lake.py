@@ -34,7 +34,7 @@ def scan_history_csv(spark: SparkSession, path: str) -> DataFrame:
         ]
     )
     return typed.select(
-        day_string(F.col("timestamp")).alias("date"), *[c for c in schemas.READING.names if c != "date"]
+        day_string("timestamp").alias("date"), *[c for c in schemas.READING.names if c != "date"]
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from aerolith.functions import rules
@@ -110,11 +109,11 @@ def hourly_rows(windowed: DataFrame, tz_offset_hours: int = 7) -> DataFrame:
     named = projections.serving_aliases(local)
     labelled = named.withColumns(
         {
-            "aqi_alert": rules.aqi_alert(F.col("avg_aqi")),
-            "temp_alert": rules.temp_alert(F.col("avg_temp")),
+            "aqi_alert": rules.aqi_alert("avg_aqi"),
+            "temp_alert": rules.temp_alert("avg_temp"),
         }
     )
-    return labelled.withColumn("_id", rules.hour_key(F.col("station_id"), F.col("timestamp")))
+    return labelled.withColumn("_id", rules.hour_key("station_id", "timestamp"))
 
 
 def start_hourly(
