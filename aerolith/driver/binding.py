@@ -14,6 +14,7 @@ from aerolith import schemas
 from aerolith.functions.rules import day_string
 from aerolith.operators import projections, rollups
 from aerolith.operators.joins import enrich_left
+from aerolith.operators.latest import latest_per_key
 from aerolith.plans import views
 from aerolith.plans.serving import Serving
 from aerolith.session import run_dir
@@ -106,11 +107,12 @@ class Binding:
 
     @cached_property
     def realtime(self) -> DataFrame:
-        return views.realtime_view(
-            self.readings.drop("event_type", "date"), self.stations, TIEBREAK
-        ).select("event_id", *[c for c in schemas.REALTIME_VIEW.names if c != "date"]).withColumn(
-            "date", day_string("timestamp")
-        )
+        """Newest event of each station, decoded only once it is known to be the newest."""
+        newest = latest_per_key(
+            self.events.drop("event_type"), ["user_id"], ["ts"], TIEBREAK
+        ).withColumn("event_type", F.lit(None).cast("string"))
+        rated = views.rate_latest(readings_of(newest), self.stations)
+        return rated.select("event_id", *schemas.REALTIME_VIEW.names)
 
     @cached_property
     def hourly(self) -> DataFrame:

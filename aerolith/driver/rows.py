@@ -150,8 +150,8 @@ def p8(b: Binding) -> DataFrame:
     o.using("daily", "SELECT date, station_id, peak_aqi_hour FROM daily"),
 )
 def p10(b: Binding) -> DataFrame:
-    peak = F.max(F.struct(pm25_to_aqi("pm25").alias("aqi"), F.hour("timestamp").alias("hour")))
-    grouped = b.readings.groupBy("date", "station_id").agg(peak.alias("peak"))
+    peak = rollups.peak_struct(rules.pm25_to_aqi_sql("pm25"), "hour(timestamp)")
+    grouped = rollups.render_date(b.days.groupBy("date", "station_id").agg(peak.alias("peak")))
     return grouped.withColumn("peak_aqi_hour", F.col("peak.hour")).drop("peak")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.session import shared_dir
+from aerolith.session import run_dir
 
 
 def top_n(df: DataFrame, metric: str, n: int = 5, key: str = "station_id") -> DataFrame:
@@ -35,12 +35,14 @@ def share_of_max(listed: DataFrame, metric: str, name: str = "share") -> DataFra
 def global_rank(df: DataFrame, *order: Column | str, name: str = "rank") -> DataFrame:
     """1..n over a table of any size, without bringing it to one task.
 
-    Rows are range-partitioned by the order (which must be total) and kept in the shared folder,
-    so both passes below see the same partitions even when an executor is lost between them.
-    Each partition is then numbered on its own and moved up by the rows of the partitions before.
+    Rows are range-partitioned by the order (which must be total) and written to the shared
+    folder, so both passes below see the same partitions even when an executor is lost between
+    them. Each partition is then numbered on its own and moved up by the rows of those before.
     """
-    shared_dir(df.sparkSession)
-    placed = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    spark = df.sparkSession
+    path = run_dir(spark, "ranked")
+    df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")

@@ -48,6 +48,13 @@ def peak_hour(aqi: str, hour: str, tie: str = "latest", empty: int | None = None
     return F.expr(found if empty is None else f"coalesce({found}, {empty})")
 
 
+def peak_struct(aqi: str, hour: str) -> Column:
+    """Aggregate: (aqi, hour) of the greatest index, the latest such hour on ties."""
+    top = f"max({pack_peak_sql(aqi, hour)})"
+    index = f"CAST(floor({top} / {_HOUR_CODES}) AS INT)"
+    return F.expr(f"named_struct('aqi', {index}, 'hour', {unpack_peak_hour_sql(top)})")
+
+
 def render_date(df: DataFrame) -> DataFrame:
     """Days leave as strings; grouping on a DateType costs less than on text."""
     if "date" in df.columns and isinstance(df.schema["date"].dataType, T.DateType):

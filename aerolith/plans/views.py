@@ -24,7 +24,10 @@ def realtime_view(readings: DataFrame, stations: DataFrame, tiebreak: Sequence[s
     The newest reading is picked first; the station lookup and the labels then touch one row per
     station instead of every reading.
     """
-    latest = latest_per_key(readings, ["station_id"], ["timestamp"], tiebreak)
+    return rate_latest(latest_per_key(readings, ["station_id"], ["timestamp"], tiebreak), stations)
+
+
+def rate_latest(latest: DataFrame, stations: DataFrame) -> DataFrame:
     return projections.rate(latest.join(stations, "station_id"))
 
 

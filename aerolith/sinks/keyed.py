@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from aerolith.operators.latest import latest_per_key
 from aerolith.session import delete_path, path_exists, read_if_present
-from aerolith.sinks.tables import write_partitioned
 
 
 @dataclass(frozen=True)
@@ -23,6 +22,9 @@ class KeyedTable:
     stored ones, unless ``newest`` names columns to compare first. The merged partitions are
     written beside the table before they replace the old ones; a batch replayed after a crash
     in between starts again from that copy, so nothing is lost or applied twice.
+
+    A partition is written as ``files`` files, each by its own task: a stream's batch often
+    touches a single day, and adaptive execution is off there.
     """
 
     path: str
@@ -30,6 +32,7 @@ class KeyedTable:
     keys: tuple[str, ...]
     partition: str
     newest: tuple[str, ...] = ()
+    files: int = 8
 
     def read(self, spark: SparkSession) -> DataFrame:
         stored = read_if_present(spark, self.path, self.schema)
@@ -45,7 +48,10 @@ class KeyedTable:
                 touched = [row[0] for row in incoming.select(self.partition).distinct().collect()]
                 if not touched:
                     return
-                write_partitioned(self._merge(incoming, touched), staged, self.partition)
+                merged = self._merge(incoming, touched)
+                share = F.pmod(F.xxhash64(*self.keys), F.lit(self.files))
+                spread = merged.repartition(self.partition, share)
+                spread.write.mode("overwrite").partitionBy(self.partition).parquet(staged)
             finally:
                 incoming.unpersist()
         (
