@@ -42,7 +42,8 @@ def scan_lake(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Landed readings of the days ``start..end``; only those ``date=`` folders are read."""
-    return date_range(spark.read.schema(schemas.READING).parquet(path), start, end)
+    landed = spark.read.schema(schemas.READING).parquet(path)
+    return date_range(landed, start, end).select(*schemas.READING.names)
 
 
 def load_master(

@@ -128,16 +128,19 @@ def start_hourly(
     return _triggered(writer, interval).start()
 
 
-def run_until_any_stops(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Block until one query ends; stop the others and raise what it failed with."""
+def run_until_any_stops(queries: Iterable[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Block until one query ends; stop the others and raise what it failed with.
+
+    Only the queries given count, not others the session ran before.
+    """
     started = list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        while not any(query.awaitTermination(poll_seconds) for query in started):
+            pass
     finally:
         for query in started:
             if query.isActive:
                 query.stop()
-        spark.streams.resetTerminated()
 
 
 def drain(*queries: StreamingQuery) -> None:
