@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
+from contextlib import AbstractContextManager
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,7 @@ from aerolith.operators.latest import latest_per_key
 from aerolith.plans import views
 from aerolith.plans.serving import Serving
 from aerolith.session import run_dir
+from aerolith.streaming.speed import state_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,17 +164,11 @@ class Binding:
         raw = self.spark.readStream.schema(self.events.schema).parquet(path)
         return readings_of(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
-    @contextmanager
-    def state_partitions(self) -> Iterator[None]:
-        """Shuffle partitions fit for state stores while a stream runs."""
-        key = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(key)
-        wanted = min(int(before), max(8, self.spark.sparkContext.defaultParallelism))
-        self.spark.conf.set(key, str(wanted))
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, before)
+    def stateful(self) -> AbstractContextManager[None]:
+        """State settings sized to the cluster's cores, for a stream that runs inside."""
+        cores = max(8, self.spark.sparkContext.defaultParallelism)
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return state_settings(self.spark, min(shuffle, cores))
 
 
 def station_of(key: str) -> Column:

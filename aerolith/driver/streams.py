@@ -66,7 +66,7 @@ def k1(b: Binding) -> DataFrame:
 def st1(b: Binding) -> DataFrame:
     """Append output holds an hour back until the watermark passes its end."""
     out = b.scratch("closed")
-    with b.state_partitions():
+    with b.stateful():
         closed = _windows(_rated(b)).withColumn("hour_start", F.col("window.start")).drop("window")
         writer = closed.writeStream.format("parquet").outputMode("append")
         writer = writer.option("checkpointLocation", b.scratch("checkpoint"))
@@ -77,7 +77,7 @@ def st1(b: Binding) -> DataFrame:
 @query("st2_hourly_stream", o.using("windows", f"SELECT {_WINDOW} FROM windows"))
 def st2(b: Binding) -> DataFrame:
     table = _series(b)
-    with b.state_partitions():
+    with b.stateful():
         hourly = speed.hourly_rows(_windows(_rated(b)))
         speed.drain(speed.start_hourly(hourly, table, b.scratch("checkpoint")))
     return _hour_starts(b, table)
@@ -97,7 +97,7 @@ def st3(b: Binding) -> DataFrame:
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    with b.state_partitions():
+    with b.stateful():
         windows = _windows(_rated(b)).withColumn("hour_start", F.col("window.start")).drop("window")
         speed.drain(speed.each_batch(windows, keep, b.scratch("checkpoint"), "update", None))
     emitted = without_zone(b.spark.read.parquet(out))
@@ -136,7 +136,7 @@ def st6(b: Binding) -> DataFrame:
     """A query stopped half way takes up its state and offsets again."""
     source, add_rest = _two_halves(b)
     table, checkpoint = _series(b), b.scratch("checkpoint")
-    with b.state_partitions():
+    with b.stateful():
         for step in (lambda: None, add_rest):
             step()
             hourly = speed.hourly_rows(_windows(_rated(b, b.stream_of(source))))
@@ -166,7 +166,7 @@ def st8(b: Binding) -> DataFrame:
     early = F.col("ts") < F.lit(MID_MONTH).cast("timestamp_ntz")
     b.events.where(~early).write.parquet(path)
     table, checkpoint = _series(b), b.scratch("checkpoint")
-    with b.state_partitions():
+    with b.stateful():
         for step in (lambda: None, lambda: b.events.where(early).write.mode("append").parquet(path)):
             step()
             hourly = speed.hourly_rows(_windows(_rated(b, b.stream_of(path))))
@@ -186,7 +186,7 @@ def st9(b: Binding) -> DataFrame:
     """Live snapshot and hourly series fed by one rated stream, each with its own checkpoint."""
     live = keyed.snapshot_table(b.scratch("realtime"), schemas.REALTIME_VIEW)
     series = _series(b)
-    with b.state_partitions():
+    with b.stateful():
         rated = _rated(b)
         speed.drain(
             speed.start_latest(rated, live, b.scratch("checkpoint")),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators.latest import latest_per_key
-from aerolith.session import delete_path, path_exists, read_if_present
+from aerolith.session import delete_path, path_exists, read_if_present, replace_folders
 
 
 @dataclass(frozen=True)
@@ -20,11 +19,11 @@ class KeyedTable:
 
     An upsert reads and rewrites only the partitions its batch touches. Incoming rows win over
     stored ones, unless ``newest`` names columns to compare first. The merged partitions are
-    written beside the table before they replace the old ones; a batch replayed after a crash
-    in between starts again from that copy, so nothing is lost or applied twice.
+    written beside the table and then moved over the old ones; a batch replayed after a crash
+    in between goes on from that copy, so nothing is lost or applied twice.
 
-    A partition is written as ``files`` files, each by its own task: a stream's batch often
-    touches a single day, and adaptive execution is off there.
+    A large partition is written by several tasks, at ``rows_per_file`` each: a stream's batch
+    often touches a single day, and adaptive execution does not split it there.
     """
 
     path: str
@@ -32,7 +31,7 @@ class KeyedTable:
     keys: tuple[str, ...]
     partition: str
     newest: tuple[str, ...] = ()
-    files: int = 8
+    rows_per_file: int = 2_000_000
 
     def read(self, spark: SparkSession) -> DataFrame:
         stored = read_if_present(spark, self.path, self.schema)
@@ -44,35 +43,39 @@ class KeyedTable:
         if not path_exists(spark, f"{staged}/_SUCCESS"):
             incoming = batch.select(*self.schema.names).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                # One value per touched partition: days of a batch, or slots of a snapshot.
-                touched = [row[0] for row in incoming.select(self.partition).distinct().collect()]
-                if not touched:
+                if not self._stage(incoming, staged):
                     return
-                merged = self._merge(incoming, touched)
-                share = F.pmod(F.xxhash64(*self.keys), F.lit(self.files))
-                spread = merged.repartition(self.partition, share)
-                spread.write.mode("overwrite").partitionBy(self.partition).parquet(staged)
             finally:
                 incoming.unpersist()
-        (
-            spark.read.schema(self.schema)
-            .parquet(staged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
-            .parquet(self.path)
-        )
+        replace_folders(spark, staged, self.path)
         delete_path(spark, staged)
 
-    def _merge(self, incoming: DataFrame, touched: Sequence) -> DataFrame:
-        stored = read_if_present(incoming.sparkSession, self.path, self.schema)
+    def _stage(self, incoming: DataFrame, staged: str) -> bool:
+        """Write the touched partitions as they will be; False when the batch is empty."""
+        # One value per touched partition: days of a batch, or slots of a snapshot.
+        touched = _sizes(incoming, self.partition)
+        if not touched:
+            return False
         rows = incoming.withColumn("_age", F.lit(1))
+        stored = read_if_present(incoming.sparkSession, self.path, self.schema)
         if stored is not None:
-            kept = stored.where(F.col(self.partition).isin(*touched)).withColumn("_age", F.lit(0))
-            rows = rows.unionByName(kept)
+            kept = stored.where(F.col(self.partition).isin(*touched))
+            for value, size in _sizes(kept, self.partition).items():
+                touched[value] += size
+            rows = rows.unionByName(kept.withColumn("_age", F.lit(0)))
         order = (*self.newest, "_age")
         ties = [c for c in self.schema.names if c not in self.keys and c not in order]
-        return latest_per_key(rows, self.keys, order, ties).select(*self.schema.names)
+        merged = latest_per_key(rows, self.keys, order, ties).select(*self.schema.names)
+        files = 1 + max(touched.values()) // self.rows_per_file
+        share = F.pmod(F.xxhash64(*self.keys), F.lit(files))
+        spread = merged.repartition(self.partition, share)
+        spread.write.mode("overwrite").partitionBy(self.partition).parquet(staged)
+        return True
+
+
+def _sizes(df: DataFrame, partition: str) -> dict:
+    """Rows per partition value."""
+    return {value: size for value, size in df.groupBy(partition).count().collect()}
 
 
 SNAPSHOT_SLOT = "slot"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -16,14 +17,31 @@ WATERMARK = "10 minutes"
 TRIGGER = "1 minute"
 
 
-def configure_state(spark: SparkSession, shuffle_partitions: int) -> None:
-    """Fix the number of state partitions (it cannot change later) and keep state in RocksDB."""
-    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Settings for queries started inside: state in RocksDB, spread over ``partitions``.
+
+    A query keeps the number of its first run in its checkpoint; choose it for the keys to come.
+    """
+    state_store = "spark.sql.streaming.stateStore"
+    wanted = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        f"{state_store}.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        f"{state_store}.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:

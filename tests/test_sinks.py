@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from aerolith import schemas
 from aerolith.operators import projections
-from aerolith.session import path_exists, run_dir, shared_dir
+from aerolith.session import delete_path, path_exists, run_dir, shared_dir
 from aerolith.sinks import keyed, tables
 from aerolith.sources import messages
 
@@ -141,11 +142,32 @@ def test_crash_before_the_swap_is_replayed_from_the_staged_copy(spark, readings,
     table.upsert(series(day, 1.0), 0)
     newer = series(day.where("station_id = 'A'"), 2.0)
     staged = f"{table.path}/_staged_manual_1"
-    table._merge(newer.select(*table.schema.names), ["2026-04-01"]).write.partitionBy("date").parquet(staged)
-    # The crash also took the day's folder, as a commit that broke off would.
-    from aerolith.session import delete_path
 
-    delete_path(spark, f"{table.path}/date=2026-04-01")
+    def crash(spark, source, target):
+        # The old day is gone, its successor not yet in place.
+        delete_path(spark, f"{table.path}/date=2026-04-01")
+        raise OSError("lost the driver")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(keyed, "replace_folders", crash)
+        with pytest.raises(OSError):
+            table.upsert(newer, 1)
+    assert path_exists(spark, staged)
     table.upsert(newer, 1)
     assert rows_of(table.read(spark).select("_id", "v"), "_id") == [("A_05", 2.0), ("B_05", 1.0)]
     assert not path_exists(spark, staged)
+
+
+def test_large_partitions_are_written_by_several_tasks(spark, readings, table, rows_of):
+    small = replace(table, rows_per_file=3)
+    day = readings(*[(f"S{i}", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0) for i in range(12)])
+    # As in a stream's batches, where no adaptive step joins small partitions.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        small.upsert(series(day, 1.0), 0)
+        small.upsert(series(day, 2.0), 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = [f for f in os.listdir(f"{table.path}/date=2026-04-01") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert rows_of(table.read(spark).groupBy("v").count()) == [(2.0, 12)]

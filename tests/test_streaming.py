@@ -70,8 +70,9 @@ def test_hourly_series_follows_the_running_hour_and_drops_late_rows(spark, feed,
         windows = speed.hourly_stream(
             speed.rated_stream(readings, stations), keys=("station_id", "province", "region")
         )
-        query = speed.start_hourly(speed.hourly_rows(windows), table, check)
-        speed.drain(query)
+        with speed.state_settings(spark, 4):
+            query = speed.start_hourly(speed.hourly_rows(windows), table, check)
+            speed.drain(query)
         dropped.extend(
             op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
         )
@@ -150,19 +151,12 @@ def test_empty_batches_are_skipped(spark, feed, tmp_path):
     assert seen == []
 
 
-def test_state_settings(spark):
-    keys = [
-        "spark.sql.shuffle.partitions",
-        "spark.sql.streaming.stateStore.providerClass",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-    ]
-    before = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        speed.configure_state(spark, 3)
-        assert spark.conf.get(keys[0]) == "3" and "RocksDB" in spark.conf.get(keys[1])
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+def test_state_settings_are_put_back(spark):
+    partitions, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(partitions), spark.conf.get(provider)
+    with speed.state_settings(spark, 3):
+        assert spark.conf.get(partitions) == "3" and "RocksDB" in spark.conf.get(provider)
+    assert (spark.conf.get(partitions), spark.conf.get(provider)) == before
 
 
 def test_kafka_without_its_connector_says_so(spark):
