@@ -41,7 +41,7 @@ class KeyedTable:
         spark = batch.sparkSession
         staged = f"{self.path}/_staged_{writer}_{batch_id}"
         if not path_exists(spark, f"{staged}/_SUCCESS"):
-            incoming = batch.select(*self.schema.names).persist(StorageLevel.MEMORY_AND_DISK)
+            incoming = self._reduced(batch).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 if not self._stage(incoming, staged):
                     return
@@ -50,6 +50,15 @@ class KeyedTable:
         replace_folders(spark, staged, self.path)
         delete_path(spark, staged)
 
+    def _reduced(self, batch: DataFrame) -> DataFrame:
+        """Without older rows of a key, where ``newest`` tells: few rows are kept and merged then."""
+        rows = batch.select(*self.schema.names)
+        return self._winners(rows, self.newest) if self.newest else rows
+
+    def _winners(self, rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+        ties = [c for c in self.schema.names if c not in self.keys and c not in order]
+        return latest_per_key(rows, self.keys, order, ties).select(*self.schema.names)
+
     def _stage(self, incoming: DataFrame, staged: str) -> bool:
         """Write the touched partitions as they will be; False when the batch is empty."""
         # One value per touched partition: days of a batch, or slots of a snapshot.
@@ -63,9 +72,7 @@ class KeyedTable:
             for value, size in _sizes(kept, self.partition).items():
                 touched[value] += size
             rows = rows.unionByName(kept.withColumn("_age", F.lit(0)))
-        order = (*self.newest, "_age")
-        ties = [c for c in self.schema.names if c not in self.keys and c not in order]
-        merged = latest_per_key(rows, self.keys, order, ties).select(*self.schema.names)
+        merged = self._winners(rows, (*self.newest, "_age"))
         files = 1 + max(touched.values()) // self.rows_per_file
         share = F.pmod(F.xxhash64(*self.keys), F.lit(files))
         spread = merged.repartition(self.partition, share)
