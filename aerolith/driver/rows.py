@@ -177,6 +177,28 @@ def p12(b: Binding) -> DataFrame:
     return projections.display_shape(b.realtime)
 
 
+@query(
+    "p12_display_series",
+    o.using(
+        "hourly",
+        """SELECT h.station_id, h.timestamp AS time, hour(h.timestamp)::int AS hour, temperature AS temp, humidity,
+ pm25 AS pm2_5, aqi_index AS aqi_value FROM hourly h
+ JOIN (SELECT station_id, max(date) AS date FROM hourly GROUP BY station_id) d
+ ON h.station_id = d.station_id AND h.date = d.date""",
+    ),
+)
+def p12_series(b: Binding) -> DataFrame:
+    return projections.display_series(b.serving("hourly").hourly_all())
+
+
+@query(
+    "p12_display_history",
+    o.using("daily", "SELECT station_id, date, avg_temp, max_temp, min_temp, avg_aqi, peak_aqi_hour FROM daily"),
+)
+def p12_history(b: Binding) -> DataFrame:
+    return projections.display_history(b.daily)
+
+
 @query(
     "p13_stamp_ingestion",
     f"""SELECT event_id, value AS pm25, TIMESTAMP '{AS_OF} 06:30:00' AS timestamp, '{AS_OF}' AS date FROM events""",

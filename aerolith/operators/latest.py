@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,11 +33,9 @@ def latest_per_key(
 
 
 def clamp_limit(limit: int | str | None) -> int:
-    """Series length: 30 when absent, zero or not a number, else held within 1..500."""
-    try:
-        wanted = int(limit or 0)
-    except ValueError:
-        wanted = 0
+    """Series length: 30 when absent, zero or not starting with a number, else held within 1..500."""
+    leading = re.match(r"\s*([+-]?\d+)", str(limit or ""))
+    wanted = int(leading.group(1)) if leading else 0
     return min(max(wanted or DEFAULT_SERIES, 1), MAX_SERIES)
 
 

@@ -91,6 +91,19 @@ def display_shape(realtime: DataFrame) -> DataFrame:
     )
 
 
+def display_series(series: DataFrame) -> DataFrame:
+    """Series or day-timeline rows as the charts read them."""
+    kept = ("station_id", "time", "hour", "temp", "humidity", "pm2_5", "aqi_value")
+    shown = rename(series, {"timestamp": "time", **DISPLAY_NAMES})
+    return shown.select(*[c for c in kept if c in shown.columns])
+
+
+def display_history(daily: DataFrame) -> DataFrame:
+    """Daily rows as the history page reads them."""
+    kept = ("station_id", "date", "avg_temp", "max_temp", "min_temp", "avg_aqi", "peak_aqi_hour")
+    return daily.select(*[c for c in kept if c in daily.columns])
+
+
 def stamp_ingestion(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Event time and day taken from one instant: now, or ``as_of``."""
     instant = F.lit(str(as_of)).cast("timestamp") if as_of else F.current_timestamp()

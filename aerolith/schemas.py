@@ -32,15 +32,16 @@ STATION_EXTRAS = _struct([("station_name", _S), ("latitude", _D), ("longitude",
 
 REGISTRY = _struct([("station_id", _S), ("city_id", _I), ("province", _S), ("region", _S)])
 
+# Numbers are taken as text first: some feeds quote them.
 OBSERVATION_PAYLOAD = _struct(
     [
         (
             "current",
             _struct(
                 [
-                    ("temp_c", _D),
-                    ("humidity", _D),
-                    ("air_quality", _struct([("pm2_5", _D), ("no2", _D)])),
+                    ("temp_c", _S),
+                    ("humidity", _S),
+                    ("air_quality", _struct([("pm2_5", _S), ("no2", _S)])),
                 ]
             ),
         )

@@ -60,14 +60,14 @@ def _fileable(prefix: str = "") -> Column:
 
 
 def _observed(payloads: DataFrame, payload: str) -> DataFrame:
-    return payloads.withColumn("_p", F.from_json(payload, schemas.OBSERVATION_PAYLOAD)).drop(payload)
-
-
-def _is_complete() -> Column:
-    current = F.col("_p.current")
-    return F.coalesce(
-        current["temp_c"].isNotNull() & current["humidity"].isNotNull() & current["air_quality"].isNotNull(),
-        F.lit(False),
+    parsed = payloads.withColumn("_p", F.from_json(payload, schemas.OBSERVATION_PAYLOAD))
+    return parsed.withColumn(
+        "_whole",
+        F.expr(
+            "coalesce(try_cast(_p.current.temp_c AS DOUBLE) IS NOT NULL"
+            " AND try_cast(_p.current.humidity AS DOUBLE) IS NOT NULL"
+            " AND _p.current.air_quality IS NOT NULL, false)"
+        ),
     )
 
 
@@ -77,29 +77,23 @@ def flatten_observation(payloads: DataFrame, payload: str = "payload") -> DataFr
     Temperature and humidity must be there (with the air-quality object); a missing pollutant
     counts as 0.0. Other columns pass through.
     """
-    air = F.col("_p.current.air_quality")
+    others = [c for c in payloads.columns if c != payload]
     return (
         _observed(payloads, payload)
-        .where(_is_complete())
-        .withColumns(
-            {
-                "pm25": F.coalesce(air["pm2_5"], F.lit(0.0)),
-                "temperature": F.col("_p.current.temp_c"),
-                "humidity": F.col("_p.current.humidity"),
-                "no2": F.coalesce(air["no2"], F.lit(0.0)),
-            }
+        .where("_whole")
+        .selectExpr(
+            *others,
+            "coalesce(try_cast(_p.current.air_quality.pm2_5 AS DOUBLE), 0D) AS pm25",
+            "try_cast(_p.current.temp_c AS DOUBLE) AS temperature",
+            "try_cast(_p.current.humidity AS DOUBLE) AS humidity",
+            "coalesce(try_cast(_p.current.air_quality.no2 AS DOUBLE), 0D) AS no2",
         )
-        .drop("_p")
     )
 
 
 def rejected_observations(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """The payloads ``flatten_observation`` leaves out."""
-    return (
-        payloads.withColumn("_p", F.from_json(payload, schemas.OBSERVATION_PAYLOAD))
-        .where(~_is_complete())
-        .drop("_p")
-    )
+    return _observed(payloads, payload).where("NOT _whole").select(*payloads.columns)
 
 
 def explode_hourly(payloads: DataFrame, payload: str, names: dict[str, str]) -> DataFrame:

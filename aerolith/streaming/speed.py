@@ -63,6 +63,19 @@ def land_stream(
     return _triggered(writer, interval).start()
 
 
+def quarantine_stream(
+    rejected: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER
+) -> StreamingQuery:
+    """Append the text of messages that could not be filed."""
+    writer = (
+        rejected.writeStream.format("text")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, interval).start()
+
+
 def each_batch(
     stream: DataFrame,
     apply: Callable[[DataFrame, int], None],

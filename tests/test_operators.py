@@ -130,7 +130,7 @@ def test_latest_per_key(readings, rows_of):
 
 
 @pytest.mark.parametrize(
-    ("asked", "given"), [(None, 30), (0, 30), ("x", 30), ("7", 7), (-4, 1), (501, 500), (12, 12)]
+    ("asked", "given"), [(None, 30), (0, 30), ("x", 30), ("7", 7), ("12abc", 12), ("7.9", 7), (-4, 1), (501, 500), (12, 12)]
 )
 def test_series_limit(asked, given):
     assert latest.clamp_limit(asked) == given

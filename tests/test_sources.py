@@ -142,7 +142,9 @@ def test_decoding_keeps_malformed_rows_and_quarantine_takes_them(spark, rows_of)
 def test_observations(spark, rows_of):
     text = [
         ("full", '{"current":{"temp_c":30.5,"humidity":70,"air_quality":{"pm2_5":12.5,"no2":3}}}'),
+        ("quoted", '{"current":{"temp_c":"31","humidity":"71","air_quality":{"pm2_5":"2.5","no2":"?"}}}'),
         ("no pollutants", '{"current":{"temp_c":30,"humidity":70,"air_quality":{}}}'),
+        ("wordy", '{"current":{"temp_c":"warm","humidity":70,"air_quality":{}}}'),
         ("no temperature", '{"current":{"humidity":70,"air_quality":{"pm2_5":1}}}'),
         ("no humidity", '{"current":{"temp_c":30,"air_quality":{"pm2_5":1}}}'),
         ("no air", '{"current":{"temp_c":30,"humidity":70}}'),
@@ -151,8 +153,8 @@ def test_observations(spark, rows_of):
     ]
     payloads = spark.createDataFrame(text, "station_id string, payload string")
     flat = messages.flatten_observation(payloads)
-    assert rows_of(flat, "station_id") == [("full", 12.5, 30.5, 70.0, 3.0), ("no pollutants", 0.0, 30.0, 70.0, 0.0)]
-    assert messages.rejected_observations(payloads).count() == 5
+    assert rows_of(flat, "station_id") == [("full", 12.5, 30.5, 70.0, 3.0), ("no pollutants", 0.0, 30.0, 70.0, 0.0), ("quoted", 2.5, 31.0, 71.0, 0.0)]
+    assert messages.rejected_observations(payloads).count() == 6
 
 
 def test_hourly_arrays_of_unequal_length(spark, rows_of):
