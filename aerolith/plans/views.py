@@ -11,7 +11,7 @@ from aerolith.operators import projections, rollups
 from aerolith.operators.filters import rolling_window
 from aerolith.operators.joins import enrich_left
 from aerolith.operators.latest import latest_per_key
-from aerolith.session import run_dir
+from aerolith.session import delete_path, run_dir
 from aerolith.sinks.tables import publish_view, write_enriched_lake
 from aerolith.sources.lake import load_master
 from aerolith.sources.registry import scan_stations
@@ -90,3 +90,4 @@ def run_daily_batch(
     order = ("date", "region", "province", "station_id")
     publish_view(daily_from(state, stations).orderBy(*order), output_root, "daily")
     publish_view(summary_from(state, stations).orderBy(*order[1:]), output_root, "summary")
+    delete_path(spark, state_path)

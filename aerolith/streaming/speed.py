@@ -76,6 +76,19 @@ def quarantine_stream(
     return _triggered(writer, interval).start()
 
 
+def send_stream(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, interval: str | None = TRIGGER
+) -> StreamingQuery:
+    """Unkeyed messages to a Kafka topic (connector package required)."""
+    writer = (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, interval).start()
+
+
 def each_batch(
     stream: DataFrame,
     apply: Callable[[DataFrame, int], None],

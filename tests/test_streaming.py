@@ -45,10 +45,9 @@ def test_landing_files_valid_rows_once_and_quarantines_the_rest(spark, feed, tmp
     def run():
         raw = feed.messages()
         landed = messages.valid_readings(messages.decode_readings(raw))
-        rejected = messages.quarantined(raw).writeStream.format("text").option("checkpointLocation", check2)
         speed.drain(
             speed.land_stream(landed, lake, check1, interval=None),
-            rejected.trigger(availableNow=True).start(held),
+            speed.quarantine_stream(messages.quarantined(raw), held, check2, interval=None),
         )
         return spark.read.schema(schemas.READING).parquet(lake)
 
@@ -159,7 +158,9 @@ def test_state_settings_are_put_back(spark):
     assert (spark.conf.get(partitions), spark.conf.get(provider)) == before
 
 
-def test_kafka_without_its_connector_says_so(spark):
+def test_kafka_without_its_connector_says_so(spark, feed, tmp_path):
+    with pytest.raises(Exception, match="kafka"):
+        speed.send_stream(feed.messages(), "nowhere:9092", "topic", str(tmp_path / "c"))
     with pytest.raises(Exception, match="kafka"):
         messages.kafka_messages(spark, "nowhere:9092", "topic")
     with pytest.raises(Exception, match="kafka"):
