@@ -127,24 +127,47 @@ class Binding:
     def summary(self) -> DataFrame:
         return views.summary_view(self.readings, self.stations, HOW)
 
+    @cached_property
+    def labelled(self) -> DataFrame:
+        """Rated readings of all stations, known or not: no join."""
+        return projections.rate(self.readings)
+
+    @cached_property
+    def windows(self) -> DataFrame:
+        """Hourly statistics of known stations, aggregated before the station lookup."""
+        hourly = rollups.hourly_rollup(self.labelled, keys=("station_id",), how=HOW)
+        return hourly.join(self.stations, "station_id")
+
     @cached_property
     def station_hours(self) -> DataFrame:
-        """Hourly means per station at their own hour, without labels."""
-        return self._hours(self.readings, "station_id")
+        """Hourly means per station."""
+        return self._means(self._hour_state, "station_id")
 
     @cached_property
     def region_hours(self) -> DataFrame:
-        """Hourly means per region; regions stand in for stations where whole days are needed."""
-        rows = self._hours(
-            self.readings.join(self.stations, "station_id").drop("station_id"), "region"
-        )
+        """Hourly means per region; regions stand in for stations where whole days are needed.
+
+        Station-hours are summed first, so the join and the hot regions see few rows.
+        """
+        rows = self._means(self._hour_state.join(self.stations, "station_id"), "region")
         return rows.withColumns({"station_id": F.col("region"), "province": F.col("region")})
 
-    def _hours(self, rows: DataFrame, key: str) -> DataFrame:
-        windowed = rollups.hourly_rollup(projections.rate(rows), keys=(key,), how=HOW)
-        local = projections.with_day(projections.local_hours(windowed, 0))
-        return projections.serving_aliases(local).select(
-            key, "date", "timestamp", *schemas.MEASURES
+    @cached_property
+    def _hour_state(self) -> DataFrame:
+        hours = self.readings.withColumn("hour_start", F.window("timestamp", "1 hour")["start"])
+        return rollups.daily_partials(hours, ("station_id", "hour_start"), HOW)
+
+    def _means(self, state: DataFrame, key: str) -> DataFrame:
+        means = rollups.summary_from_partials(state, HOW, (key, "hour_start"))
+        return projections.with_day(
+            means.select(
+                key,
+                F.col("hour_start").alias("timestamp"),
+                F.col("avg_pm25").alias("pm25"),
+                F.col("avg_temp").alias("temperature"),
+                F.col("avg_humidity").alias("humidity"),
+                F.col("avg_no2").alias("no2"),
+            )
         )
 
     def serving(self, *needed: str) -> Serving:

@@ -141,9 +141,8 @@ def a4(b: Binding) -> DataFrame:
 )
 def a5(b: Binding) -> DataFrame:
     return (
-        rollups.hourly_rollup(b.rated, how=HOW)
-        .withColumns({"hour_start": F.col("window.start"), "hour_stop": F.col("window.end")})
-        .drop("window")
+        b.windows.withColumns({"hour_start": F.col("window.start"), "hour_stop": F.col("window.end")})
+        .drop("window", "region")
     )
 
 

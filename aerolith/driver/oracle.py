@@ -74,6 +74,10 @@ RATED = f"""rated AS (
  FROM (SELECT r.*, s.province, s.region, {aqi('r.pm25')} AS aqi_index
   FROM readings r JOIN stations s ON r.station_id = s.station_id))"""
 
+LABELLED = f"""labelled AS (
+ SELECT *, {aqi_alert('aqi_index')} AS aqi_alert, {temp_alert('temperature')} AS temp_alert
+ FROM (SELECT *, {aqi('pm25')} AS aqi_index FROM readings))"""
+
 REALTIME = """realtime AS (
  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY timestamp DESC, event_id DESC) AS _n
   FROM rated) WHERE _n = 1)"""
@@ -164,6 +168,7 @@ _PARTS = {
     "stations": (STATIONS, ()),
     "enriched": (ENRICHED, ("readings", "stations")),
     "rated": (RATED, ("readings", "stations")),
+    "labelled": (LABELLED, ("readings",)),
     "realtime": (REALTIME, ("rated",)),
     "daily": (DAILY, ("enriched",)),
     "summary": (SUMMARY, ("enriched",)),

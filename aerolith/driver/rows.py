@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.driver import oracle as o
-from aerolith.driver.binding import AS_OF, HOW, Binding, query, without_zone
+from aerolith.driver.binding import AS_OF, Binding, query, without_zone
 from aerolith.functions import (
     alert_display,
     aqi_alert,
@@ -133,7 +133,7 @@ def p7(b: Binding) -> DataFrame:
     ),
 )
 def p8(b: Binding) -> DataFrame:
-    windowed = rollups.hourly_rollup(b.rated, how=HOW).select(
+    windowed = b.windows.select(
         "station_id",
         F.col("window.start").alias("hour_start"),
         "avg_temp",
@@ -241,15 +241,15 @@ def f2(b: Binding) -> DataFrame:
 @query(
     "f3_alert_labels",
     o.using(
-        "rated",
-        """SELECT event_id, aqi_alert, temp_alert FROM rated
+        "labelled",
+        """SELECT event_id, aqi_alert, temp_alert FROM labelled
  WHERE aqi_alert IN ('Unhealthy for Sensitive Groups', 'Unhealthy', 'Very Unhealthy', 'Hazardous')
  AND temp_alert IN ('Hot', 'Extreme Heat', 'Too Cold')""",
     ),
 )
 def f3(b: Binding) -> DataFrame:
     both = filters.with_labels(
-        filters.with_labels(b.rated, "aqi_alert", rules.ALERT_AQI), "temp_alert", rules.ALERT_TEMP
+        filters.with_labels(b.labelled, "aqi_alert", rules.ALERT_AQI), "temp_alert", rules.ALERT_TEMP
     )
     return both.select("event_id", "aqi_alert", "temp_alert")
 
@@ -336,10 +336,10 @@ def x1(b: Binding) -> DataFrame:
 
 @query(
     "x2_aqi_alert",
-    o.using("rated", "SELECT event_id, aqi_alert FROM rated"),
+    o.using("labelled", "SELECT event_id, aqi_alert FROM labelled"),
 )
 def x2(b: Binding) -> DataFrame:
-    return b.rated.select("event_id", aqi_alert("aqi_index").alias("aqi_alert"))
+    return b.labelled.select("event_id", aqi_alert("aqi_index").alias("aqi_alert"))
 
 
 @query(
@@ -389,23 +389,23 @@ def x5(b: Binding) -> DataFrame:
 @query(
     "x6_aqi_category",
     o.using(
-        "rated", f"SELECT event_id, {o.aqi_alert('aqi_index', 'Unhealthy (SG)')} AS aqi_category FROM rated"
+        "labelled", f"SELECT event_id, {o.aqi_alert('aqi_index', 'Unhealthy (SG)')} AS aqi_category FROM labelled"
     ),
 )
 def x6(b: Binding) -> DataFrame:
-    return b.rated.select("event_id", aqi_category("aqi_index").alias("aqi_category"))
+    return b.labelled.select("event_id", aqi_category("aqi_index").alias("aqi_category"))
 
 
 @query(
     "x7_is_anomaly",
     o.using(
-        "rated",
+        "labelled",
         """SELECT event_id, aqi_alert IN ('Unhealthy for Sensitive Groups', 'Unhealthy', 'Very Unhealthy', 'Hazardous')
-  OR temp_alert IN ('Extreme Heat', 'Too Cold') AS is_anomaly FROM rated""",
+  OR temp_alert IN ('Extreme Heat', 'Too Cold') AS is_anomaly FROM labelled""",
     ),
 )
 def x7(b: Binding) -> DataFrame:
-    return b.rated.select(
+    return b.labelled.select(
         "event_id", is_anomaly("aqi_alert", "temp_alert").alias("is_anomaly")
     )
 
@@ -538,13 +538,13 @@ def x19(b: Binding) -> DataFrame:
 @query(
     "x20_is_benign",
     o.using(
-        "rated",
+        "labelled",
         """SELECT event_id, aqi_alert IN ('Good', 'Moderate', 'Normal') AS air_benign,
- temp_alert IN ('Good', 'Moderate', 'Normal') AS temp_benign FROM rated""",
+ temp_alert IN ('Good', 'Moderate', 'Normal') AS temp_benign FROM labelled""",
     ),
 )
 def x20(b: Binding) -> DataFrame:
-    return b.rated.select(
+    return b.labelled.select(
         "event_id",
         is_benign("aqi_alert").alias("air_benign"),
         is_benign("temp_alert").alias("temp_benign"),
