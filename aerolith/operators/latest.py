@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SERIES = 30
@@ -13,21 +13,20 @@ MAX_SERIES = 500
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], newest: Sequence[str | Column], tiebreak: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], newest: Sequence[str], tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """The whole row with the greatest ``newest`` (then ``tiebreak``) of each key.
 
     An aggregate rather than a window: every task sends on at most one row per key, so a key
-    that holds much of the data costs no more than any other. Without ``tiebreak`` the remaining
-    columns break ties, which keeps the result the same on every run.
+    that holds much of the data costs no more than any other. The remaining columns break the
+    ties that are left, which keeps the result the same on every run.
     """
     rest = [c for c in df.columns if c not in keys]
-    named = [c for c in newest if isinstance(c, str)]
-    ties = list(tiebreak) or [c for c in rest if c not in named]
-    order = F.struct(*newest, *ties)
+    leading = [*newest, *tiebreak]
+    whole = F.struct(*leading, *[c for c in rest if c not in leading])
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
+        .agg(F.max(whole).alias("_row"))
         .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
     )
 

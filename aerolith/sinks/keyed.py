@@ -56,8 +56,7 @@ class KeyedTable:
         return self._winners(rows, self.newest) if self.newest else rows
 
     def _winners(self, rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
-        ties = [c for c in self.schema.names if c not in self.keys and c not in order]
-        return latest_per_key(rows, self.keys, order, ties).select(*self.schema.names)
+        return latest_per_key(rows, self.keys, order).select(*self.schema.names)
 
     def _stage(self, incoming: DataFrame, staged: str) -> bool:
         """Write the touched partitions as they will be; False when the batch is empty."""
