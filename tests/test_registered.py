@@ -8,6 +8,7 @@ from functools import cache
 import pytest
 
 import __spark_entry__ as driver
+from aerolith.driver.catalog import ORACLES, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 DATA = driver.SMOKE_DIR
@@ -23,19 +24,19 @@ def _oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.oracle_sql()) == set(driver.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, name):
-    df = driver.queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
     got = sorted(repr(tuple(r)) for r in df.select(*columns).collect())
-    answer = _oracle().execute(driver.oracle_sql()[name])
+    answer = _oracle().execute(ORACLES[name])
     names = [d[0] for d in answer.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
