@@ -7,8 +7,9 @@ without words the set is empty and links with nothing). Two documents link when
 1. Equal sets are one class from the start, so exact copies cost one row each.
 2. Every class has a prefix: its smallest shingle hashes, so many that two linked classes share at least
    ``need`` of them. A class whose prefix meets the prefixes of *all* others in fewer shingles cannot qualify for
-   any group and leaves. The rarest shared shingles of those left, all but ``need - 1``, connect
-   classes into groups: linked classes are always in one group, and no pair is emitted.
+   any group and leaves; so does one that falls short within its band of set sizes. The rarest shared
+   shingles of those left, all but ``need - 1``, connect classes of a band into groups: linked classes are
+   always in one group, and no pair is emitted.
 3. A group is stored in blocks of bounded size: the union of its shingles and, for each member, its row of
    the token-group matrix (places in that union). Blocks of a large group are met pairwise.
 4. In a pair of blocks each member of one is a query: its overlap with the other's union bounds its
@@ -24,12 +25,13 @@ an empty result.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.llm.arrays import SPACES, hash_terms, list_array, mix, ragged, sliced, split_words, text_bytes
@@ -37,7 +39,7 @@ from aerolith.llm.components import components
 from aerolith.llm.tables import id_key, id_value, stored, texts
 
 MEMBERS = 256
-SHINGLES = 1 << 19
+SHINGLES = 1 << 17
 SKETCH = "row long, doc_id long, n_shingles long, class binary, need int, prefix array<long>"
 GROUP = "group long, block int, classes binary, copies binary, sizes binary, shingles binary, matrix binary"
 LINKS = "class long, with long, n_links long"
@@ -101,30 +103,49 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, limit: tuple[int, i
             )
 
 
-def _groups(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+def _size_band(size: str, limit: tuple[int, int]) -> Column:
+    """Bands of set sizes: a set and any larger one that it can link with are at most one band apart."""
+    return F.floor(F.log(F.col(size).cast("double")) / F.lit(math.log(limit[1] / limit[0]) * 1.0001)).cast("int")
+
+
+def _groups(sketches: DataFrame, classes: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """``class, group`` of the classes that may link with another one."""
     shared_by = (
         sketches.join(classes.select(F.col("_class").alias("row")), "row", "left_semi")
-        .select(F.col("row").alias("class"), "need", F.explode("prefix").alias("shingle"))
+        .select(F.col("row").alias("class"), F.struct("need", "n_shingles").alias("_set"), F.explode("prefix").alias("shingle"))
         .repartition("shingle")
     )
     known = (
         shared_by.groupBy("shingle")
+        .agg(F.min("class").alias("_first"), F.max("class").alias("_last"))
+        .where("_first < _last")
+        .select("shingle")
+    )
+    # Only sets of like size can link: what follows happens within bands of sizes, each set in its own and the next.
+    banded = (
+        shared_by.join(known.hint("shuffle_hash"), "shingle")
+        .select("class", "shingle", "_set.*")
+        .withColumn("band", _size_band("n_shingles", limit))
+        .select("class", "shingle", "need", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+        .repartition("band", "shingle")
+    )
+    held = (
+        banded.groupBy("band", "shingle")
         .agg(F.min("class").alias("_first"), F.max("class").alias("_last"), F.count(F.lit(1)).alias("_held"))
         .where("_first < _last")
-        .select("shingle", "_held")
+        .select("band", "shingle", "_held")
     )
-    shared = shared_by.join(known.hint("shuffle_hash"), "shingle")
-    one = Window.partitionBy("class")
+    one = Window.partitionBy("class", "band")
     rare = stored(
-        shared.withColumn("_size", F.count(F.lit(1)).over(one))
+        banded.join(held.hint("shuffle_hash"), ["band", "shingle"])
+        .withColumn("_size", F.count(F.lit(1)).over(one))
         .withColumn("_nth", F.row_number().over(one.orderBy("_held", "shingle")))
         .where("_size >= need AND _nth <= _size - need + 1")
-        .select("class", "shingle"),
+        .select("class", "band", "shingle"),
         "rare",
     )
-    first = rare.groupBy("shingle").agg(F.min("class").alias("_first"))
-    edges = rare.join(first, "shingle").where("_first < class").select(F.col("_first").alias("a"), F.col("class").alias("b")).distinct()
+    first = rare.groupBy("band", "shingle").agg(F.min("class").alias("_first"))
+    edges = rare.join(first, ["band", "shingle"]).where("_first < class").select(F.col("_first").alias("a"), F.col("class").alias("b"))
     return components(edges).select(F.col("node").alias("_class"), F.col("root").alias("group"))
 
 
@@ -236,7 +257,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, limit: tuple[int, int] =
         ),
         "classes",
     )
-    grouped = _groups(sketches, classes)
+    grouped = _groups(sketches, classes, limit)
     members = stored(
         grouped.join(classes, "_class").select(F.col("_least").alias("doc_id"), "class", "_class", "n_shingles", "copies", "group"), "members"
     )
