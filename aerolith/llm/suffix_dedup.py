@@ -40,7 +40,7 @@ KEY = 64
 SHARD = 1 << 19
 MOST = 2048
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-SCAN = "row long, doc_id long, n_bytes long, sha binary, firsts array<int>, keys array<long>"
+SCAN = "row long, doc_id long, n_bytes long, sha binary, firsts array<int>, keys array<long>, own array<long>"
 SUSPECT = "row long, text binary, firsts array<int>, owned array<int>, keys array<long>"
 FOUND = "low long, high long, spans array<struct<start:int,end:int>>, prints array<struct<low:long,high:long,at:int>>"
 SPANS = "array<struct<start:int,end:int>>"
@@ -236,14 +236,18 @@ def _scan(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
             content, offsets = text_bytes(part.column("text"))
             row, first, _, keys = anchors(content, offsets, length, min(KEY, length // 2 // 8 * 8))
             bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
+            order = np.lexsort((keys, row))
+            same = np.flatnonzero((keys[order][1:] == keys[order][:-1]) & (row[order][1:] == row[order][:-1]))
+            twice, twice_row = keys[order][same], row[order][same]  # keys that one document has more than once
             raw = content.tobytes()
             sha = [hashlib.sha256(raw[a:b]).digest() for a, b in itertools.pairwise(offsets.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([next(number) for _ in sha], pa.int64()), part.column("doc_id"), pa.array(np.diff(offsets)),
                     pa.array(sha, pa.binary()), list_array(first.astype(np.int32), bounds), list_array(keys, bounds),
+                    list_array(twice, np.searchsorted(twice_row, np.arange(part.num_rows + 1))),
                 ],
-                ["row", "doc_id", "n_bytes", "sha", "firsts", "keys"],
+                ["row", "doc_id", "n_bytes", "sha", "firsts", "keys", "own"],
             )
 
 
@@ -257,8 +261,9 @@ def _suspects(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
                     continue  # another text with the same id
                 firsts = np.array(row["firsts"])
                 owned = np.diff(np.append(firsts, len(raw) - length + 1))
-                again = np.sort(np.array(row["again"]))
-                rows.append((row["row"], raw, firsts[again], owned[again], np.array(row["keys"])[again]))
+                keys = np.array(row["keys"])
+                again = np.isin(keys, row["again"])
+                rows.append((row["row"], raw, firsts[again], owned[again], keys[again]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
@@ -327,10 +332,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         scan.groupBy("sha").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"), F.min("n_bytes").alias("n_bytes")), "classes"
     )
     one = scan.join(classes.select("row"), "row", "left_semi")
-    keyed = one.select("row", F.posexplode("keys").alias("nth", "key")).repartition("key")
+    keyed = one.select("row", F.explode(F.array_distinct("keys")).alias("key")).repartition("key")
     again = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
-    listed = keyed.join(again.hint("shuffle_hash"), "key").groupBy("row").agg(F.collect_list("nth").alias("again"))
-    found = rows.join(one.join(listed, "row"), "doc_id").select("text", "row", "sha", "firsts", "keys", "again")
+    listed = keyed.join(again.hint("shuffle_hash"), "key").groupBy("row").agg(F.collect_list("key").alias("_again"))
+    known = (
+        one.join(listed, "row", "left")
+        .withColumn("again", F.concat(F.coalesce("_again", F.array().cast("array<long>")), "own"))
+        .where(F.size("again") > 0)
+    )
+    found = rows.join(known, "doc_id").select("text", "row", "sha", "firsts", "keys", "again")
     name = f"suspects_{uuid.uuid4().hex[:12]}"
     (
         found.mapInArrow(lambda b: _suspects(b, length), SUSPECT)
