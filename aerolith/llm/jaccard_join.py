@@ -145,7 +145,16 @@ def _groups(sketches: DataFrame, classes: DataFrame, limit: tuple[int, int]) ->
         "rare",
     )
     first = rare.groupBy("band", "shingle").agg(F.min("class").alias("_first"))
-    edges = rare.join(first, ["band", "shingle"]).where("_first < class").select(F.col("_first").alias("a"), F.col("class").alias("b"))
+    # All first classes that a class meets are one component: they are tied to the smallest of them, which many
+    # classes of a large group have in common, and so is the class. Edges stay about as many as classes.
+    met = rare.join(first, ["band", "shingle"]).select("class", "_first").distinct()
+    tied = met.withColumn("a", F.min("_first").over(Window.partitionBy("class")))
+    edges = (
+        tied.select("a", F.col("_first").alias("b"))
+        .unionByName(tied.select("a", F.col("class").alias("b")))
+        .where("a < b")
+        .distinct()
+    )
     return components(edges).select(F.col("node").alias("_class"), F.col("root").alias("group"))
 
 
@@ -183,7 +192,8 @@ def _blocks(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
         .withColumn("block", F.pmod(F.xxhash64("_class"), blocks).cast("int"))
         .select("doc_id", "class", "_class", "copies", "group", "block")
     )
-    rows = texts(docs).select(id_key().alias("doc_id"), "text").join(dealt, "doc_id").select("text", "class", "_class", "copies", "group", "block")
+    # Texts are shuffled whatever the number of members, so the cost per document is the same at every size.
+    rows = texts(docs).select(id_key().alias("doc_id"), "text").join(dealt.hint("merge"), "doc_id").select("text", "class", "_class", "copies", "group", "block")
     filled = rows.mapInArrow(sets, "group long, block int, class long, copies long, shingles array<long>")
     return stored(filled.groupBy("group", "block").applyInArrow(block, GROUP), "blocks", **{"parquet.block.size": str(32 << 20)})
 
