@@ -110,35 +110,22 @@ def _size_band(size: str, limit: tuple[int, int]) -> Column:
 
 def _groups(sketches: DataFrame, classes: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """``class, group`` of the classes that may link with another one."""
-    shared_by = (
+    # Only sets of like size can link, so all counts are within bands of sizes, each set in its own and the next.
+    # One shuffle by shingle serves the counts of all bands.
+    band = F.posexplode(F.array("_band", F.col("_band") + 1)).alias("_nth", "band")
+    held = (
         sketches.join(classes.select(F.col("_class").alias("row")), "row", "left_semi")
-        .select(F.col("row").alias("class"), F.struct("need", "n_shingles").alias("_set"), F.explode("prefix").alias("shingle"))
+        .withColumn("_band", _size_band("n_shingles", limit))
+        .select(F.col("row").alias("class"), F.struct("need", "_band").alias("_set"), F.explode("prefix").alias("shingle"))
         .repartition("shingle")
-    )
-    known = (
-        shared_by.groupBy("shingle")
-        .agg(F.min("class").alias("_first"), F.max("class").alias("_last"))
-        .where("_first < _last")
-        .select("shingle")
-    )
-    # Only sets of like size can link: what follows happens within bands of sizes, each set in its own and the next.
-    banded = (
-        shared_by.join(known.hint("shuffle_hash"), "shingle")
         .select("class", "shingle", "_set.*")
-        .withColumn("band", _size_band("n_shingles", limit))
-        .select("class", "shingle", "need", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-        .repartition("band", "shingle")
-    )
-    held = (
-        banded.groupBy("band", "shingle")
-        .agg(F.min("class").alias("_first"), F.max("class").alias("_last"), F.count(F.lit(1)).alias("_held"))
-        .where("_first < _last")
-        .select("band", "shingle", "_held")
+        .select("class", "shingle", "need", band)
+        .withColumn("_held", F.count(F.lit(1)).over(Window.partitionBy("shingle", "band")))
+        .where("_held > 1")
     )
     one = Window.partitionBy("class", "band")
     rare = stored(
-        banded.join(held.hint("shuffle_hash"), ["band", "shingle"])
-        .withColumn("_size", F.count(F.lit(1)).over(one))
+        held.withColumn("_size", F.count(F.lit(1)).over(one))
         .withColumn("_nth", F.row_number().over(one.orderBy("_held", "shingle")))
         .where("_size >= need AND _nth <= _size - need + 1")
         .select("class", "band", "shingle"),
