@@ -389,7 +389,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     everything = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end"))).cast(SPANS)
-    outcome = classes.join(cut, "row", "left").select(
+    # Rows that repeat both id and text were joined with each other: one outcome for the class.
+    outcome = classes.join(cut.dropDuplicates(["row"]), "row", "left").select(
         "sha",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
         F.when(copied, everything).otherwise(F.coalesce("spans", F.array().cast(SPANS))).alias("spans"),
