@@ -23,7 +23,7 @@ from aerolith.streaming.speed import state_settings
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Means in registered queries add whole hundredths, so both engines agree to the last digit.
+# The mean that the jobs use: whole millionths, so both engines agree to the last digit.
 HOW = "fixed"
 TIEBREAK = ("event_id",)
 AS_OF = "2024-01-31"

@@ -35,7 +35,7 @@ def half_away(x: str, digits: int) -> str:
     return f"round(({x})::varchar::decimal(38,20),{digits})::double"
 
 
-def mean(x: str, digits: int, scale: int = 2, ties: str = "away") -> str:
+def mean(x: str, digits: int, scale: int = 6, ties: str = "away") -> str:
     """Rounded mean from whole 10**-scale units."""
     total = f"(sum(cast(round(({x})*{10**scale}) AS bigint))::bigint)"
     n, step = f"(count({x}))", 10 ** (scale - digits)

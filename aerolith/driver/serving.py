@@ -201,14 +201,14 @@ def q10_alerts(b: Binding) -> DataFrame:
     "q10_city_stats",
     o.using(
         "summary city_ids",
-        f"""SELECT section, city_id, city_name, temp, aqi FROM (
- (SELECT 'hottest' AS section, city_id, s.province AS city_name, avg_temp AS temp, {o.aqi('avg_pm25', 'NULL')} AS aqi
+        f"""SELECT section, rank::int AS rank, city_id, city_name, temp, aqi FROM (
+ (SELECT 'hottest' AS section, row_number() OVER (ORDER BY avg_temp DESC NULLS LAST, station_id) AS rank, city_id, s.province AS city_name, avg_temp AS temp, {o.aqi('avg_pm25', 'NULL')} AS aqi
   FROM summary s LEFT JOIN city_ids c ON s.province = c.province ORDER BY avg_temp DESC NULLS LAST, station_id LIMIT 5)
  UNION ALL
- (SELECT 'polluted', city_id, s.province, avg_temp, {o.aqi('avg_pm25', 'NULL')}
+ (SELECT 'polluted', row_number() OVER (ORDER BY avg_pm25 DESC NULLS LAST, station_id), city_id, s.province, avg_temp, {o.aqi('avg_pm25', 'NULL')}
   FROM summary s LEFT JOIN city_ids c ON s.province = c.province ORDER BY avg_pm25 DESC NULLS LAST, station_id LIMIT 5)
  UNION ALL
- SELECT 'national', NULL, NULL, t, {o.aqi('p', 'NULL')} FROM (SELECT {o.mean('avg_temp', 2, ties='even')} AS t,
+ SELECT 'national', NULL, NULL, NULL, t, {o.aqi('p', 'NULL')} FROM (SELECT {o.mean('avg_temp', 2, ties='even')} AS t,
   {o.mean('avg_pm25', 2, ties='even')} AS p FROM summary))""",
     ),
 )

@@ -65,7 +65,7 @@ def units_sql(x: str, scale: int) -> str:
     return f"CAST(rint(({x}) * {10.0**scale!r}D) AS BIGINT)"
 
 
-def mean_sql(x: str, digits: int, how: str = "double", scale: int = 2, ties: str = "away") -> str:
+def mean_sql(x: str, digits: int, how: str = "fixed", scale: int = 6, ties: str = "away") -> str:
     if how == "double":
         return _ROUNDERS[ties](f"avg({x})", digits)
     if how == "fixed":
@@ -85,11 +85,12 @@ def half_even(x: str, digits: int) -> Column:
     return F.expr(half_even_sql(x, digits))
 
 
-def mean(x: str, digits: int, how: str = "double", scale: int = 2, ties: str = "away") -> Column:
+def mean(x: str, digits: int, how: str = "fixed", scale: int = 6, ties: str = "away") -> Column:
     """Aggregate: rounded mean of ``x``.
 
+    ``how='fixed'``, which jobs and queries use, sums whole 10**-scale units, so re-runs and
+    recovered tasks give one answer, exact for readings with at most ``scale`` decimals. A sum
+    beyond 64 bits is an error, never a wrong value (values up to 1000: four billion rows a group).
     ``how='double'`` rounds ``avg(x)``, whose last bits depend on the order rows are summed in.
-    ``how='fixed'`` sums whole 10**-scale units, so re-runs and recovered tasks give one answer;
-    it needs readings with at most ``scale`` decimals.
     """
     return F.expr(mean_sql(x, digits, how, scale, ties))

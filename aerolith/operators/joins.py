@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.rounding import half_up
@@ -61,10 +61,17 @@ def enrich_inner(
 
 
 def merge_feeds(
-    forecast: DataFrame, archive: DataFrame, air: DataFrame, key: str = "station_id"
+    forecast: DataFrame,
+    archive: DataFrame,
+    air: DataFrame,
+    key: str = "station_id",
+    position: str | None = None,
 ) -> DataFrame:
     """Hourly rows keyed by station and time from three feeds; forecast wins over archive.
 
+    A feed may repeat an hour if ``position`` names its column of array places: of weather the first
+    value that is not null counts, of air the last row. Without it hours must be unique in a feed.
+
     The full outer merge is one aggregation of the feeds' union: a single shuffle with map-side
     combining, where two outer joins would each shuffle and sort everything.
     """
@@ -77,20 +84,30 @@ def merge_feeds(
         "pm25": "double",
         "no2": "double",
     }
+    place = F.col(position).cast("int") if position else F.lit(0)
 
     def widened(df: DataFrame, prefix: str, names: tuple[str, ...]) -> DataFrame:
         present = {prefix + n: F.col(n) for n in names}
         return df.select(
-            key, "time", *[present.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
+            key,
+            "time",
+            *[present.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns.items()],
+            place.alias("_place"),
+            (place if "pm25" in names else F.lit(None).cast("int")).alias("_air_place"),
         )
 
+    def chosen(name: str) -> Column:
+        if name in ("pm25", "no2"):
+            return F.expr(f"max_by({name}, _air_place) AS {name}")
+        return F.expr(f"min_by({name}, _place) FILTER (WHERE {name} IS NOT NULL) AS {name}")
+
     feeds = [
         widened(forecast, "_forecast_", weather),
         widened(archive, "_archive_", weather),
         widened(air, "", ("pm25", "no2")),
     ]
     merged = reduce(DataFrame.unionByName, feeds).groupBy(key, "time").agg(
-        *[F.max(c).alias(c) for c in columns]
+        *[chosen(c) for c in columns]
     )
 
     def preferred(name: str) -> str:

@@ -26,7 +26,7 @@ from aerolith.functions.rounding import (
 DAILY_KEYS = ("date", "station_id", "province", "region")
 SUMMARY_KEYS = ("station_id", "province", "region")
 _MEASURES = {"temp": "temperature", "humidity": "humidity", "pm25": "pm25", "no2": "no2"}
-_SCALE = 2
+_SCALE = 6
 _HOUR_CODES = 32
 
 
@@ -65,7 +65,7 @@ def render_date(df: DataFrame) -> DataFrame:
 def daily_partials(
     readings: DataFrame,
     keys: Sequence[str] = ("date", "station_id"),
-    how: str = "double",
+    how: str = "fixed",
     aqi_null: str = "zero",
     tz_offset_hours: int = 0,
 ) -> DataFrame:
@@ -102,7 +102,7 @@ def _mean_of_partials(name: str, digits: int, how: str, scale: int = _SCALE, mer
     return F.expr(f"{rounded} AS avg_{name}")
 
 
-def daily_from_partials(partials: DataFrame, how: str = "double") -> DataFrame:
+def daily_from_partials(partials: DataFrame, how: str = "fixed") -> DataFrame:
     keys = [c for c in DAILY_KEYS if c in partials.columns]
     return render_date(
         partials.select(
@@ -121,7 +121,7 @@ def daily_from_partials(partials: DataFrame, how: str = "double") -> DataFrame:
 
 
 def summary_from_partials(
-    partials: DataFrame, how: str = "double", keys: Sequence[str] = ("station_id",)
+    partials: DataFrame, how: str = "fixed", keys: Sequence[str] = ("station_id",)
 ) -> DataFrame:
     return partials.groupBy(*keys).agg(
         _mean_of_partials("temp", 1, how, merge=True),
@@ -133,12 +133,12 @@ def summary_from_partials(
     )
 
 
-def daily_rollup(enriched: DataFrame, how: str = "double", **options) -> DataFrame:
+def daily_rollup(enriched: DataFrame, how: str = "fixed", **options) -> DataFrame:
     """Per day and station: temperature, humidity, pm25, no2 and index statistics, peak hour, rows."""
     return daily_from_partials(daily_partials(enriched, DAILY_KEYS, how, **options), how)
 
 
-def station_summary(enriched: DataFrame, how: str = "double") -> DataFrame:
+def station_summary(enriched: DataFrame, how: str = "fixed") -> DataFrame:
     """Per station over all its days."""
     return enriched.groupBy(*SUMMARY_KEYS).agg(
         mean("temperature", 1, how).alias("avg_temp"),
@@ -150,7 +150,7 @@ def station_summary(enriched: DataFrame, how: str = "double") -> DataFrame:
     )
 
 
-def complete_daily(complete: DataFrame, how: str = "double") -> DataFrame:
+def complete_daily(complete: DataFrame, how: str = "fixed") -> DataFrame:
     """Daily rollup of complete days: whole-number humidity, first peak hour, counted temperatures."""
     rated = complete.withColumn("_aqi", rules.pm25_to_aqi("pm25", "null"))
     return render_date(
@@ -168,7 +168,7 @@ def complete_daily(complete: DataFrame, how: str = "double") -> DataFrame:
     )
 
 
-def complete_summary(complete: DataFrame, how: str = "double") -> DataFrame:
+def complete_summary(complete: DataFrame, how: str = "fixed") -> DataFrame:
     """Per-station summary of complete days."""
     return complete.groupBy(*SUMMARY_KEYS).agg(
         mean("temperature", 1, how, ties="up").alias("avg_temp"),
@@ -184,7 +184,7 @@ def hourly_rollup(
     rated: DataFrame,
     width: str = "1 hour",
     keys: Sequence[str] = ("station_id", "province"),
-    how: str = "double",
+    how: str = "fixed",
 ) -> DataFrame:
     """Tumbling-window statistics per station, on a stream or a table alike."""
 
@@ -205,7 +205,7 @@ def hourly_rollup(
     )
 
 
-def national_means(summary: DataFrame, how: str = "double") -> DataFrame:
+def national_means(summary: DataFrame, how: str = "fixed") -> DataFrame:
     """One row: the mean of the stations' means, ties to even; null for an empty summary."""
     return summary.agg(
         mean("avg_temp", 2, how, ties="even").alias("national_avg_temp"),

@@ -20,9 +20,10 @@ DAYS = 30
 def feed_rows(forecast: DataFrame, archive: DataFrame, air: DataFrame, payload: str = "payload") -> DataFrame:
     """Hourly rows of every station from columnar payloads (``station_id``, ``payload``)."""
     merged = joins.merge_feeds(
-        explode_hourly(forecast, payload, WEATHER_NAMES),
-        explode_hourly(archive, payload, WEATHER_NAMES),
-        explode_hourly(air, payload, AIR_NAMES),
+        explode_hourly(forecast, payload, WEATHER_NAMES, "_at"),
+        explode_hourly(archive, payload, WEATHER_NAMES, "_at"),
+        explode_hourly(air, payload, AIR_NAMES, "_at"),
+        position="_at",
     )
     timed = merged.withColumn("timestamp", F.col("time").cast("timestamp_ntz")).drop("time")
     return timed.withColumn("date", day_string("timestamp"))

@@ -128,10 +128,10 @@ class Serving:
     def top_stations(self, metric: str, n: int = 5) -> DataFrame:
         return ranking.top_n(self.summary_rows, metric, n).select(*RANK_COLUMNS)
 
-    def national(self, how: str = "double") -> DataFrame:
+    def national(self, how: str = "fixed") -> DataFrame:
         return rollups.national_means(self.summary_rows, how)
 
-    def stats(self, how: str = "double") -> dict[str, DataFrame]:
+    def stats(self, how: str = "fixed") -> dict[str, DataFrame]:
         """Five hottest, five most polluted, and the national means."""
         return {
             "top_hottest_stations": self.top_stations("avg_temp"),
@@ -222,24 +222,27 @@ class Serving:
             "timestamp",
         )
 
-    def city_stats(self, how: str = "double") -> dict[str, DataFrame]:
-        """``stats`` by city, pollution as an index."""
+    def city_stats(self, how: str = "fixed") -> dict[str, DataFrame]:
+        """``stats`` by city, pollution as an index; the lists keep their order and carry it as ``rank``."""
 
-        def rows(top: DataFrame) -> DataFrame:
+        def rows(metric: str) -> DataFrame:
             aqi = rules.pm25_to_aqi("avg_pm25", "null")
-            return joins.with_city(top, self.registry).select(
+            top = ranking.rank_bounded(self.top_stations(metric), F.desc_nulls_last(metric), "station_id")
+            ranked = joins.with_city(top, self.registry).select(
+                "rank",
                 "city_id",
                 F.col("province").alias("city_name"),
                 F.col("avg_temp").alias("temp"),
                 aqi.alias("aqi"),
             )
+            return ranked.orderBy("rank")
 
         national = self.national(how).select(
             "national_avg_temp",
             rules.pm25_to_aqi("national_avg_pm25", "null").alias("national_avg_aqi"),
         )
         return {
-            "top_hottest_cities": rows(self.top_stations("avg_temp")),
-            "top_polluted_cities": rows(self.top_stations("avg_pm25")),
+            "top_hottest_cities": rows("avg_temp"),
+            "top_polluted_cities": rows("avg_pm25"),
             "national": national,
         }

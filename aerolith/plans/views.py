@@ -32,7 +32,7 @@ def rate_latest(latest: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def hourly_view(
-    readings: DataFrame, stations: DataFrame, how: str = "double", tz_offset_hours: int = 7
+    readings: DataFrame, stations: DataFrame, how: str = "fixed", tz_offset_hours: int = 7
 ) -> DataFrame:
     """Hourly series of known stations, aggregated before the station lookup."""
     aqi = projections.rate(readings)
@@ -40,21 +40,21 @@ def hourly_view(
     return hourly_rows(windowed.join(stations, "station_id"), tz_offset_hours)
 
 
-def daily_view(readings: DataFrame, stations: DataFrame, how: str = "double") -> DataFrame:
+def daily_view(readings: DataFrame, stations: DataFrame, how: str = "fixed") -> DataFrame:
     """Daily rollup of all stations, aggregated before the station lookup."""
     return daily_from(rollups.daily_partials(readings, how=how), stations, how)
 
 
-def daily_from(partials: DataFrame, stations: DataFrame, how: str = "double") -> DataFrame:
+def daily_from(partials: DataFrame, stations: DataFrame, how: str = "fixed") -> DataFrame:
     return rollups.daily_from_partials(partials.join(stations, "station_id", "left"), how)
 
 
-def summary_view(readings: DataFrame, stations: DataFrame, how: str = "double") -> DataFrame:
+def summary_view(readings: DataFrame, stations: DataFrame, how: str = "fixed") -> DataFrame:
     partials = rollups.daily_partials(readings, ("station_id",), how)
     return summary_from(partials, stations, how)
 
 
-def summary_from(partials: DataFrame, stations: DataFrame, how: str = "double") -> DataFrame:
+def summary_from(partials: DataFrame, stations: DataFrame, how: str = "fixed") -> DataFrame:
     summary = rollups.summary_from_partials(partials, how)
     columns = rollups.SUMMARY_KEYS + tuple(c for c in summary.columns if c != "station_id")
     return summary.join(stations, "station_id", "left").select(*columns)

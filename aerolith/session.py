@@ -16,7 +16,7 @@ def build_session(app: str = "aerolith", master: str | None = None, **conf: str)
     """Session with adaptive execution, UTC time and no web interface.
 
     Cluster sizing (executors, memory, shuffle partitions) is left to spark-submit;
-    pass it through ``conf`` (underscores stand for dots) in local runs.
+    pass it through ``conf`` in local runs (in a name without dots, underscores stand for them).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -27,7 +27,7 @@ def build_session(app: str = "aerolith", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
     }
-    settings.update({key.replace("_", "."): value for key, value in conf.items()})
+    settings.update({key if "." in key else key.replace("_", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -15,11 +15,12 @@ from aerolith.session import path_exists
 def scan_history_csv(spark: SparkSession, path: str) -> DataFrame:
     """Hourly history files with a header, as readings.
 
-    Columns are found by name and cast one by one, so nothing is inferred from the data. Files
+    Columns are found by name and cast one by one, so nothing is inferred from the data. All files
+    of a path need one header; a file with another order or other columns is an error. Files
     without ``station_id``, ``pm25`` or ``no2`` give nulls there; ``time``, ``temp`` and ``rhum``
     are required.
     """
-    raw = spark.read.csv(path, header=True)
+    raw = spark.read.csv(path, header=True, enforceSchema=False)
     missing = [c for c in HISTORY_NAMES if c not in raw.columns]
     if missing:
         raise ValueError(f"history file lacks {missing}")

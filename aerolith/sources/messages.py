@@ -96,15 +96,20 @@ def rejected_observations(payloads: DataFrame, payload: str = "payload") -> Data
     return _observed(payloads, payload).where("NOT _whole").select(*payloads.columns)
 
 
-def explode_hourly(payloads: DataFrame, payload: str, names: dict[str, str]) -> DataFrame:
+def explode_hourly(
+    payloads: DataFrame, payload: str, names: dict[str, str], position: str | None = None
+) -> DataFrame:
     """Parallel hourly arrays to one row per array position, beside the payload's other columns.
 
     ``names`` maps the arrays wanted (next to ``time``) to their reading columns. A shorter
-    array gives nulls.
+    array gives nulls. ``position`` names a column for the place in the arrays, if wanted.
     """
     others = [c for c in payloads.columns if c != payload]
-    arrays = [F.col(payload)[a].alias(a) for a in ("time", *names)]
-    return rename(payloads.select(*others, F.inline(F.arrays_zip(*arrays))), names)
+    arrays = F.arrays_zip(*[F.col(payload)[a].alias(a) for a in ("time", *names)])
+    if position is None:
+        return rename(payloads.select(*others, F.inline(arrays)), names)
+    placed = payloads.select(*others, F.posexplode(arrays).alias(position, "_hour"))
+    return rename(placed.select(*others, position, "_hour.*"), names)
 
 
 def parse_delimited(messages: DataFrame) -> DataFrame:

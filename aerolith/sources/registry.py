@@ -65,7 +65,7 @@ def scan_stations(spark: SparkSession, path: str) -> DataFrame:
     taken along when the file has them. ``station_id`` must be unique.
     """
     raw = spark.read.csv(
-        path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
+        path, header=True, enforceSchema=False, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
     )
     missing = [f.name for f in schemas.STATION if f.name not in raw.columns]
     if missing:

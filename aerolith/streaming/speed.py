@@ -140,7 +140,7 @@ def hourly_stream(
     watermark: str | None = WATERMARK,
     width: str = "1 hour",
     keys: tuple[str, ...] = ("station_id", "province"),
-    how: str = "double",
+    how: str = "fixed",
 ) -> DataFrame:
     """Windowed statistics; rows later than the watermark are dropped. A table needs no watermark."""
     timed = rated.withWatermark("timestamp", watermark) if watermark else rated
@@ -188,6 +188,11 @@ def run_until_any_stops(queries: Iterable[StreamingQuery], poll_seconds: float =
 
 
 def drain(*queries: StreamingQuery) -> None:
-    """Wait for queries that process what is available and end."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait for queries that process what is available and end; if one fails, stop the others."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()

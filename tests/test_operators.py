@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from aerolith.functions.rounding import mean
 from aerolith.operators import complete, filters, joins, latest, projections, ranking, rollups
 from aerolith.plans import views
 
@@ -286,3 +287,16 @@ def test_stamped_ingestion(sample):
     stamped = projections.stamp_ingestion(sample, datetime(2026, 5, 1, 6, 30)).first()
     assert stamped.date == "2026-05-01" and str(stamped.timestamp) == "2026-05-01 06:30:00"
     assert projections.stamp_ingestion(sample).select("date").distinct().count() == 1
+
+
+def test_mean_of_three_decimals_as_the_jobs_take_it(spark):
+    df = spark.createDataFrame([(10.004,), (10.004,), (10.009,)], "x double")
+    assert df.agg(mean("x", 2).alias("m")).first().m == 10.01
+
+
+def test_merge_feeds_with_a_repeated_hour(spark, rows_of):
+    weather = spark.createDataFrame(
+        [("A", "t", 0, None, 1.0), ("A", "t", 1, 5.0, 2.0)], "station_id string, time string, at int, temperature double, humidity double"
+    )
+    air = spark.createDataFrame([("A", "t", 0, 50.0, 1.0), ("A", "t", 1, 10.0, None)], "station_id string, time string, at int, pm25 double, no2 double")
+    assert rows_of(joins.merge_feeds(weather, weather, air, position="at")) == [("A", "t", 5.0, 1.0, 10.0, None)]

@@ -84,9 +84,9 @@ def test_stats(serving, rows_of):
     nothing = Serving(summary_rows=serving.summary_rows.limit(0)).stats()
     assert rows_of(nothing["national"]) == [(None, None)]
     by_city = serving.city_stats()
-    assert rows_of(by_city["top_polluted_cities"].orderBy("city_id")) == [
-        (101, "Alpha", 33.3, 173),
-        (102, "Beta", 5.0, 21),
+    assert rows_of(by_city["top_polluted_cities"]) == [
+        (1, 101, "Alpha", 33.3, 173),
+        (2, 102, "Beta", 5.0, 21),
     ]
     assert rows_of(by_city["national"]) == [(19.15, 140)]
 

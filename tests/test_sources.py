@@ -171,3 +171,10 @@ def test_delimited_messages(spark, rows_of):
     got = rows_of(df, F.col("time").desc())
     assert got[0] == (1700000000000, 101, 1.0, 55.5, 45.5, 50.25)
     assert got[1] == got[2] == (None,) * 6
+
+
+def test_history_files_with_another_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("station_id,time,temp,rhum,pm25,no2\nA,2026-01-01 00:00:00,1,2,3,4\n")
+    (tmp_path / "b.csv").write_text("station_id,time,pm25,no2,temp,rhum\nA,2026-01-01 01:00:00,99,4,21,2\n")
+    with pytest.raises(Exception, match="header"):
+        lake.scan_history_csv(spark, str(tmp_path)).collect()
