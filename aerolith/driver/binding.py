@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from aerolith import schemas
 from aerolith.functions.rules import day_string
 from aerolith.operators import projections, rollups
+from aerolith.operators.filters import date_range
 from aerolith.operators.joins import enrich_left
 from aerolith.operators.latest import latest_per_key
 from aerolith.plans import views
@@ -123,6 +124,10 @@ class Binding:
     def daily(self) -> DataFrame:
         return views.daily_view(self.days, self.stations, HOW)
 
+    def daily_between(self, start: str, end: str) -> DataFrame:
+        """The daily view of a range of days, whose bounds reach the scan."""
+        return views.daily_view(date_range(self.days, start, end, "timestamp"), self.stations, HOW)
+
     @cached_property
     def summary(self) -> DataFrame:
         return views.summary_view(self.readings, self.stations, HOW)

@@ -97,7 +97,9 @@ def j4(b: Binding) -> DataFrame:
     ),
 )
 def j5(b: Binding) -> DataFrame:
-    return joins.with_city(b.enriched.select("event_id", "province"), b.registry)
+    # The city goes onto the stations, so the readings are joined once.
+    located = joins.with_city(b.stations, b.registry)
+    return joins.enrich_left(b.readings, located).select("event_id", "province", "city_id")
 
 
 # Aggregates
@@ -178,14 +180,10 @@ def a7(b: Binding) -> DataFrame:
     ),
 )
 def a8(b: Binding) -> DataFrame:
-    weather = b.enriched.select(
-        "region", F.col("temperature").alias("temp"), F.col("no2").alias("precipitation")
-    )
-    weather.createOrReplaceTempView("aerolith_region_weather")
-    return b.spark.sql(
-        "SELECT region, avg(temp) AS avg_temperature, sum(precipitation) AS total_precipitation "
-        "FROM aerolith_region_weather GROUP BY region ORDER BY avg_temperature DESC"
+    weather = b.readings.select(
+        "station_id", F.col("temperature").alias("temp"), F.col("no2").alias("precipitation")
     )
+    return rollups.region_weather(weather, b.stations)
 
 
 @query("a9_last_updated", "SELECT max(ts) AS last_updated FROM events")

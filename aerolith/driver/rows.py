@@ -316,7 +316,7 @@ def f8(b: Binding) -> DataFrame:
 )
 def f10(b: Binding) -> DataFrame:
     start, end = filters.history_window("2024-01-30")
-    return filters.date_range(b.daily, start, end).select("station_id", "date", "avg_temp")
+    return b.daily_between(start, end).select("station_id", "date", "avg_temp")
 
 
 # Scalar rules

@@ -91,7 +91,8 @@ def q3_date(b: Binding) -> DataFrame:
     ),
 )
 def q4(b: Binding) -> DataFrame:
-    return b.serving("daily").daily_all("2024-01-05", "2024-01-25")
+    start, end = "2024-01-05", "2024-01-25"
+    return Serving(daily_rows=b.daily_between(start, end)).daily_all(start, end)
 
 
 @query("q5_provinces", o.using("summary", "SELECT * FROM summary"))

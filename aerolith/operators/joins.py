@@ -9,15 +9,6 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.rounding import half_up
 
-# A dimension with at most this many rows (three short strings each) is small enough to broadcast.
-BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows, so the check stays cheap on a large dimension."""
-    return dimension.limit(max_rows + 1).count() <= max_rows
-
-
 def salted_join(
     left: DataFrame, right: DataFrame, on: str, how: str, salt_from: str, salts: int
 ) -> DataFrame:
@@ -48,16 +39,15 @@ def enrich_left(
     raise ValueError(f"unknown join strategy {strategy!r}")
 
 
-def enrich_inner(
-    readings: DataFrame, stations: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS, salts: int = 16
-) -> DataFrame:
+def enrich_inner(readings: DataFrame, stations: DataFrame, salts: int = 1) -> DataFrame:
     """Readings of known stations only; works on a stream with a static dimension.
 
-    The dimension is broadcast when its row count is within the bound, else merged with salt.
+    Catalyst chooses the join by the dimension's size in bytes. ``salts`` above one forces a merge
+    that spreads each station over that many tasks.
     """
-    if fits_broadcast(stations, max_broadcast_rows):
-        return readings.join(F.broadcast(stations), "station_id")
-    return salted_join(readings, stations, "station_id", "inner", "timestamp", salts)
+    if salts > 1:
+        return salted_join(readings, stations, "station_id", "inner", "timestamp", salts)
+    return readings.join(stations, "station_id")
 
 
 def merge_feeds(

@@ -228,6 +228,26 @@ def region_max_temperature(lines: DataFrame) -> DataFrame:
     )
 
 
+def region_weather(readings: DataFrame, stations: DataFrame) -> DataFrame:
+    """Mean ``temp`` and total ``precipitation`` per region, warmest first.
+
+    Readings are summed per station before the lookup, so a region that holds most rows is a few
+    sums by then. Readings of unknown stations count under a null region.
+    """
+    sums = readings.groupBy("station_id").agg(
+        F.sum("temp").alias("_sum"), F.count("temp").alias("_n"), F.sum("precipitation").alias("_total")
+    )
+    return (
+        sums.join(stations.select("station_id", "region"), "station_id", "left")
+        .groupBy("region")
+        .agg(
+            F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_temperature"),
+            F.sum("_total").alias("total_precipitation"),
+        )
+        .orderBy(F.desc("avg_temperature"))
+    )
+
+
 def last_updated(df: DataFrame) -> DataFrame:
     return df.agg(F.max("timestamp").alias("last_updated"))
 

@@ -85,6 +85,8 @@ def _sizes(df: DataFrame, partition: str) -> dict:
 
 
 SNAPSHOT_SLOT = "slot"
+# Part of the stored layout: with another number a station could be filed twice.
+SNAPSHOT_SLOTS = 16
 
 
 def snapshot_table(path: str, schema: T.StructType, key: str = "station_id") -> KeyedTable:
@@ -93,8 +95,8 @@ def snapshot_table(path: str, schema: T.StructType, key: str = "station_id") ->
     return KeyedTable(path, filed, (key,), SNAPSHOT_SLOT, ("timestamp",))
 
 
-def with_slot(df: DataFrame, slots: int = 16, key: str = "station_id") -> DataFrame:
-    return df.withColumn(SNAPSHOT_SLOT, F.pmod(F.xxhash64(key), F.lit(slots)).cast("int"))
+def with_slot(df: DataFrame, key: str = "station_id") -> DataFrame:
+    return df.withColumn(SNAPSHOT_SLOT, F.pmod(F.xxhash64(key), F.lit(SNAPSHOT_SLOTS)).cast("int"))
 
 
 def series_table(path: str, schema: T.StructType, key: str = "_id") -> KeyedTable:

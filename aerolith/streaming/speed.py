@@ -123,11 +123,11 @@ def rated_stream(readings: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def start_latest(
-    rated: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None, slots: int = 16
+    rated: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Keep one row per station, the newest seen."""
     writer = (
-        with_slot(rated, slots)
+        with_slot(rated)
         .writeStream.outputMode("append")
         .foreachBatch(_upsert_into(table))
         .option("checkpointLocation", checkpoint)

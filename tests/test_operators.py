@@ -115,6 +115,16 @@ def test_region_max(spark, rows_of):
     assert rows_of(rollups.region_max_temperature(df), "region") == [("North", -2.5), ("South", 32.5)]
 
 
+def test_region_weather(spark, rows_of):
+    readings = spark.createDataFrame(
+        [("A", 10.0, 1.0), ("A", 20.0, 0.0), ("B", 30.0, 2.5), ("C", None, 4.0), ("X", 5.0, None)],
+        "station_id string, temp double, precipitation double",
+    )
+    stations = spark.createDataFrame([("A", "North"), ("B", "North"), ("C", "South")], "station_id string, region string")
+    got = [tuple(r) for r in rollups.region_weather(readings, stations).collect()]
+    assert got == [("North", 20.0, 3.5), (None, 5.0, None), ("South", None, 4.0)]
+
+
 def test_latest_per_key(readings, rows_of):
     df = readings(
         ("A", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0),
@@ -220,9 +230,9 @@ def test_enrichment_strategies_agree(sample, stations, rows_of):
     assert rows_of(salted.select(*merged.columns), "station_id", "timestamp") == plain
     known = rows_of(joins.enrich_inner(sample, stations), "station_id", "timestamp")
     assert known == [r for r in plain if r[0] != "X"]
-    beyond_the_bound = joins.enrich_inner(sample, stations, max_broadcast_rows=2)
-    assert "SortMergeJoin" in beyond_the_bound._jdf.queryExecution().executedPlan().toString()
-    assert rows_of(beyond_the_bound, "station_id", "timestamp") == known
+    salted = joins.enrich_inner(sample, stations, salts=5)
+    assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(salted.select(*merged.columns), "station_id", "timestamp") == known
     with pytest.raises(ValueError):
         joins.enrich_left(sample, stations, "other")
 
