@@ -65,12 +65,10 @@ def today_rows(rows: DataFrame, stations: DataFrame, as_of: datetime) -> DataFra
 
 
 def fill_today(rows: DataFrame, stations: DataFrame, as_of: datetime, series: KeyedTable) -> None:
-    """Put today's hours beside what the series already holds."""
+    """Put today's hours beside what the series already holds; columns the feeds lack keep their values."""
     today = today_rows(rows, stations, as_of)
-    absent = [f for f in series.schema if f.name not in today.columns]
-    typed = today.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-    casts = {f.name: F.col(f.name).cast(f.dataType) for f in series.schema}
-    series.upsert(typed.withColumns(casts), 0, writer="fill")
+    casts = {f.name: F.col(f.name).cast(f.dataType) for f in series.schema if f.name in today.columns}
+    series.upsert(today.withColumns(casts), writer="fill")
 
 
 def export_history(history: DataFrame, path: str) -> None:

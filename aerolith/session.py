@@ -74,18 +74,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
-def replace_folders(spark: SparkSession, source: str, target: str) -> None:
-    """Move each ``column=value`` folder of ``source`` over its namesake in ``target``.
-
-    A folder is in ``source`` until it is in ``target``, so the move can be taken up again.
-    """
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    filesystem = Path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in filesystem.listStatus(Path(source)):
-        name = status.getPath().getName()
-        if status.isDirectory() and "=" in name:
-            filesystem.delete(Path(f"{target}/{name}"), True)
-            if not filesystem.rename(status.getPath(), Path(target, name)):
-                raise OSError(f"could not move {name} to {target}")

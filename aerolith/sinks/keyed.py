@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import time
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators.latest import latest_per_key
-from aerolith.session import delete_path, path_exists, read_if_present, replace_folders
+from aerolith.session import read_if_present
+
+WRITER, BATCH = "upsert_writer", "upsert_batch"
+_WRITTEN, _GIVEN = "_written", "_given"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """One row per key, replaced by upserts.
+    """One row per key, replaced column by column by upserts.
+
+    An upsert appends its batch under a folder of its writer and batch number, and never touches what is
+    there: its cost follows the batch, writers don't disturb each other, and a batch replayed after a crash
+    overwrites its own folder only. A batch may hold some of the columns; the others keep their values.
 
-    An upsert reads and rewrites only the partitions its batch touches. Incoming rows win over
-    stored ones, unless ``newest`` names columns to compare first. The merged partitions are
-    written beside the table and then moved over the old ones; a batch replayed after a crash
-    in between goes on from that copy, so nothing is lost or applied twice.
+    ``read`` takes, for each key and column, the value from the row that gave it last: by ``newest`` columns
+    first where named, then by the time of the upsert (the driver's clock, so drivers that write side by side
+    need clocks in step). A filter on the partition column or the keys reaches the scan if they are keys.
 
-    A large partition is written by several tasks, at ``rows_per_file`` each: a stream's batch
-    often touches a single day, and adaptive execution does not split it there.
+    Batches pile up until ``copy_to`` writes the rows to a new table, which then takes their place.
+    ``spread`` tasks at most write one partition of a batch: a stream's batch often touches a single day.
     """
 
     path: str
@@ -31,68 +37,60 @@ class KeyedTable:
     keys: tuple[str, ...]
     partition: str
     newest: tuple[str, ...] = ()
-    rows_per_file: int = 2_000_000
+    spread: int = 8
 
     def read(self, spark: SparkSession) -> DataFrame:
-        stored = read_if_present(spark, self.path, self.schema)
-        return stored if stored is not None else spark.createDataFrame([], self.schema)
-
-    def upsert(self, batch: DataFrame, batch_id: int, writer: str = "manual") -> None:
-        spark = batch.sparkSession
-        staged = f"{self.path}/_staged_{writer}_{batch_id}"
-        if not path_exists(spark, f"{staged}/_SUCCESS"):
-            incoming = self._reduced(batch).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                if not self._stage(incoming, staged):
-                    return
-            finally:
-                incoming.unpersist()
-        replace_folders(spark, staged, self.path)
-        delete_path(spark, staged)
-
-    def _reduced(self, batch: DataFrame) -> DataFrame:
-        """Without older rows of a key, where ``newest`` tells: few rows are kept and merged then."""
-        rows = batch.select(*self.schema.names)
-        return self._winners(rows, self.newest) if self.newest else rows
-
-    def _winners(self, rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
-        return latest_per_key(rows, self.keys, order).select(*self.schema.names)
-
-    def _stage(self, incoming: DataFrame, staged: str) -> bool:
-        """Write the touched partitions as they will be; False when the batch is empty."""
-        # One value per touched partition: days of a batch, or slots of a snapshot.
-        touched = _sizes(incoming, self.partition)
-        if not touched:
-            return False
-        rows = incoming.withColumn("_age", F.lit(1))
-        stored = read_if_present(incoming.sparkSession, self.path, self.schema)
-        if stored is not None:
-            kept = stored.where(F.col(self.partition).isin(*touched))
-            for value, size in _sizes(kept, self.partition).items():
-                touched[value] += size
-            rows = rows.unionByName(kept.withColumn("_age", F.lit(0)))
-        merged = self._winners(rows, (*self.newest, "_age"))
-        files = 1 + max(touched.values()) // self.rows_per_file
-        share = F.pmod(F.xxhash64(*self.keys), F.lit(files))
-        spread = merged.repartition(self.partition, share)
-        spread.write.mode("overwrite").partitionBy(self.partition).parquet(staged)
-        return True
-
-
-def _sizes(df: DataFrame, partition: str) -> dict:
-    """Rows per partition value."""
-    return {value: size for value, size in df.groupBy(partition).count().collect()}
+        log = T.StructType(
+            [
+                *self.schema.fields,
+                T.StructField(_WRITTEN, T.LongType()),
+                T.StructField(_GIVEN, T.ArrayType(T.StringType())),
+                T.StructField(WRITER, T.StringType()),
+                T.StructField(BATCH, T.LongType()),
+            ]
+        )
+        rows = read_if_present(spark, self.path, log)
+        if rows is None:
+            return spark.createDataFrame([], self.schema)
+        order = F.struct(*self.newest, _WRITTEN, WRITER, BATCH)
+
+        def last_given(name: str) -> Column:
+            given = F.when(F.array_contains(_GIVEN, name), order)
+            return F.max_by(F.struct(name), given)[name].alias(name)
+
+        others = [name for name in self.schema.names if name not in self.keys]
+        return rows.groupBy(*self.keys).agg(*[last_given(name) for name in others]).select(*self.schema.names)
+
+    def upsert(self, batch: DataFrame, batch_id: int | None = None, writer: str = "manual") -> None:
+        """Append ``batch``; the same ``writer`` and ``batch_id`` again replace what they wrote before.
+
+        Without a ``batch_id`` every call is a batch of its own.
+        """
+        needed = {*self.keys, self.partition, *self.newest}
+        if missing := needed - set(batch.columns):
+            raise ValueError(f"a batch needs {sorted(missing)}")
+        now = time.time_ns()
+        given = [name for name in self.schema.names if name in batch.columns]
+        rows = latest_per_key(batch.select(*given), self.keys, self.newest)
+        share = F.pmod(F.xxhash64(*self.keys), F.lit(self.spread))
+        marked = rows.withColumns({_WRITTEN: F.lit(now), _GIVEN: F.array(*[F.lit(name) for name in given])})
+        folder = f"{self.path}/{WRITER}={writer}/{BATCH}={now if batch_id is None else batch_id}"
+        marked.repartition(self.partition, share).write.mode("overwrite").partitionBy(self.partition).parquet(folder)
+
+    def copy_to(self, other: KeyedTable, spark: SparkSession) -> None:
+        """All rows as one batch of ``other``, a new table; no writer may be at work meanwhile."""
+        other.upsert(self.read(spark), writer="copy")
 
 
 SNAPSHOT_SLOT = "slot"
-# Part of the stored layout: with another number a station could be filed twice.
+# Spreads the rows of a batch; a row's slot has no part in finding the newest.
 SNAPSHOT_SLOTS = 16
 
 
 def snapshot_table(path: str, schema: T.StructType, key: str = "station_id") -> KeyedTable:
-    """Latest row per key; the newest timestamp wins. Rows are filed by a hash slot of the key."""
+    """Latest row per key; the newest timestamp wins. Batches are filed by a hash slot of the key."""
     filed = T.StructType([*schema.fields, T.StructField(SNAPSHOT_SLOT, T.IntegerType())])
-    return KeyedTable(path, filed, (key,), SNAPSHOT_SLOT, ("timestamp",))
+    return KeyedTable(path, filed, (key,), SNAPSHOT_SLOT, ("timestamp",), spread=1)
 
 
 def with_slot(df: DataFrame, key: str = "station_id") -> DataFrame:
@@ -103,10 +101,3 @@ def series_table(path: str, schema: T.StructType, key: str = "_id") -> KeyedTabl
     """Rows with a stable id, filed by day; the row written last wins."""
     fields = schema.fields if key in schema.names else [T.StructField(key, T.StringType()), *schema.fields]
     return KeyedTable(path, T.StructType(fields), ("date", key), "date")
-
-
-def for_frame(table: KeyedTable, df: DataFrame) -> KeyedTable:
-    """The table with its column types taken from ``df`` (timestamps with or without zone)."""
-    kinds = {f.name: f.dataType for f in df.schema}
-    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in table.schema]
-    return replace(table, schema=T.StructType(fields))

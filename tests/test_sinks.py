@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aerolith import schemas
 from aerolith.operators import projections
-from aerolith.session import delete_path, path_exists, run_dir, shared_dir
+from aerolith.session import path_exists, run_dir, shared_dir
 from aerolith.sinks import keyed, tables
 from aerolith.sources import messages
 
@@ -123,43 +123,64 @@ def table(tmp_path):
     return keyed.series_table(str(tmp_path / "hourly"), schema)
 
 
-def test_series_rewrites_only_touched_days(spark, readings, table, rows_of):
+def batch_folder(table, batch_id, writer="manual"):
+    return f"{table.path}/{keyed.WRITER}={writer}/{keyed.BATCH}={batch_id}"
+
+
+def test_series_batches_append(spark, readings, table, rows_of):
     both = readings(("A", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0), ("A", "2026-04-02 05:00", 1.0, 1.0, 1.0, 1.0))
     table.upsert(series(both, 1.0), 0)
-    untouched = sorted(os.listdir(f"{table.path}/date=2026-04-01"))
+    untouched = sorted(os.listdir(f"{batch_folder(table, 0)}/date=2026-04-02"))
     later = readings(("A", "2026-04-02 05:00", 1.0, 1.0, 1.0, 1.0), ("A", "2026-04-02 06:00", 1.0, 1.0, 1.0, 1.0))
     table.upsert(series(later, 2.0), 1)
-    assert sorted(os.listdir(f"{table.path}/date=2026-04-01")) == untouched
-    assert rows_of(table.read(spark).select("date", "_id", "v"), "date", "_id") == [
-        ("2026-04-01", "A_05", 1.0),
-        ("2026-04-02", "A_05", 2.0),
-        ("2026-04-02", "A_06", 2.0),
-    ]
-
-
-def test_crash_before_the_swap_is_replayed_from_the_staged_copy(spark, readings, table, rows_of, monkeypatch):
+    assert sorted(os.listdir(f"{batch_folder(table, 0)}/date=2026-04-02")) == untouched
+    assert [d for d in os.listdir(batch_folder(table, 1)) if "=" in d] == ["date=2026-04-02"]
+    wanted = [("2026-04-01", "A_05", 1.0), ("2026-04-02", "A_05", 2.0), ("2026-04-02", "A_06", 2.0)]
+    assert rows_of(table.read(spark).select("date", "_id", "v"), "date", "_id") == wanted
+    copy = replace(table, path=f"{table.path}-copy")
+    table.copy_to(copy, spark)
+    assert rows_of(copy.read(spark).select("date", "_id", "v"), "date", "_id") == wanted
+    plan = table.read(spark).where("date = '2026-04-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_a_crash_costs_no_other_batch(spark, readings, table, rows_of):
     day = readings(("A", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0), ("B", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0))
     table.upsert(series(day, 1.0), 0)
-    newer = series(day.where("station_id = 'A'"), 2.0)
-    staged = f"{table.path}/_staged_manual_1"
 
-    def crash(spark, source, target):
-        # The old day is gone, its successor not yet in place.
-        delete_path(spark, f"{table.path}/date=2026-04-01")
-        raise OSError("lost the driver")
+    def torn(value):
+        return series(day, value).withColumn("v", F.when(F.col("_id") == "B_05", F.raise_error(F.lit("lost"))).otherwise(F.lit(value)))
+
+    with pytest.raises(Exception, match="lost"):
+        table.upsert(torn(2.0), 1)
+    assert rows_of(table.read(spark).select("_id", "v"), "_id") == [("A_05", 1.0), ("B_05", 1.0)]
+    # Another day's batch goes ahead, and the torn one can be given again, more than once.
+    other = readings(("A", "2026-04-02 05:00", 1.0, 1.0, 1.0, 1.0))
+    table.upsert(series(other, 3.0), 2)
+    for _ in range(2):
+        table.upsert(series(day, 2.0), 1)
+        got = rows_of(table.read(spark).select("date", "_id", "v"), "date", "_id")
+        assert got == [("2026-04-01", "A_05", 2.0), ("2026-04-01", "B_05", 2.0), ("2026-04-02", "A_05", 3.0)]
+
+
+def test_two_writers_on_one_day_and_absent_columns(spark, tmp_path, rows_of):
+    schema = schemas._struct([("_id", schemas._S), ("date", schemas._S), ("v", schemas._D), ("w", schemas._D)])
+    table = keyed.series_table(str(tmp_path / "two"), schema)
+
+    def rows(*values, names):
+        return spark.createDataFrame(list(values), f"_id string, date string, {names}")
 
-    with monkeypatch.context() as broken:
-        broken.setattr(keyed, "replace_folders", crash)
-        with pytest.raises(OSError):
-            table.upsert(newer, 1)
-    assert path_exists(spark, staged)
-    table.upsert(newer, 1)
-    assert rows_of(table.read(spark).select("_id", "v"), "_id") == [("A_05", 2.0), ("B_05", 1.0)]
-    assert not path_exists(spark, staged)
+    table.upsert(rows(("A", "d", 1.0, 10.0), ("B", "d", 2.0, 20.0), names="v double, w double"), 0, writer="stream")
+    table.upsert(rows(("A", "d", 5.0), ("C", "d", 6.0), names="w double"), writer="fill")
+    table.upsert(rows(("B", "d", None), names="v double"), writer="fill")
+    wanted = [("A", 1.0, 5.0), ("B", None, 20.0), ("C", None, 6.0)]
+    assert rows_of(table.read(spark).select("_id", "v", "w"), "_id") == wanted
+    with pytest.raises(ValueError, match="date"):
+        table.upsert(rows(("A", "d", 5.0), names="w double").drop("date"))
 
 
 def test_large_partitions_are_written_by_several_tasks(spark, readings, table, rows_of):
-    small = replace(table, rows_per_file=3)
+    small = replace(table, spread=3)
     day = readings(*[(f"S{i}", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0) for i in range(12)])
     # As in a stream's batches, where no adaptive step joins small partitions.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -168,6 +189,6 @@ def test_large_partitions_are_written_by_several_tasks(spark, readings, table, r
         small.upsert(series(day, 2.0), 1)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    files = [f for f in os.listdir(f"{table.path}/date=2026-04-01") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{batch_folder(table, 1)}/date=2026-04-01") if f.endswith(".parquet")]
     assert len(files) > 1
     assert rows_of(table.read(spark).groupBy("v").count()) == [(2.0, 12)]
