@@ -267,6 +267,51 @@ def test_every_repeated_run_of_fifty_words_is_in_a_passage(docs, raw):
                 assert any(a <= p + 2 and p + 48 <= b for a, b in found[i]), (i, p)
 
 
+def covered(rows, doc, start, end):
+    """Largest share of the words ``start`` to ``end`` of a document that one passage covers."""
+    spans = [(r.start, r.end) for r in rows if r.doc_id == doc]
+    return max((max(0, min(b, end) - max(a, start)) / (end - start) for a, b in spans), default=0)
+
+
+def test_passages_with_planted_edits(spark):
+    rng = random.Random(8)
+
+    def filler(n):
+        return [f"f{rng.getrandbits(40)}" for _ in range(n)]
+
+    texts, want = {}, {}
+    for case in range(400):
+        n, every = rng.choice([(40, 5), (40, 0), (45, 0), (60, 5), (60, 7), (60, 8), (60, 10), (100, 5), (100, 7)])
+        passage, edited = filler(n), []
+        for i, word in enumerate(passage):
+            if every and i % every == every // 2:
+                edit = rng.choice("sssid")
+                edited += {"s": filler(1), "i": [*filler(1), word], "d": []}[edit]
+            else:
+                edited.append(word)
+        texts[2 * case] = " ".join(filler(30) + passage + filler(30))
+        texts[2 * case + 1] = " ".join(filler(30) + edited + filler(30))
+        # What counts is the best span by the definition: both ends equal, enough words, enough of them equal.
+        steps = fuzzy_passages.align(edited, passage, 40, 0.8)
+        if steps:
+            want[2 * case + 1] = (30 + steps[0][0], 30 + steps[0][1])
+    rows = fuzzy_passages.fuzzy_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert len(want) > 250
+    assert [i for i, (a, b) in want.items() if covered(rows, i, a, b) < 0.9] == []
+    assert all(r.ref_doc_id == r.doc_id - 1 and r.identity >= 0.8 - 1e-9 and r.end - r.start >= 40 for r in rows)
+
+
+def test_edit_path_is_shortest():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = ([rng.randint(0, 3) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        x = y = cost = 0
+        for da, db in fuzzy_passages.word_path(a, b):
+            cost += not (da and db and a[x] == b[y])
+            x, y = x + da, y + db
+        assert (x, y, cost) == (len(a), len(b), fuzzy_passages.edit_distance(a, b))
+
+
 def test_edit_distance_agrees_with_the_table_method():
     rng = random.Random(6)
     for _ in range(100):
