@@ -273,6 +273,25 @@ def covered(rows, doc, start, end):
     return max((max(0, min(b, end) - max(a, start)) / (end - start) for a, b in spans), default=0)
 
 
+def test_passages_whose_parts_stand_in_other_documents(spark):
+    rng = random.Random(7)
+
+    def filler(n):
+        return [f"f{rng.getrandbits(40)}" for _ in range(n)]
+
+    texts, want = {}, []
+    for case in range(40):
+        passage = [f"p{case}x{i}" for i in range(50)]
+        cut = rng.randint(15, 35)
+        parts = [passage[:cut], passage[cut:], passage[: cut + 3], passage[cut - 3 :]]
+        # Parts before and between the two whole ones: more of them than places that a seed is matched with.
+        for n, words in enumerate([*parts, passage, *(parts * 6), passage]):
+            texts[case * 100 + n] = " ".join(filler(20) + words + filler(20))
+        want.append(case * 100 + n)
+    rows = fuzzy_passages.fuzzy_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert [i for i in want if covered(rows, i, 20, 70) < 1] == []
+
+
 def test_passages_with_planted_edits(spark):
     rng = random.Random(8)
 
