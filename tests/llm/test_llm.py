@@ -320,6 +320,22 @@ def test_passages_with_planted_edits(spark):
     assert all(r.ref_doc_id == r.doc_id - 1 and r.identity >= 0.8 - 1e-9 and r.end - r.start >= 40 for r in rows)
 
 
+def test_passages_of_long_words_keep_their_ends(spark):
+    texts, want = {}, []
+    for case, size in enumerate((1, 30, 60, 200, 2000)):
+        for tail in (0, 5, 100):
+            n = 10 * len(want)
+            passage = [f"p{n}x{i}".ljust(size, "日") for i in range(40)]
+            edited = [w + "z" if i % 4 == 3 and not 11 < i < 28 else w for i, w in enumerate(passage[:39])] + passage[39:]
+            edited[39] = passage[39]
+            for doc, words in ((n, passage), (n + 1, edited)):
+                around = [f"f{doc}x{i}".ljust(size, "本") for i in range(100 + tail)]
+                texts[doc] = "  ".join(around[:100] + words + around[100:])
+            want.append(n + 1)
+    rows = fuzzy_passages.fuzzy_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.start, r.end, r.ref_start, r.ref_end) for r in rows) == [(i, 100, 140, 100, 140) for i in want]
+
+
 def test_edit_path_is_shortest():
     rng = random.Random(9)
     for _ in range(300):
