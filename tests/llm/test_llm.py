@@ -438,3 +438,51 @@ def test_pipeline_stages(spark, raw):
     ids = {r.doc_id for r in kept.collect()}
     final = {r.doc_id for r in corpus_pipeline.run(spark, DATA).collect()}
     assert final == ids and len(ids) > 0.5 * len(raw)
+
+
+def test_pipeline_stages_keep_the_rows_of_brute_force(spark, docs):
+    """The ids that three stages keep, each by its rule on all pairs or places of the stage's own input."""
+
+    def texts_of(df):
+        return {r.doc_id: r.text or "" for r in df.collect()}
+
+    def kept_by(stage, df):
+        return sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)[stage](spark, df, DATA).collect())
+
+    inputs = texts_of(docs)
+    assert len(inputs) == docs.count()
+    best = {}
+    for i, text in inputs.items():
+        key = re.sub(r"[\x20\x09-\x0D]+", "", text)
+        best[key] = min(best.get(key, (1, 0)), (-len(text), i))
+    assert kept_by("exact_dedup", docs) == sorted(i for _, i in best.values())
+
+    sets = {}
+    for i, text in inputs.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOW))
+        sets[i] = {tuple(words[p : p + 5]) for p in range(max(len(words) - 4, 1))} if words else set()
+    root = {i: i for i in sets}
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    assert kept_by("near_dedup", docs) == [i for i in ids if root[i] == i]
+
+    def plain(text):
+        return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOW).encode())
+
+    windows = set()
+    for r in table(spark, DATA, "benchmark").collect():
+        words = plain(r.text or "")
+        windows |= {tuple(words[p : p + 10]) for p in range(max(len(words) - 9, 1))} if words else set()
+    sizes = {len(w) for w in windows}
+    clean = []
+    for i, text in inputs.items():
+        words = plain(text)
+        if not any(tuple(words[p : p + n]) in windows for n in sizes for p in range(len(words) - n + 1)):
+            clean.append(i)
+    assert kept_by("decontamination", docs) == sorted(clean)
+    assert len(best) < len(inputs) and len(clean) < len(inputs) and any(root[i] != i for i in ids)
