@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolith.llm import (
+    centroids,
     decontaminate,
     exact_dedup,
     fuzzy_passages,
     jaccard_join,
     language,
     packing,
+    periodic_runs,
     quality,
+    simhash,
     suffix_dedup,
     token_store,
     transcripts,
@@ -63,6 +66,18 @@ def op10_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_passages.fuzzy_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.collapsed_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -76,10 +91,14 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_language_id,
         op10_fuzzy_passages,
+        op11_periodic_runs,
+        op12_centroid_clustering,
+        op13_simhash_near_dedup,
     )
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op5_jaccard_join": jaccard_join.SQL,
     "op8_decontamination": decontaminate.SQL,
+    "op12_centroid_clustering": centroids.SQL,
 }
