@@ -65,6 +65,13 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         raise
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return [status.getPath().toString() for status in found or []]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

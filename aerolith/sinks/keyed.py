@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators.latest import latest_per_key
-from aerolith.session import read_if_present
+from aerolith.session import delete_path, folders, path_exists
 
-WRITER, BATCH = "upsert_writer", "upsert_batch"
-_WRITTEN, _GIVEN = "_written", "_given"
+WRITER = "upsert_writer"
+_BATCH, _TURNS = "_batch", "_turns"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """One row per key, replaced column by column by upserts.
 
-    An upsert appends its batch under a folder of its writer and batch number, and never touches what is
-    there: its cost follows the batch, writers don't disturb each other, and a batch replayed after a crash
-    overwrites its own folder only. A batch may hold some of the columns; the others keep their values.
+    Each writer has a folder of its own, partitioned by ``partition``, with one row for every key it ever gave. An
+    upsert joins its batch with the writer's rows of the touched partitions and overwrites just these
+    partitions (dynamic partition overwrite). Writers never touch each other's files, a batch may hold some of the
+    columns (the others keep their values), and rows stay as many as keys, however many batches come.
 
-    ``read`` takes, for each key and column, the value from the row that gave it last: by ``newest`` columns
-    first where named, then by the time of the upsert (the driver's clock, so drivers that write side by side
-    need clocks in step). A filter on the partition column or the keys reaches the scan if they are keys.
+    Order survives replay. A row keeps the number of the last batch of its writer that changed it; a batch with that
+    number or a smaller one leaves it as it is, so any old batch can be given again. Every column keeps its
+    turn, one more than any turn found in the touched partitions of all writers when the batch came; ``read`` takes the
+    greatest turn where writers differ (at equal turns, the greater writer name). With ``newest`` columns a
+    row is replaced as a whole, and only by one that is not older.
 
-    Batches pile up until ``copy_to`` writes the rows to a new table, which then takes their place.
-    ``spread`` tasks at most write one partition of a batch: a stream's batch often touches a single day.
+    The merged partitions are written to a side folder first. If the driver is lost while they take their
+    place, the writer's next upsert puts them there before anything else; until then a reader may miss those partitions.
+    ``spread`` tasks at most write one partition: a stream's batch often touches a single day.
     """
 
     path: str
@@ -39,46 +43,124 @@ class KeyedTable:
     newest: tuple[str, ...] = ()
     spread: int = 8
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        log = T.StructType(
-            [
-                *self.schema.fields,
-                T.StructField(_WRITTEN, T.LongType()),
-                T.StructField(_GIVEN, T.ArrayType(T.StringType())),
-                T.StructField(WRITER, T.StringType()),
-                T.StructField(BATCH, T.LongType()),
-            ]
-        )
-        rows = read_if_present(spark, self.path, log)
-        if rows is None:
-            return spark.createDataFrame([], self.schema)
-        order = F.struct(*self.newest, _WRITTEN, WRITER, BATCH)
+    @property
+    def _others(self) -> list[str]:
+        return [name for name in self.schema.names if name not in self.keys]
+
+    @property
+    def _stored(self) -> T.StructType:
+        marks = [T.StructField(_BATCH, T.LongType()), T.StructField(_TURNS, T.ArrayType(T.LongType()))]
+        return T.StructType([*self.schema.fields, *marks])
 
-        def last_given(name: str) -> Column:
-            given = F.when(F.array_contains(_GIVEN, name), order)
-            return F.max_by(F.struct(name), given)[name].alias(name)
+    def _folder(self, writer: str) -> str:
+        return f"{self.path}/{WRITER}={writer}"
 
-        others = [name for name in self.schema.names if name not in self.keys]
-        return rows.groupBy(*self.keys).agg(*[last_given(name) for name in others]).select(*self.schema.names)
+    def _pending(self, writer: str) -> str:
+        return f"{self.path}/_pending/{WRITER}={writer}"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The rows, one per key. A filter on the partition column or the keys reaches the scan if they are keys."""
+        writers = folders(spark, f"{self.path}/{WRITER}=*")
+        if not writers:
+            return spark.createDataFrame([], self.schema)
+        if len(writers) == 1:
+            return spark.read.schema(self._stored).parquet(writers[0]).select(*self.schema.names)
+        with_writer = T.StructType([*self._stored.fields, T.StructField(WRITER, T.StringType())])
+        rows = spark.read.schema(with_writer).parquet(self.path)
+        if self.newest:
+            order = [F.col(c).alias(f"_by_{c}") for c in (*self.newest, _TURNS, WRITER)]
+            whole = F.max(F.struct(*order, *self._others)).alias("_row")
+            return rows.groupBy(*self.keys).agg(whole).select(*self.keys, "_row.*").select(*self.schema.names)
+
+        def last_given(place: int, name: str) -> Column:
+            turn = F.col(_TURNS)[place]
+            return F.max_by(F.struct(name), F.when(turn.isNotNull(), F.struct(turn, WRITER)))[name].alias(name)
+
+        columns = [last_given(n, name) for n, name in enumerate(self._others)]
+        return rows.groupBy(*self.keys).agg(*columns).select(*self.schema.names)
 
     def upsert(self, batch: DataFrame, batch_id: int | None = None, writer: str = "manual") -> None:
-        """Append ``batch``; the same ``writer`` and ``batch_id`` again replace what they wrote before.
+        """Merge ``batch``; the same ``writer`` and ``batch_id``, or a smaller one, again changes nothing.
 
-        Without a ``batch_id`` every call is a batch of its own.
+        Without a ``batch_id`` the batch comes after all that the writer gave before.
         """
-        needed = {*self.keys, self.partition, *self.newest}
+        spark = batch.sparkSession
+        needed = {*self.keys, self.partition, *(self.schema.names if self.newest else ())}
         if missing := needed - set(batch.columns):
             raise ValueError(f"a batch needs {sorted(missing)}")
-        now = time.time_ns()
+        self.recover(spark, writer)
         given = [name for name in self.schema.names if name in batch.columns]
-        rows = latest_per_key(batch.select(*given), self.keys, self.newest)
+        rows = latest_per_key(batch.select(*given), self.keys, self.newest).persist()
+        try:
+            # The partitions of one batch: days, or a fixed number of slots.
+            touched = [r[0] for r in rows.select(self.partition).distinct().collect()]
+            if touched:
+                self._merge(spark, rows, touched, batch_id, writer)
+        finally:
+            rows.unpersist()
+
+    def _merge(self, spark: SparkSession, rows: DataFrame, touched: list, batch_id: int | None, writer: str) -> None:
+        known = [v for v in touched if v is not None]
+        inside = F.col(self.partition).isin(known)
+        if len(known) < len(touched):
+            inside = inside | F.col(self.partition).isNull()
+        turn, last = 0, -1
+        if folders(spark, f"{self.path}/{WRITER}=*"):
+            with_writer = T.StructType([*self._stored.fields, T.StructField(WRITER, T.StringType())])
+            seen = spark.read.schema(with_writer).parquet(self.path).where(inside)
+            mine = F.when(F.col(WRITER) == writer, F.col(_BATCH))
+            turn, last = seen.agg(F.max(F.array_max(_TURNS)), F.max(mine)).first()
+        turn, number = (turn or 0) + 1, (-1 if last is None else last) + 1 if batch_id is None else batch_id
+        exists = last is not None and last >= 0
+        merged = self._merged(spark, rows, inside, turn, number, writer) if exists else self._first(rows, turn, number)
         share = F.pmod(F.xxhash64(*self.keys), F.lit(self.spread))
-        marked = rows.withColumns({_WRITTEN: F.lit(now), _GIVEN: F.array(*[F.lit(name) for name in given])})
-        folder = f"{self.path}/{WRITER}={writer}/{BATCH}={now if batch_id is None else batch_id}"
-        marked.repartition(self.partition, share).write.mode("overwrite").partitionBy(self.partition).parquet(folder)
+        dealt = merged.repartition(self.partition, share)
+        if not exists:
+            return self._overwrite(dealt, writer)
+        # What is there now would be gone if the driver were lost between the old partitions and the new ones.
+        dealt.write.mode("overwrite").parquet(self._pending(writer))
+        self.recover(spark, writer)
+
+    def _first(self, rows: DataFrame, turn: int, number: int) -> DataFrame:
+        turns = F.array(*[F.lit(turn if name in rows.columns else None).cast("long") for name in self._others])
+        columns = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema]
+        return rows.select(*columns, F.lit(number).cast("long").alias(_BATCH), turns.alias(_TURNS))
+
+    def _merged(self, spark: SparkSession, rows: DataFrame, inside: Column, turn: int, number: int, writer: str) -> DataFrame:
+        """The writer's rows of the touched partitions with the batch's rows applied."""
+        old = spark.read.schema(self._stored).parquet(self._folder(writer)).where(inside)
+        new = rows.select(F.lit(True).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in rows.columns])
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.keys])
+        applies = F.col("_new") & (F.col(_BATCH).isNull() | (F.col(_BATCH) < number))
+        if self.newest:
+            before, after = F.struct(*self.newest), F.struct(*[F.col(f"_new_{c}").alias(c) for c in self.newest])
+            applies = applies & (F.col(_BATCH).isNull() | (after >= before))
+        applies = F.coalesce(applies, F.lit(False))
+        columns = {k: F.when(F.col(_BATCH).isNull(), F.col(f"_new_{k}")).otherwise(F.col(k)) for k in self.keys}
+        turns = []
+        for place, name in enumerate(self._others):
+            if name in rows.columns:
+                columns[name] = F.when(applies, F.col(f"_new_{name}")).otherwise(F.col(name))
+                turns.append(F.when(applies, F.lit(turn).cast("long")).otherwise(F.col(_TURNS)[place]))
+            else:
+                columns[name] = F.col(name)
+                turns.append(F.col(_TURNS)[place])
+        marks = [F.when(applies, F.lit(number).cast("long")).otherwise(F.col(_BATCH)).alias(_BATCH), F.array(*turns).alias(_TURNS)]
+        return old.join(new, same, "full_outer").select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in self.schema], *marks)
+
+    def _overwrite(self, rows: DataFrame, writer: str) -> None:
+        target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        target.partitionBy(self.partition).parquet(self._folder(writer))
+
+    def recover(self, spark: SparkSession, writer: str) -> None:
+        """Put merged partitions in their place if they were written whole, and clear the side folder."""
+        pending = self._pending(writer)
+        if path_exists(spark, f"{pending}/_SUCCESS"):
+            self._overwrite(spark.read.schema(self._stored).parquet(pending), writer)
+        delete_path(spark, pending)
 
     def copy_to(self, other: KeyedTable, spark: SparkSession) -> None:
-        """All rows as one batch of ``other``, a new table; no writer may be at work meanwhile."""
+        """All rows as one batch of ``other``, a new table with one writer."""
         other.upsert(self.read(spark), writer="copy")
 
 
@@ -88,7 +170,7 @@ SNAPSHOT_SLOTS = 16
 
 
 def snapshot_table(path: str, schema: T.StructType, key: str = "station_id") -> KeyedTable:
-    """Latest row per key; the newest timestamp wins. Batches are filed by a hash slot of the key."""
+    """Latest row per key; the newest timestamp wins. Rows are filed by a hash slot of the key."""
     filed = T.StructType([*schema.fields, T.StructField(SNAPSHOT_SLOT, T.IntegerType())])
     return KeyedTable(path, filed, (key,), SNAPSHOT_SLOT, ("timestamp",), spread=1)
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import random
+import shutil
 from dataclasses import replace
 
 import pytest
@@ -123,18 +125,17 @@ def table(tmp_path):
     return keyed.series_table(str(tmp_path / "hourly"), schema)
 
 
-def batch_folder(table, batch_id, writer="manual"):
-    return f"{table.path}/{keyed.WRITER}={writer}/{keyed.BATCH}={batch_id}"
+def day_files(table, day, writer="manual"):
+    return sorted(os.listdir(f"{table.path}/{keyed.WRITER}={writer}/date={day}"))
 
 
-def test_series_batches_append(spark, readings, table, rows_of):
+def test_series_upserts_touch_their_days_only(spark, readings, table, rows_of):
     both = readings(("A", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0), ("A", "2026-04-02 05:00", 1.0, 1.0, 1.0, 1.0))
     table.upsert(series(both, 1.0), 0)
-    untouched = sorted(os.listdir(f"{batch_folder(table, 0)}/date=2026-04-02"))
+    untouched = day_files(table, "2026-04-01")
     later = readings(("A", "2026-04-02 05:00", 1.0, 1.0, 1.0, 1.0), ("A", "2026-04-02 06:00", 1.0, 1.0, 1.0, 1.0))
     table.upsert(series(later, 2.0), 1)
-    assert sorted(os.listdir(f"{batch_folder(table, 0)}/date=2026-04-02")) == untouched
-    assert [d for d in os.listdir(batch_folder(table, 1)) if "=" in d] == ["date=2026-04-02"]
+    assert day_files(table, "2026-04-01") == untouched
     wanted = [("2026-04-01", "A_05", 1.0), ("2026-04-02", "A_05", 2.0), ("2026-04-02", "A_06", 2.0)]
     assert rows_of(table.read(spark).select("date", "_id", "v"), "date", "_id") == wanted
     copy = replace(table, path=f"{table.path}-copy")
@@ -144,6 +145,71 @@ def test_series_batches_append(spark, readings, table, rows_of):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_a_day_is_read_without_its_history(spark, readings, table, rows_of):
+    """However many batches came: one scan without an aggregate, one row per key in the files."""
+    for n in range(4):
+        day = readings(*[(f"S{i}", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0) for i in range(6)])
+        table.upsert(series(day, float(n)), n)
+    plan = table.read(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+    assert spark.read.parquet(table.path).count() == 6
+    assert rows_of(table.read(spark).groupBy("v").count()) == [(3.0, 6)]
+
+
+def test_a_replayed_batch_does_not_undo_newer_rows(spark, table, rows_of):
+    def one(value):
+        return spark.createDataFrame([("A", "d", value)], "_id string, date string, v double")
+
+    table.upsert(one(1.0), 0, "stream")
+    table.upsert(one(9.0), writer="fill")
+    table.upsert(one(1.0), 0, "stream")
+    assert rows_of(table.read(spark).select("v")) == [(9.0,)]
+    table.upsert(one(2.0), 1, "stream")
+    table.upsert(one(1.0), 0, "stream")
+    assert rows_of(table.read(spark).select("v")) == [(2.0,)]
+
+
+def test_traces_of_two_writers_with_replays_and_crashes(spark, tmp_path, monkeypatch):
+    """Any trace leaves what a dictionary holds that applies each batch once, when it first comes."""
+    schema = schemas._struct([("_id", schemas._S), ("date", schemas._S), ("v", schemas._D), ("w", schemas._D)])
+    overwrite = keyed.KeyedTable._overwrite
+    for seed in range(3):
+        rng = random.Random(seed)
+        table = keyed.series_table(str(tmp_path / f"trace{seed}"), schema)
+        model, given = {}, {"a": [], "b": []}
+        for _ in range(10):
+            writer = rng.choice("ab")
+            old = bool(given[writer]) and rng.random() < 0.4
+            if old:
+                number = rng.randrange(len(given[writer]))
+            else:
+                number = len(given[writer])
+                names = rng.choice([["v"], ["w"], ["v", "w"]])
+                keys = rng.sample([(k, d) for k in "ABC" for d in ("d1", "d2")], rng.randint(1, 4))
+                given[writer].append((names, [(*key, *[rng.random() for _ in names]) for key in keys]))
+            names, rows = given[writer][number]
+            batch = spark.createDataFrame(rows, ", ".join(["_id string", "date string", *[f"{n} double" for n in names]]))
+            if not old and rng.random() < 0.4:
+
+                def lost(self, rows_, writer_):
+                    """The driver is lost when an old partition is gone and the new one not yet there."""
+                    if os.path.exists(f"{self._pending(writer_)}/_SUCCESS"):
+                        for day in {r.date for r in rows_.select("date").collect()}:
+                            shutil.rmtree(f"{self.path}/{keyed.WRITER}={writer_}/date={day}", ignore_errors=True)
+                    raise RuntimeError("driver lost")
+
+                monkeypatch.setattr(keyed.KeyedTable, "_overwrite", lost)
+                with pytest.raises(RuntimeError, match="driver lost"):
+                    table.upsert(batch, number, writer)
+                monkeypatch.setattr(keyed.KeyedTable, "_overwrite", overwrite)
+            table.upsert(batch, number, writer)
+            if not old:
+                for key, day, *values in rows:
+                    model.setdefault((key, day), {}).update(zip(names, values, strict=True))
+            got = {(r._id, r.date): (r.v, r.w) for r in table.read(spark).collect()}
+            assert got == {k: (m.get("v"), m.get("w")) for k, m in model.items()}
+
+
 def test_a_crash_costs_no_other_batch(spark, readings, table, rows_of):
     day = readings(("A", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0), ("B", "2026-04-01 05:00", 1.0, 1.0, 1.0, 1.0))
     table.upsert(series(day, 1.0), 0)
@@ -189,6 +255,6 @@ def test_large_partitions_are_written_by_several_tasks(spark, readings, table, r
         small.upsert(series(day, 2.0), 1)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    files = [f for f in os.listdir(f"{batch_folder(table, 1)}/date=2026-04-01") if f.endswith(".parquet")]
+    files = [f for f in day_files(table, "2026-04-01") if f.endswith(".parquet")]
     assert len(files) > 1
     assert rows_of(table.read(spark).groupBy("v").count()) == [(2.0, 12)]
