@@ -267,9 +267,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` that hold no window of ``items``, with all their columns."""
-    bad = contamination(docs, items, window).where("contaminated").select(id_key().alias("_id")).distinct()
-    return docs.select(F.struct("*").alias("_row"), id_key().alias("_id")).join(bad, "_id", "left_anti").select("_row.*")
+    """The rows of ``docs`` that hold no window of ``items``, with all their columns.
+
+    Rows are told apart by a 64-bit hash of id and text, so rows that share an id, or have none, are judged by their own text.
+    """
+    mark = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+    bad = contamination(docs.select(mark.alias("doc_id"), "text"), items, window).where("contaminated").select(F.col("doc_id").alias("_mark"))
+    return docs.select(F.struct("*").alias("_row"), mark.alias("_mark")).join(bad.distinct(), "_mark", "left_anti").select("_row.*")
 
 
 SQL = r"""

@@ -11,15 +11,18 @@ without words the set is empty and links with nothing). Two documents link when
    shingles of those left, all but ``need - 1``, connect classes of a band into groups: linked classes are
    always in one group, and no pair is emitted.
 3. A group is stored in blocks of bounded size: the union of its shingles and, for each member, its row of
-   the token-group matrix (places in that union). Blocks of a large group are met pairwise.
+   the token-group matrix (places in that union). The pairs of blocks of a large group are dealt as square tiles:
+   a task takes the blocks of two edges of a tile, so with B blocks in a group each block is sent about
+   sqrt(B) times (B / TILE times in a group of more than TILE^2 blocks), and tiles spread over all tasks.
 4. In a pair of blocks each member of one is a query: its overlap with the other's union bounds its
    overlap with any member; only where the bound reaches the limit the block is opened and
-   overlaps are counted exactly. A block pair returns at most one edge per member and link counts.
+   overlaps are counted exactly. A tile returns one row per member that links: an edge and its link count.
 
 Nothing is capped or sampled. Shingles are compared as 64-bit hashes and sets as 128-bit hashes. Within one
 group of N near copies the work is N^2 / (members per block) bounds; elsewhere it follows the input.
-Null ids stand last and are returned as null; repeated rows are copies of each other. An empty table gives
-an empty result.
+Null ids stand last and are returned as null; repeated rows are copies of each other. Of a component ``keep_one`` keeps
+one row: with the smallest id, of rows that share it one text, of equal rows any; rows without words all stay.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,8 +43,9 @@ from aerolith.llm.tables import id_key, id_value, stored, texts
 
 MEMBERS = 256
 SHINGLES = 1 << 17
-SKETCH = "row long, doc_id long, n_shingles long, class binary, need int, prefix array<long>"
-GROUP = "group long, block int, classes binary, copies binary, sizes binary, shingles binary, matrix binary"
+TILE = 16
+SKETCH = "row long, doc_id long, mark long, n_shingles long, class binary, need int, prefix array<long>"
+GROUP = "group long, block int, n_blocks int, classes binary, copies binary, sizes binary, shingles binary, matrix binary"
 LINKS = "class long, with long, n_links long"
 
 
@@ -95,11 +99,11 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, limit: tuple[int, i
             flat = sets.values[ragged(sets.offsets[:-1], length)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([next(number) for _ in range(part.num_rows)], pa.int64()), part.column("doc_id"),
+                    pa.array([next(number) for _ in range(part.num_rows)], pa.int64()), part.column("doc_id"), part.column("mark"),
                     pa.array(sets.sizes), pa.array(sets.classes, pa.binary()), pa.array(need, pa.int32()),
                     list_array(flat, np.concatenate([[0], np.cumsum(length)])),
                 ],
-                ["row", "doc_id", "n_shingles", "class", "need", "prefix"],
+                ["row", "doc_id", "mark", "n_shingles", "class", "need", "prefix"],
             )
 
 
@@ -154,8 +158,8 @@ def _blocks(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
                 found = ShingleSets(part.column("text"), words)
                 same = np.array([c == k for c, k in zip(found.classes, part.column("class").to_pylist(), strict=True)], bool)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("group"), part.column("block"), part.column("_class"), part.column("copies"), list_array(found.values, found.offsets)],
-                    ["group", "block", "class", "copies", "shingles"],
+                    [part.column("group"), part.column("block"), part.column("n_blocks"), part.column("_class"), part.column("copies"), list_array(found.values, found.offsets)],
+                    ["group", "block", "n_blocks", "class", "copies", "shingles"],
                 ).filter(pa.array(same))
 
     def block(key: tuple, table: pa.Table) -> pa.Table:
@@ -167,28 +171,29 @@ def _blocks(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
         blobs = (classes, np.asarray(table.column("copies")), sizes, union, places)
         kinds = ("<i8", "<i8", "<i4", "<i8", "<i4")
         return pa.table(
-            [pa.array([key[0].as_py()], pa.int64()), pa.array([key[1].as_py()], pa.int32())]
+            [pa.array([key[0].as_py()], pa.int64()), pa.array([key[1].as_py()], pa.int32()), table.column("n_blocks").slice(0, 1)]
             + [pa.array([b.astype(k).tobytes()], pa.binary()) for b, k in zip(blobs, kinds, strict=True)],
-            ["group", "block", "classes", "copies", "sizes", "shingles", "matrix"],
+            ["group", "block", "n_blocks", "classes", "copies", "sizes", "shingles", "matrix"],
         )
 
     heavy = members.groupBy("group").agg(F.count(F.lit(1)).alias("_n"), F.sum("n_shingles").alias("_s"))
     blocks = F.greatest(F.ceil(F.col("_n") / MEMBERS), F.ceil(F.col("_s") / SHINGLES))
     dealt = (
         members.join(heavy, "group")
-        .withColumn("block", F.pmod(F.xxhash64("_class"), blocks).cast("int"))
-        .select("doc_id", "class", "_class", "copies", "group", "block")
+        .withColumn("n_blocks", blocks.cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("_class"), F.col("n_blocks")).cast("int"))
+        .select("doc_id", "class", "_class", "copies", "group", "block", "n_blocks")
     )
     # Texts are shuffled whatever the number of members, so the cost per document is the same at every size.
-    rows = texts(docs).select(id_key().alias("doc_id"), "text").join(dealt.hint("merge"), "doc_id").select("text", "class", "_class", "copies", "group", "block")
-    filled = rows.mapInArrow(sets, "group long, block int, class long, copies long, shingles array<long>")
+    rows = texts(docs).select(id_key().alias("doc_id"), "text").join(dealt.hint("merge"), "doc_id").select("text", "class", "_class", "copies", "group", "block", "n_blocks")
+    filled = rows.mapInArrow(sets, "group long, block int, n_blocks int, class long, copies long, shingles array<long>")
     return stored(filled.groupBy("group", "block").applyInArrow(block, GROUP), "blocks", **{"parquet.block.size": str(32 << 20)})
 
 
 class Block:
-    def __init__(self, row: dict, suffix: str):
+    def __init__(self, row: dict):
         def read(name: str, kind: str) -> np.ndarray:
-            return np.frombuffer(row[name + suffix], kind).astype(np.int64)
+            return np.frombuffer(row[name], kind).astype(np.int64)
 
         self.classes, self.copies, self.sizes = read("classes", "<i8"), read("copies", "<i8"), read("sizes", "<i4")
         self.union, self.places = read("shingles", "<i8"), read("matrix", "<i4")
@@ -209,41 +214,70 @@ class Block:
             yield i, np.flatnonzero(both * limit[1] >= (self.sizes[i] + other.sizes - both) * limit[0])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], limit: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+class Tile:
+    """Link counts of the members of some blocks, and for each the smallest place it is connected with."""
+
+    def __init__(self, blocks: list[Block]):
+        self.blocks = blocks
+        self.begins = np.cumsum([0, *(len(b.classes) for b in blocks)])
+        self.root, self.count = np.arange(self.begins[-1]), np.zeros(self.begins[-1], np.int64)
+
+    def meet(self, a: int, b: int, limit: tuple[int, int]) -> None:
+        left, right = self.blocks[a], self.blocks[b]
+        for i, found in left.links(right, limit):
+            if a == b:
+                found = found[found > i]
+            if len(found):
+                one, many = self.begins[a] + i, self.begins[b] + found
+                self.count[one] += right.copies[found].sum()
+                self.count[many] += left.copies[i]
+                known = np.append(self.root[many], self.root[one])
+                low = known.min()
+                if (known != low).any():
+                    self.root[np.isin(self.root, known)] = low
+
+    def result(self) -> pa.Table:
+        classes = np.concatenate([b.classes for b in self.blocks])
+        linked = np.flatnonzero(self.count)
+        return pa.table([pa.array(classes[linked]), pa.array(classes[self.root[linked]]), pa.array(self.count[linked])], ["class", "with", "n_links"])
+
+
+def _alone(batches: Iterator[pa.RecordBatch], limit: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Links within groups of one block."""
     for batch in batches:
         for n in range(batch.num_rows):
-            row = batch.slice(n, 1).to_pylist()[0]
-            left = Block(row, "")
-            alone = row["block2"] is None
-            right = left if alone else Block(row, "2")
-            classes = left.classes if alone else np.concatenate([left.classes, right.classes])
-            shift = 0 if alone else len(left.classes)
-            root, count = np.arange(len(classes)), np.zeros(len(classes), np.int64)
-            for i, found in left.links(right, limit):
-                if alone:
-                    found = found[found > i]
-                count[i] += right.copies[found].sum()
-                count[found + shift] += left.copies[i]
-                for j in (found + shift).tolist():
-                    a, b = _find(root, i), _find(root, j)
-                    root[max(a, b)] = min(a, b)
-            linked = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(classes[linked]), pa.array(classes[[_find(root, i) for i in linked.tolist()]]) if len(linked) else pa.array([], pa.int64()), pa.array(count[linked])],
-                ["class", "with", "n_links"],
-            )
-
-
-def _find(root: np.ndarray, i: int) -> int:
-    while root[i] != i:
-        root[i] = root[root[i]]
-        i = int(root[i])
-    return i
-
-
-def jaccard_components(docs: DataFrame, words: int = 5, limit: tuple[int, int] = (80, 100)) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, n_links`` (copies count as linked)."""
-    rows = texts(docs).select(id_key().alias("doc_id"), "text")
+            tile = Tile([Block(batch.slice(n, 1).to_pylist()[0])])
+            tile.meet(0, 0, limit)
+            yield from tile.result().to_batches()
+
+
+def _tiles(blocks: DataFrame, limit: tuple[int, int]) -> DataFrame:
+    """Links within groups of several blocks: every pair of blocks is met in one tile."""
+    side = F.least(F.lit(TILE), F.ceil(F.sqrt("n_blocks"))).cast("int")
+    edge = F.floor(F.col("block") / F.col("_side")).cast("int")
+    every = F.sequence(F.lit(0), F.floor((F.col("n_blocks") - 1) / F.col("_side")).cast("int"))
+    tiles = F.transform(every, lambda v: F.struct(F.least(v, F.col("_edge")).alias("low"), F.greatest(v, F.col("_edge")).alias("high")))
+    dealt = blocks.withColumn("_side", side).withColumn("_edge", edge).withColumn("_tile", F.explode(tiles)).select("*", "_tile.*")
+    keys = ["group", "low", "high"]
+
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        rows = table.to_pylist()
+        tile = Tile([Block(row) for row in rows])
+        for a, one in enumerate(rows):
+            for b, other in enumerate(rows):
+                if one["_edge"] == low and other["_edge"] == high and (low < high or one["block"] <= other["block"]):
+                    tile.meet(a, b, limit)
+        return tile.result()
+
+    # As many partitions as shuffles have: a tile costs time by its pairs, not its bytes.
+    number = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.drop("_tile", "_side").repartition(number, *keys).groupBy(*keys).applyInArrow(meet, LINKS)
+
+
+def _resolved(docs: DataFrame, words: int, limit: tuple[int, int]) -> DataFrame:
+    """One row per document: its id, the hash of its text, its class and component (null without words) and its links."""
+    rows = texts(docs).select(id_key().alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     sketches = stored(rows.mapInArrow(lambda b: _sketches(b, words, limit), SKETCH), "sketches")
     classes = stored(
         sketches.where("class IS NOT NULL")
@@ -259,16 +293,19 @@ def jaccard_components(docs: DataFrame, words: int = 5, limit: tuple[int, int] =
         grouped.join(classes, "_class").select(F.col("_least").alias("doc_id"), "class", "_class", "n_shingles", "copies", "group"), "members"
     )
     blocks = _blocks(docs, members, words)
-    empty = [F.lit(None).cast(t).alias(c + "2") for c, t in blocks.dtypes[1:]]
-    second = blocks.select("group", *(F.col(c).alias(c + "2") for c in blocks.columns[1:]))
-    pairs = blocks.select("*", *empty).unionByName(blocks.join(second, "group").where("block < block2"))
-    links = stored(pairs.mapInArrow(lambda b: _verify(b, limit), LINKS), "links")
+    alone = blocks.where("n_blocks = 1").mapInArrow(lambda b: _alone(b, limit), LINKS)
+    links = stored(alone.unionByName(_tiles(blocks.where("n_blocks > 1"), limit)), "links")
     linked = links.groupBy(F.col("class").alias("_class")).agg(F.sum("n_links").alias("_links"))
     joined = components(links.where(F.col("class") != F.col("with")), "class", "with").select(F.col("node").alias("_class"), F.col("root").alias("_root"))
     placed = classes.join(joined, "_class", "left").join(linked, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
     least = placed.groupBy("_root").agg(F.min("_least").alias("_component"))
-    known = placed.join(least, "_root").select("class", "_component", (F.col("copies") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"))
-    return sketches.select("doc_id", "n_shingles", "class").join(known, "class", "left").select(
+    known = placed.join(least, "_root").select("class", "_root", "_component", (F.col("copies") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"))
+    return sketches.select("doc_id", "mark", "n_shingles", "class").join(known, "class", "left")
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, limit: tuple[int, int] = (80, 100)) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, n_links`` (copies count as linked)."""
+    return _resolved(docs, words, limit).select(
         id_value("doc_id").alias("doc_id"),
         "n_shingles",
         F.when(F.col("class").isNull(), id_value("doc_id")).otherwise(id_value("_component")).alias("component_id"),
@@ -277,14 +314,29 @@ def jaccard_components(docs: DataFrame, words: int = 5, limit: tuple[int, int] =
 
 
 def keep_one(docs: DataFrame, words: int = 5, limit: tuple[int, int] = (80, 100)) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all their columns."""
-    kept = (
-        jaccard_components(docs, words, limit)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(id_key().alias("_id"))
-        .distinct()
-    )
-    return docs.select(F.struct("*").alias("_row"), id_key().alias("_id")).join(kept, "_id", "left_semi").select("_row.*")
+    """One row of each component of ``docs`` and all rows without words, with all their columns.
+
+    Rows are told apart by id and text: of a component's rows with its smallest id (null stands last) the one whose
+    text has the smallest hash stays, and of rows equal in both, one.
+    """
+    found = _resolved(docs, words, limit).where("_root IS NULL OR doc_id = _component")
+    rows = found.groupBy("_root", "doc_id", "mark").agg(F.count(F.lit(1)).alias("_copies"))
+    first = Window.partitionBy("_root").orderBy("mark")
+    kept = rows.where("_root IS NOT NULL").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    keys = stored(
+        kept.unionByName(rows.where("_root IS NULL").withColumn("_copies", F.lit(1).cast("long")))
+        .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_copies"),
+        "kept",
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select(F.struct("*").alias("_row"), id_key().alias("_id"), F.xxhash64(text).alias("_mark"))
+    single = keyed.join(keys.where("_copies = 1"), ["_id", "_mark"], "left_semi").select("_row.*")
+    repeated = keys.where("_copies > 1")
+    if repeated.isEmpty():
+        return single
+    copies = keyed.join(repeated, ["_id", "_mark"], "left_semi")
+    one = Window.partitionBy("_id", "_mark").orderBy(F.lit(0))
+    return single.unionByName(copies.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select("_row.*"))
 
 
 SQL = r"""

@@ -232,6 +232,28 @@ def test_large_groups_are_met_block_by_block(spark, monkeypatch):
     assert {r.component_id for r in got} == {0} and all(r.n_links >= 1 for r in got)
 
 
+def test_rows_are_kept_by_id_and_text(spark):
+    """Null and repeated ids: one row of each component stays, and only contaminated rows go."""
+    passage = " ".join(f"word{i}" for i in range(30))
+    other = " ".join(f"else{i}" for i in range(30))
+    near = passage + " end"
+    rows = [
+        (None, passage, "a"), (None, passage, "b"), (None, near, "c"), (None, other, "d"), (None, None, "e"), (None, "", "f"),
+        (7, passage, "g"), (7, other, "h"), (7, "", "i"), (7, "", "j"), (8, other, "k"), (9, "alone", "l"), (9, "alone", "m"), (9, "apart", "n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _mark string")
+    kept = sorted((repr(r.doc_id), r.text or "") for r in jaccard_join.keep_one(docs).collect())
+    # Components: passage and near (smallest id 7), other (7), alone (9), apart (9); rows without words all stay.
+    wanted = [(7, passage), (7, other), (9, "alone"), (9, "apart"), (None, ""), (None, ""), (7, ""), (7, "")]
+    assert kept == sorted((repr(i), t) for i, t in wanted)
+    items = spark.createDataFrame([("x", passage)], "item_id string, text string")
+    clean = {r._mark for r in decontaminate.drop_contaminated(docs, items).collect()}
+    assert clean == set("defhijklmn")
+    for size in (1, 2):  # the smallest id is null where there is no other
+        none = docs.where("doc_id IS NULL AND text IS NOT NULL AND text <> ''").limit(size)
+        assert jaccard_join.keep_one(none).count() == 1
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
