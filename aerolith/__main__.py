@@ -2,7 +2,7 @@
 
 python -m aerolith land  --servers HOST:PORT --topic T --lake DIR --checkpoints DIR
 python -m aerolith speed --servers HOST:PORT --topic T --stations CSV --views DIR --checkpoints DIR
-python -m aerolith batch --stations CSV --views DIR [--history DIR] [--lake DIR] [--as-of YYYY-MM-DD]
+python -m aerolith batch --stations CSV --views DIR [--history DIR] [--lake DIR] [--as-of YYYY-MM-DD] [--state DIR]
 
 ``--feed DIR`` reads message files in place of Kafka; ``--once`` ends when all is read.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolith import schemas
 from aerolith.operators.rollups import SUMMARY_KEYS
+from aerolith.plans.daily_state import run_daily_increment
 from aerolith.plans.views import run_daily_batch
 from aerolith.session import build_session
 from aerolith.sinks import keyed
@@ -51,21 +52,27 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_speed(spark: SparkSession, args: argparse.Namespace) -> None:
     interval = None if args.once else args.interval
     stations = scan_stations(spark, args.stations).select(*schemas.STATION.names)
-    rated = speed.rated_stream(messages.decode_readings(_messages(spark, args)), stations)
+    readings = messages.decode_readings(_messages(spark, args))
+    rated, counted = speed.rated_stream(readings, stations), speed.counted_stream(readings, stations)
     windows = speed.hourly_stream(rated, args.watermark, args.window, SUMMARY_KEYS)
     live = keyed.snapshot_table(f"{args.views}/realtime", schemas.REALTIME_VIEW)
     series = keyed.series_table(f"{args.views}/hourly", schemas.HOURLY_VIEW)
     with speed.state_settings(spark, args.state_partitions):
         queries = (
-            speed.start_latest(rated, live, f"{args.checkpoints}/realtime", interval),
+            speed.start_latest(counted, live, f"{args.checkpoints}/realtime", interval),
             speed.start_hourly(
                 speed.hourly_rows(windows, args.tz_offset), series, f"{args.checkpoints}/hourly", interval
             ),
         )
         _finish(args, *queries)
+    speed.log_counts(queries[0])
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.state:
+        as_of = args.as_of or date.today()
+        run_daily_increment(spark, args.stations, args.lake, args.state, args.views, as_of, args.days, args.again)
+        return
     run_daily_batch(
         spark,
         args.stations,
@@ -110,6 +117,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--fallback")
     job.add_argument("--days", type=int, default=30)
     job.add_argument("--window-history", action="store_true")
+    job.add_argument("--state", help="folder of daily states: only days of the lake without one are read")
+    job.add_argument("--again", nargs="*", default=(), help="days to read anew")
     job.set_defaults(run=batch)
     return top
 

@@ -15,7 +15,7 @@ from aerolith.functions.rules import day_string
 from aerolith.operators import projections, rollups
 from aerolith.operators.filters import date_range
 from aerolith.operators.joins import enrich_left
-from aerolith.operators.latest import latest_per_key
+from aerolith.operators.latest import latest_rows
 from aerolith.plans import views
 from aerolith.plans.serving import Serving
 from aerolith.session import run_dir
@@ -74,6 +74,10 @@ class Binding:
         """Events as readings, keeping the event's id and type."""
         return readings_of(self.events)
 
+    @cached_property
+    def strange(self) -> DataFrame:
+        return with_strange_stations(self.readings)
+
     @cached_property
     def days(self) -> DataFrame:
         """Readings with the day as a date: cheaper to group on, a string again in every view."""
@@ -110,8 +114,8 @@ class Binding:
     @cached_property
     def realtime(self) -> DataFrame:
         """Newest event of each station, decoded only once it is known to be the newest."""
-        newest = latest_per_key(
-            self.events.drop("event_type"), ["user_id"], ["ts"], TIEBREAK
+        newest = latest_rows(
+            self.events.drop("event_type"), ["user_id"], "ts", TIEBREAK
         ).withColumn("event_type", F.lit(None).cast("string"))
         rated = views.rate_latest(readings_of(newest), self.stations)
         return rated.select("event_id", *schemas.REALTIME_VIEW.names)
@@ -187,10 +191,11 @@ class Binding:
         # As a glob the path may be one file or a folder of files; a file source takes no bare file.
         return self.stream_of(f"{self.sf_dir}/events.parque[t]")
 
-    def stream_of(self, path: str) -> DataFrame:
+    def stream_of(self, path: str, strange: bool = False) -> DataFrame:
         """Events files as a stream of readings with instants, as a watermark needs."""
         raw = self.spark.readStream.schema(self.events.schema).parquet(path)
-        return readings_of(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        readings = with_strange_stations(readings_of(raw)) if strange else readings_of(raw)
+        return readings.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
     def stateful(self) -> AbstractContextManager[None]:
         """State settings sized to the cluster's cores, for a stream that runs inside."""
@@ -218,6 +223,13 @@ def readings_of(events: DataFrame) -> DataFrame:
     )
 
 
+def with_strange_stations(readings: DataFrame) -> DataFrame:
+    """Readings in which errors name unknown stations and clicks name none."""
+    kind = F.col("event_type")
+    unknown = F.when(kind == "error", F.concat(F.lit("X"), "station_id")).when(kind != "click", F.col("station_id"))
+    return readings.withColumn("station_id", unknown)
+
+
 def without_zone(df: DataFrame) -> DataFrame:
     """Timestamps as the driver's tables have them."""
     zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from aerolith.driver import oracle as o
 from aerolith.driver.binding import HOW, TIEBREAK, Binding, query
-from aerolith.functions.rules import alert_display, pm25_to_aqi_sql
+from aerolith.functions.rules import pm25_to_aqi_sql
 from aerolith.operators import complete, joins, latest, projections, ranking, rollups
+from aerolith.operators.filters import date_range, rolling_window
+from aerolith.plans import daily_state
 from aerolith.plans.serving import explode_alerts
 from aerolith.sources.lake import union_readings
 
@@ -34,13 +36,13 @@ def j1(b: Binding) -> DataFrame:
     "j2_inner_enrich",
     o.using(
         "readings stations",
-        """SELECT event_id, r.station_id, s.province FROM readings r JOIN stations s ON r.station_id = s.station_id
- WHERE s.region <> 'ASIA'""",
+        """SELECT event_id, r.station_id, s.province
+ FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'X' || station_id WHEN 'click' THEN NULL ELSE station_id END AS station_id
+  FROM readings) r JOIN stations s ON r.station_id = s.station_id""",
     ),
 )
 def j2(b: Binding) -> DataFrame:
-    known = b.stations.where(F.col("region") != "ASIA")
-    return joins.enrich_inner(b.readings, known).select("event_id", "station_id", "province")
+    return joins.enrich_inner(b.strange, b.stations).select("event_id", "station_id", "province")
 
 
 @query(
@@ -165,10 +167,11 @@ def a6(b: Binding) -> DataFrame:
     o.using("enriched", "SELECT region, max(temperature) AS max_temp FROM enriched WHERE region IS NOT NULL GROUP BY region"),
 )
 def a7(b: Binding) -> DataFrame:
-    known = b.enriched.where(F.col("region").isNotNull())
-    lines = known.select(F.concat_ws(",", "date", "region", "temperature", "humidity").alias("value"))
+    # A line names its station; regions follow from the maxima, one row per station.
+    lines = b.readings.select(F.concat_ws(",", "date", "station_id", "temperature", "humidity").alias("value"))
     # Event properties are lines without four fields; they must not count.
-    return rollups.region_max_temperature(lines.union(b.events.select("props")))
+    highest = rollups.region_max_temperature(lines.union(b.events.select("props")), "station_id")
+    return rollups.region_max_of_stations(highest, b.stations)
 
 
 @query(
@@ -191,6 +194,41 @@ def a9(b: Binding) -> DataFrame:
     return rollups.last_updated(b.readings)
 
 
+@query(
+    "a1_daily_state",
+    o.using("daily", "SELECT * FROM daily WHERE date BETWEEN '2024-01-01' AND '2024-01-30'"),
+)
+def a1_state(b: Binding) -> DataFrame:
+    """The rolling daily view after three daily runs, each of which read the days without state only."""
+    return _after_runs(b)[0]
+
+
+@query(
+    "a4_summary_of_states",
+    o.using(
+        "enriched",
+        f"""SELECT station_id, province, region, {o.mean('temperature', 1)} AS avg_temp,
+  {o.half_away('max(temperature)', 1)} AS max_temp, {o.mean('humidity', 1)} AS avg_humidity,
+  {o.mean('pm25', 2)} AS avg_pm25, {o.mean('no2', 2)} AS avg_no2, count(*) AS record_count
+ FROM enriched WHERE date BETWEEN '2024-01-01' AND '2024-01-30' GROUP BY station_id, province, region""",
+    ),
+)
+def a4_states(b: Binding) -> DataFrame:
+    """The 30-day summary after three daily runs."""
+    return _after_runs(b)[1]
+
+
+def _after_runs(b: Binding) -> tuple[DataFrame, DataFrame]:
+    state = b.scratch("daily-state")
+    for as_of in ("2024-01-29", "2024-01-30", "2024-01-31"):
+        start, end = rolling_window(as_of)
+        known = daily_state.known_days(b.spark, state)
+        new = [day for day in daily_state.days_between(start, end) if day not in known]
+        # The bounds of the new days reach the scan of the events.
+        daily_state.update_state(b.spark, date_range(b.readings, min(new), max(new), "timestamp"), state, new)
+    return daily_state.window_views(b.spark, state, b.stations, start, end)
+
+
 @query("a10_row_count", "SELECT count(*) AS rows FROM events")
 def a10(b: Binding) -> DataFrame:
     return rollups.row_count(b.readings)
@@ -259,7 +297,7 @@ def _redated(b: Binding) -> DataFrame:
     ),
 )
 def w1(b: Binding) -> DataFrame:
-    return latest.latest_per_key(b.readings, ["station_id"], ["timestamp"], TIEBREAK)
+    return latest.latest_rows(b.readings, ["station_id"], "timestamp", TIEBREAK)
 
 
 @query(
@@ -339,21 +377,17 @@ def t1(b: Binding) -> DataFrame:
     "t2_top_five",
     o.using(
         "summary",
-        """(SELECT 'hottest' AS list, station_id, province, avg_temp AS value FROM summary
-  ORDER BY avg_temp DESC NULLS LAST, station_id LIMIT 5)
+        """(SELECT 'hottest' AS list, (row_number() OVER (ORDER BY avg_temp DESC NULLS LAST, station_id))::int AS place,
+  station_id, province, avg_temp AS value FROM summary ORDER BY avg_temp DESC NULLS LAST, station_id LIMIT 5)
  UNION ALL
- (SELECT 'polluted', station_id, province, avg_pm25 FROM summary
-  ORDER BY avg_pm25 DESC NULLS LAST, station_id LIMIT 5)""",
+ (SELECT 'polluted', (row_number() OVER (ORDER BY avg_pm25 DESC NULLS LAST, station_id))::int,
+  station_id, province, avg_pm25 FROM summary ORDER BY avg_pm25 DESC NULLS LAST, station_id LIMIT 5)""",
     ),
 )
 def t2(b: Binding) -> DataFrame:
-    def top(name: str, metric: str) -> DataFrame:
-        listed = ranking.top_n(b.summary, metric)
-        return listed.select(
-            F.lit(name).alias("list"), "station_id", "province", F.col(metric).alias("value")
-        )
-
-    return top("hottest", "avg_temp").union(top("polluted", "avg_pm25"))
+    lists = ranking.top_lists(b.summary, {"hottest": "avg_temp", "polluted": "avg_pm25"})
+    value = F.when(F.col("list") == "hottest", F.col("avg_temp")).otherwise(F.col("avg_pm25"))
+    return lists.select("list", "place", "station_id", "province", value.alias("value"))
 
 
 @query(
@@ -368,15 +402,15 @@ def t4(b: Binding) -> DataFrame:
     "t5_alerts_by_exceedance",
     o.using(
         "alerts",
-        """SELECT station_id, alert_type, value / CASE WHEN alert_type = 'Air Quality' THEN 150 ELSE 35 END AS ratio
- FROM alerts""",
+        """SELECT station_id, alert_type, ratio, row_number() OVER (ORDER BY ratio DESC, station_id, alert_type) AS place
+ FROM (SELECT *, value / CASE WHEN alert_type = 'Air Quality' THEN 150 ELSE 35 END AS ratio FROM alerts)""",
     ),
 )
 def t5(b: Binding) -> DataFrame:
-    _, threshold = alert_display()
-    ratio = (F.col("value") / threshold).alias("ratio")
-    alerts = explode_alerts(b.realtime).select("station_id", "alert_type", ratio)
-    return alerts.orderBy(F.desc("ratio"), "station_id", "alert_type")
+    """All alerts with their place in the operator's order."""
+    alerts = ranking.by_exceedance(explode_alerts(b.realtime))
+    placed = ranking.global_rank(alerts, *ranking.exceedance_order(), name="place")
+    return placed.select("station_id", "alert_type", "ratio", F.col("place").cast("long").alias("place"))
 
 
 @query(

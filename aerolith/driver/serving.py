@@ -104,26 +104,17 @@ def q5(b: Binding) -> DataFrame:
     "q6_stats",
     o.using(
         "summary",
-        f"""(SELECT 'hottest' AS section, station_id, province, region, avg_temp, avg_pm25 FROM summary
-  ORDER BY avg_temp DESC NULLS LAST, station_id LIMIT 5)
+        f"""(SELECT 'hottest' AS section, (row_number() OVER (ORDER BY avg_temp DESC NULLS LAST, station_id))::int AS place,
+  station_id, province, region, avg_temp, avg_pm25 FROM summary ORDER BY avg_temp DESC NULLS LAST, station_id LIMIT 5)
  UNION ALL
- (SELECT 'polluted', station_id, province, region, avg_temp, avg_pm25 FROM summary
-  ORDER BY avg_pm25 DESC NULLS LAST, station_id LIMIT 5)
+ (SELECT 'polluted', (row_number() OVER (ORDER BY avg_pm25 DESC NULLS LAST, station_id))::int,
+  station_id, province, region, avg_temp, avg_pm25 FROM summary ORDER BY avg_pm25 DESC NULLS LAST, station_id LIMIT 5)
  UNION ALL
- SELECT 'national', NULL, NULL, NULL, {o.mean('avg_temp', 2, ties='even')}, {o.mean('avg_pm25', 2, ties='even')} FROM summary""",
+ SELECT 'national', NULL, NULL, NULL, NULL, {o.mean('avg_temp', 2, ties='even')}, {o.mean('avg_pm25', 2, ties='even')} FROM summary""",
     ),
 )
 def q6(b: Binding) -> DataFrame:
-    stats = b.serving("summary").stats(HOW)
-    national = stats["national"].withColumnsRenamed(
-        {"national_avg_temp": "avg_temp", "national_avg_pm25": "avg_pm25"}
-    )
-    return (
-        stats["top_hottest_stations"]
-        .withColumn("section", F.lit("hottest"))
-        .unionByName(stats["top_polluted_stations"].withColumn("section", F.lit("polluted")))
-        .unionByName(national.withColumn("section", F.lit("national")), allowMissingColumns=True)
-    )
+    return b.serving("summary").stats_table(HOW)
 
 
 @query("q7_alerts", o.using("alerts", "SELECT * FROM alerts"))
@@ -198,6 +189,35 @@ def q10_alerts(b: Binding) -> DataFrame:
     return b.serving("realtime", "registry").city_alerts()
 
 
+@query(
+    "q10_compare_of_city",
+    o.using(
+        "compare stations",
+        f"""SELECT s.city_id, c.province AS city_name, current_temp, historical_avg_temp, temp_deviation, current_aqi,
+ {o.aqi('historical_avg_pm25', 'NULL')} AS historical_avg_aqi,
+ current_aqi - {o.aqi('historical_avg_pm25', 'NULL')} AS aqi_deviation
+ FROM compare c JOIN stations s ON c.station_id = s.station_id WHERE s.city_id = 7""",
+    ),
+)
+def q10_compare_of_city(b: Binding) -> DataFrame:
+    return b.serving("realtime", "summary", "registry").city_compare(7)
+
+
+@query(
+    "q10_alerts_of_city",
+    o.using(
+        "alerts stations city_ids",
+        """SELECT city_id, a.province AS city_name, CASE WHEN alert_type = 'Temperature' THEN 'Heatwave'
+ WHEN level = 'Hazardous' THEN 'AQI Hazardous' ELSE 'Pollution Spike' END AS alert_type, value,
+ CASE WHEN alert_type = 'Temperature' THEN 35 ELSE 150 END AS threshold_exceeded, timestamp
+ FROM alerts a LEFT JOIN city_ids c ON a.province = c.province
+ WHERE a.province = (SELECT province FROM stations WHERE city_id = 7)""",
+    ),
+)
+def q10_alerts_of_city(b: Binding) -> DataFrame:
+    return b.serving("realtime", "registry").city_alerts(city_id=7)
+
+
 @query(
     "q10_city_stats",
     o.using(

@@ -170,12 +170,28 @@ def s9(b: Binding) -> DataFrame:
     return messages.explode_hourly(payloads, "payload", messages.WEATHER_NAMES)
 
 
+_REGISTERED = ", ".join(
+    f"({101 + n}, '{station}', '{province}', '{region}', {lat}::double, {lon}::double)"
+    for n, (station, province, region, lat, lon) in enumerate(
+        line.split(",") for line in registry._STATIONS.split("\n")[1:-1]
+    )
+)
+
+
 @query(
     "s10_station_registry",
-    o.using("stations", "SELECT station_id, city_id, province, region FROM stations"),
+    o.using(
+        "readings",
+        f"""SELECT event_id, s.station_id, city_id, province, region, latitude, longitude, pm25
+ FROM readings r JOIN (VALUES {_REGISTERED}) AS s(city_id, station_id, province, region, latitude, longitude)
+ ON 101 + event_id % 40 = s.city_id""",
+    ),
 )
 def s10(b: Binding) -> DataFrame:
-    return b.registry
+    """Readings that name a city: the registry's 34 stations are found, other cities are not."""
+    cities = b.readings.withColumn("city_id", (F.lit(101) + F.col("event_id") % 40).cast("int")).drop("station_id")
+    found = cities.join(registry.station_registry(b.spark), "city_id")
+    return found.select("event_id", "station_id", "city_id", "province", "region", "latitude", "longitude", "pm25")
 
 
 @query(

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith import schemas
 from aerolith.driver import oracle as o
 from aerolith.driver.binding import HOW, MID_MONTH, Binding, query, without_zone
 from aerolith.operators import projections
-from aerolith.operators.latest import latest_per_key
 from aerolith.sinks import keyed
 from aerolith.streaming import speed
 
 _RATED = "event_id, station_id, province, region, timestamp, pm25, aqi_index, aqi_alert, temp_alert"
 _WINDOW = "station_id, province, region, hour_start, avg_pm25, avg_temp, max_aqi"
 _KEYS = ("station_id", "province", "region")
+_HALF_SQL = "(event_id % 3 = 0)::int"
+
+
+def _half() -> Column:
+    return (F.col("event_id") % 3 == 0).cast("int")
+
 
 
 def _rated(b: Binding, stream: DataFrame | None = None) -> DataFrame:
@@ -86,28 +91,55 @@ def st2(b: Binding) -> DataFrame:
 @query(
     "st3_update_output",
     o.using(
-        "windows",
-        f"SELECT station_id, hour_start, max_aqi, 1::bigint AS batches FROM windows",
+        "rated windows",
+        f"""SELECT station_id, hour_start, n AS batch, max(aqi_index) AS max_aqi, count(*) AS rows
+ FROM (SELECT station_id, date_trunc('hour', timestamp) AS hour_start, aqi_index, {_HALF_SQL} AS half FROM rated) r
+ JOIN (VALUES (0), (1)) AS b(n) ON half <= n
+ GROUP BY station_id, hour_start, n HAVING max(half) = n""",
     ),
 )
 def st3(b: Binding) -> DataFrame:
-    """Every emission of every hour, by batch; all hours of one batch are emitted once."""
-    out = b.scratch("emitted")
+    """Every emission of every hour: an hour that gets rows in both triggers is emitted twice, the second time whole."""
+    out, source = b.scratch("emitted"), b.scratch("source")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    with b.stateful():
-        windows = _windows(_rated(b)).withColumn("hour_start", F.col("window.start")).drop("window")
-        speed.drain(speed.each_batch(windows, keep, b.scratch("checkpoint"), "update", None))
+        batch.write.mode("overwrite").parquet(f"{out}/trigger={batch_id}")
+
+    # Both triggers bring rows of every hour, within the watermark of the days before.
+    for half in (0, 1):
+        b.events.where(_half() == half).coalesce(1).write.mode("append").parquet(source)
+        with b.stateful():
+            rated = _rated(b, b.stream_of(source))
+            # No watermark: hours of the whole month come again in the second trigger.
+            windows = rated.groupBy("station_id", F.window("timestamp", "1 hour")["start"].alias("hour_start"))
+            counted = windows.agg(F.max("aqi_index").alias("max_aqi"), F.count("*").alias("rows"))
+            speed.drain(speed.each_batch(counted, keep, f"{source}-checkpoint", "update", None))
     emitted = without_zone(b.spark.read.parquet(out))
-    newest = latest_per_key(
-        emitted.select("station_id", "hour_start", "batch", "max_aqi"),
-        ["station_id", "hour_start"],
-        ["batch"],
+    return emitted.select("station_id", "hour_start", F.col("trigger").cast("int").alias("batch"), "max_aqi", "rows")
+
+
+@query(
+    "a10_stream_counts",
+    f"""SELECT {_HALF_SQL} AS batch, count(*) AS rows,
+ count(*) FILTER (event_type NOT IN ('error', 'click')) AS accepted, count(*) FILTER (event_type IN ('error', 'click')) AS rejected
+ FROM events GROUP BY 1""",
+)
+def a10_stream(b: Binding) -> DataFrame:
+    """How many readings of each trigger were of known and of unknown stations, as the running query counted them."""
+    source, checkpoint = b.scratch("source"), b.scratch("checkpoint")
+    table = keyed.snapshot_table(b.scratch("realtime"), schemas.REALTIME_VIEW)
+    counts = []
+    for half in (0, 1):
+        b.events.where(_half() == half).write.mode("append").parquet(source)
+        counted = speed.counted_stream(b.stream_of(source, strange=True), b.stations)
+        running = speed.start_latest(counted, table, checkpoint)
+        speed.drain(running)
+        counts += speed.batch_counts(running)
+    # One row per trigger.
+    return b.spark.createDataFrame(
+        [tuple(c[n] for n in ("batch", "rows", "accepted", "rejected")) for c in counts],
+        "batch int, rows long, accepted long, rejected long",
     )
-    times = emitted.groupBy("station_id", "hour_start").agg(F.count("*").alias("batches"))
-    return newest.join(times, ["station_id", "hour_start"]).drop("batch")
 
 
 @query("st4_append_output", o.using("rated", f"SELECT {_RATED} FROM rated"))

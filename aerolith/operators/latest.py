@@ -31,6 +31,26 @@ def latest_per_key(
     )
 
 
+def latest_rows(
+    df: DataFrame, keys: Sequence[str], newest: str, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """``latest_per_key`` of a table, reading whole rows late; the same rows, ties included.
+
+    The greatest ``newest`` of each key is a hash aggregate over two narrow columns. Only rows at least as new as the
+    oldest of these maxima can be among the latest: that bound is a subquery that reaches the scan of the
+    full rows, and what passes it meets the maxima in a join. Rows tied in time are told apart by a window over the few left.
+    """
+    greatest = df.groupBy(*keys).agg(F.max(newest).alias("_newest"))
+    bound = greatest.agg(F.min("_newest")).scalar()
+    recent = df.where((F.col(newest) >= bound) | F.col(newest).isNull())
+    at = greatest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    tied = recent.join(at, [*same, F.col(newest).eqNullSafe(F.col("_newest"))], "left_semi")
+    rest = [c for c in df.columns if c not in {*keys, newest, *tiebreak}]
+    first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*tiebreak, *rest)] or [F.lit(0)])
+    return tied.withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1).drop("_n").select(*df.columns)
+
+
 def clamp_limit(limit: int | str | None) -> int:
     """Series length: 30 when absent, zero or not starting with a number, else held within 1..500."""
     leading = re.match(r"\s*([+-]?\d+)", str(limit or ""))

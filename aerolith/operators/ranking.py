@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.functions import rules
 from aerolith.session import run_dir
 
 
@@ -13,6 +14,27 @@ def top_n(df: DataFrame, metric: str, n: int = 5, key: str = "station_id") -> Da
     return df.orderBy(F.desc_nulls_last(metric), key).limit(n)
 
 
+def by_exceedance(alerts: DataFrame) -> DataFrame:
+    """Alerts with ``ratio``, their value over their display threshold, the farthest beyond it first."""
+    _, threshold = rules.alert_display("alert_type", "level")
+    return alerts.withColumn("ratio", F.col("value") / threshold).orderBy(*exceedance_order())
+
+
+def exceedance_order() -> tuple[Column, ...]:
+    return F.desc("ratio"), F.asc("station_id"), F.asc("alert_type")
+
+
+def top_lists(df: DataFrame, metrics: dict[str, str], n: int = 5, key: str = "station_id") -> DataFrame:
+    """Several lists of the ``n`` rows with the greatest metric, in one pass: ``list, place`` and the row.
+
+    Rows are repeated once per metric inside a task, which forwards at most ``n`` of them for each list.
+    """
+    value = F.array(*[F.struct(F.lit(name).alias("list"), F.col(m).cast("double").alias("_by")) for name, m in metrics.items()])
+    repeated = df.select("*", F.inline(value))
+    best = Window.partitionBy("list").orderBy(F.desc_nulls_last("_by"), key)
+    return repeated.withColumn("place", F.row_number().over(best)).where(F.col("place") <= n).drop("_by")
+
+
 def sort_key(field: str, direction: str = "asc") -> Column:
     """Missing values sort below every value, whichever the direction."""
     return F.desc_nulls_last(field) if direction == "desc" else F.asc_nulls_first(field)

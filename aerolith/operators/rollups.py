@@ -213,8 +213,8 @@ def national_means(summary: DataFrame, how: str = "fixed") -> DataFrame:
     )
 
 
-def region_max_temperature(lines: DataFrame) -> DataFrame:
-    """Greatest temperature per region of ``date,region,temp,humidity`` text lines.
+def region_max_temperature(lines: DataFrame, key: str = "region") -> DataFrame:
+    """Greatest temperature per region (or other ``key``) of ``date,region,temp,humidity`` text lines.
 
     A header line and lines without exactly four fields are skipped; trailing empty fields do
     not count.
@@ -223,11 +223,17 @@ def region_max_temperature(lines: DataFrame) -> DataFrame:
     return (
         lines.select(fields.alias("f"))
         .where((F.size("f") == 4) & (F.col("f")[0] != "date"))
-        .groupBy(F.col("f")[1].alias("region"))
+        .groupBy(F.col("f")[1].alias(key))
         .agg(F.max(F.col("f")[2].try_cast("double")).alias("max_temp"))
     )
 
 
+def region_max_of_stations(highest: DataFrame, stations: DataFrame) -> DataFrame:
+    """Greatest temperature per region from the greatest per station: the lookup sees one row per station."""
+    known = highest.join(stations.select("station_id", "region"), "station_id")
+    return known.groupBy("region").agg(F.max("max_temp").alias("max_temp"))
+
+
 def region_weather(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Mean ``temp`` and total ``precipitation`` per region, warmest first.
 

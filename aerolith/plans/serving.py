@@ -80,7 +80,7 @@ class Serving:
         matched = filters.match_optional(self.realtime_rows, station_id=station_id, province=province)
         if self.snapshot:
             return matched.drop("_id")
-        return latest.latest_per_key(matched, ["station_id"], ["timestamp"], self.tiebreak).drop("_id")
+        return latest.latest_rows(matched, ["station_id"], "timestamp", self.tiebreak).drop("_id")
 
     def realtime(self, station_id: str | None = None, province: str | None = None) -> DataFrame:
         """Latest reading per station."""
@@ -139,6 +139,16 @@ class Serving:
             "national": self.national(how),
         }
 
+    def stats_table(self, how: str = "fixed", n: int = 5) -> DataFrame:
+        """All of ``stats`` as one table, by ``section`` and ``place``, from one pass over the summary.
+
+        Each task forwards at most ``n`` rows of either list and one row of sums for the means.
+        """
+        lists = ranking.top_lists(self.summary_rows, {"hottest": "avg_temp", "polluted": "avg_pm25"}, n)
+        listed = lists.select(F.col("list").alias("section"), "place", *RANK_COLUMNS)
+        national = self.national(how).withColumnsRenamed({"national_avg_temp": "avg_temp", "national_avg_pm25": "avg_pm25"})
+        return listed.unionByName(national.withColumn("section", F.lit("national")), allowMissingColumns=True)
+
     def alerts(self, province: str | None = None, severity: str = "all") -> DataFrame:
         """Alerts of each station's latest reading."""
         return filters.by_severity(explode_alerts(self._latest(province=province)), severity)
@@ -191,10 +201,12 @@ class Serving:
             "timestamp",
         )
 
-    def city_compare(self) -> DataFrame:
-        """``compare`` by city, with the baseline's index and the index deviation."""
+    def city_compare(self, city_id: int | None = None) -> DataFrame:
+        """``compare`` by city, with the baseline's index and the index deviation; of one city where it is named."""
         historical = rules.pm25_to_aqi("historical_avg_pm25", "null")
         cities = self.registry.select("station_id", "city_id", F.col("province").alias("_city"))
+        if city_id is not None:
+            cities = cities.where(F.col("city_id") == city_id)
         return (
             self.compare_all()
             .join(cities, "station_id")
@@ -210,10 +222,17 @@ class Serving:
             )
         )
 
-    def city_alerts(self, severity: str = "all") -> DataFrame:
-        """``alerts`` with city id, display type and threshold."""
+    def city_alerts(self, severity: str = "all", city_id: int | None = None) -> DataFrame:
+        """``alerts`` with city id, display type and threshold; of one city's province where it is named.
+
+        A city that is not registered has no alerts.
+        """
         shown, threshold = rules.alert_display("alert_type", "level")
-        return joins.with_city(self.alerts(severity=severity), self.registry).select(
+        alerts = self.alerts(severity=severity)
+        if city_id is not None:
+            province = self.registry.where(F.col("city_id") == city_id).select("province").distinct()
+            alerts = alerts.join(province, "province", "left_semi")
+        return joins.with_city(alerts, self.registry).select(
             "city_id",
             F.col("province").alias("city_name"),
             shown.alias("alert_type"),

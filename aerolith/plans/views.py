@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from aerolith.operators import projections, rollups
 from aerolith.operators.filters import rolling_window
 from aerolith.operators.joins import enrich_left
-from aerolith.operators.latest import latest_per_key
+from aerolith.operators.latest import latest_rows
 from aerolith.session import delete_path, run_dir
 from aerolith.sinks.tables import publish_view, write_enriched_lake
 from aerolith.sources.lake import load_master
@@ -24,7 +24,7 @@ def realtime_view(readings: DataFrame, stations: DataFrame, tiebreak: Sequence[s
     The newest reading is picked first; the station lookup and the labels then touch one row per
     station instead of every reading.
     """
-    return rate_latest(latest_per_key(readings, ["station_id"], ["timestamp"], tiebreak), stations)
+    return rate_latest(latest_rows(readings, ["station_id"], "timestamp", tiebreak), stations)
 
 
 def rate_latest(latest: DataFrame, stations: DataFrame) -> DataFrame:

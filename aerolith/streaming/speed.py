@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from aerolith.functions import rules
@@ -13,8 +15,10 @@ from aerolith.operators import projections, rollups
 from aerolith.operators.joins import enrich_inner
 from aerolith.sinks.keyed import KeyedTable, with_slot
 
+_LOG = logging.getLogger(__name__)
 WATERMARK = "10 minutes"
 TRIGGER = "1 minute"
+BATCH_COUNTS = "batch_counts"
 
 
 @contextmanager
@@ -108,6 +112,36 @@ def each_batch(
     return _triggered(writer, interval).start()
 
 
+def counted_stream(readings: DataFrame, stations: DataFrame, name: str = BATCH_COUNTS) -> DataFrame:
+    """``rated_stream`` that also counts, in the same pass, the rows of each batch: all, of known and of unknown stations.
+
+    The counts are metrics of the running query (``observe``): no second job and no second read of the batch.
+    """
+    known = stations.withColumn("_known", F.lit(True))
+    marked = readings.join(known, "station_id", "left")
+    accepted = F.count_if(F.col("_known").isNotNull())
+    counted = marked.observe(
+        name,
+        F.count(F.lit(1)).alias("rows"),
+        accepted.alias("accepted"),
+        F.count_if(F.col("_known").isNull()).alias("rejected"),
+    )
+    return projections.rate(counted.where(F.col("_known")).drop("_known"))
+
+
+def batch_counts(query: StreamingQuery, name: str = BATCH_COUNTS) -> list[dict[str, int]]:
+    """The counts of the latest batches of a query over ``counted_stream``, one entry per batch that had rows.
+
+    Spark keeps as many as ``spark.sql.streaming.numRecentProgressUpdates`` says (100).
+    """
+    found = {}
+    for progress in query.recentProgress:
+        counts = progress.observedMetrics.get(name)
+        if counts is not None and counts["rows"]:
+            found[progress.batchId] = {"batch": progress.batchId, **counts.asDict()}
+    return [found[batch] for batch in sorted(found)]
+
+
 def _upsert_into(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     def apply(batch: DataFrame, batch_id: int) -> None:
         # An empty batch ends in the upsert itself, after the one pass that finds its partitions.
@@ -187,6 +221,13 @@ def run_until_any_stops(queries: Iterable[StreamingQuery], poll_seconds: float =
                 query.stop()
 
 
+def log_counts(*queries: StreamingQuery) -> None:
+    """What the latest batches held, in the log: the last look at queries that count."""
+    for query in queries:
+        for counts in batch_counts(query):
+            _LOG.info("batch %(batch)s: %(rows)s rows, %(accepted)s accepted, %(rejected)s rejected", counts)
+
+
 def drain(*queries: StreamingQuery) -> None:
     """Wait for queries that process what is available and end; if one fails, stop the others."""
     try:
