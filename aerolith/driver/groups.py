@@ -28,7 +28,7 @@ NOW = datetime.fromisoformat("2026-06-02 13:20:00")
     o.using("enriched", "SELECT event_id, station_id, province, region, pm25, temperature FROM enriched"),
 )
 def j1(b: Binding) -> DataFrame:
-    merged = joins.enrich_left(b.readings, b.stations, strategy="merge", salts=8)
+    merged = joins.enrich_left(b.readings, b.stations, strategy="skew")
     return merged.select("event_id", "station_id", "province", "region", "pm25", "temperature")
 
 

@@ -119,6 +119,31 @@ def s7(b: Binding) -> DataFrame:
     return without_zone(messages.decode_readings(text))
 
 
+@query(
+    "s7_message_outcomes",
+    """SELECT outcome, count(*) AS messages FROM (
+ SELECT CASE event_type WHEN 'error' THEN 'broken' WHEN 'view' THEN 'missing' WHEN 'click' THEN 'null'
+  WHEN 'signup' THEN CASE WHEN event_id % 2 = 0 THEN 'broken' ELSE 'reading' END ELSE 'reading' END AS outcome FROM events
+ UNION ALL SELECT 'broken' FROM pages) GROUP BY outcome""",
+)
+def s7_outcomes(b: Binding) -> DataFrame:
+    """A feed in which errors are cut off, views lack the station, clicks have it null, and some signups a word for a number."""
+    kind, whole = F.col("event_type"), tables.to_message_json(_feed(b)).columns[0]
+    fields = [F.col(c).cast("string").alias(c) if c in ("date", "timestamp") else F.col(c) for c in schemas.READING.names]
+    text = F.to_json(F.struct(*fields))
+    station = F.concat(F.lit('"station_id":"'), "station_id", F.lit('"'))
+    number = F.concat(F.lit('"no2":'), F.col("no2").cast("string"))
+    changed = (
+        F.when(kind == "error", F.substring(text, 1, 40))
+        .when(kind == "view", F.replace(text, F.concat(station, F.lit(",")), F.lit("")))
+        .when(kind == "click", F.replace(text, station, F.lit('"station_id":null')))
+        .when((kind == "signup") & (F.col("event_id") % 2 == 0), F.replace(text, number, F.lit('"no2":"much"')))
+        .otherwise(text)
+    )
+    feed = b.readings.select(changed.alias(whole)).union(b.table("pages").select("html"))
+    return messages.message_outcomes(feed).groupBy("outcome").agg(F.count("*").alias("messages"))
+
+
 _PAYLOAD_GAPS = {"error": "pm2_5", "view": "no2", "click": "temp_c"}
 
 

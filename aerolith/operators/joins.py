@@ -21,15 +21,51 @@ def salted_join(
     return salted_left.join(repeated.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
+def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
+    """``key, pieces``: the keys that hold more than ``share`` of the rows, and how many pieces of that size they make.
+
+    A frequency sketch names them: one pass over the key column, combined before the shuffle. Fewer than
+    ``1 / share`` keys can be that frequent, so the table is small whatever the input.
+    """
+    most = max(1, int(1 / share))
+    sketch = f"approx_top_k({key}, {most}, {max(10_000, 4 * most)})"
+    found = df.where(F.col(key).isNotNull()).agg(F.expr(sketch).alias("_top"), F.count(F.lit(1)).alias("_rows"))
+    top = found.select("_rows", F.inline("_top")).where(F.col("count") > F.col("_rows") * share)
+    return top.select(F.col("item").alias(key), F.ceil(F.col("count") / (F.col("_rows") * share)).cast("int").alias("pieces"))
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, on: str, how: str = "left", salt_from: str = "timestamp", parts_per_task: int = 16
+) -> DataFrame:
+    """Merge join in which only the heavy keys of ``left`` are spread, by their share of the rows.
+
+    A key that holds more rows than a small part of a task's fair share is cut into such parts by a hash of
+    ``salt_from``; its row on the right is repeated once per part, all other rows stay single. Null keys, which
+    match nothing, are spread as well. A recomputed task puts every row where it was.
+    """
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Fewer rows than tasks * parts_per_task: a proven bound for the broadcast.
+    heavy = F.broadcast(heavy_keys(left, on, 1 / (tasks * parts_per_task)))
+    spread = F.xxhash64(salt_from)
+    nulls = F.when(F.col(on).isNull(), F.pmod(spread, F.lit(tasks * parts_per_task)))
+    salt = F.coalesce(F.pmod(spread, F.col("pieces")), nulls, F.lit(0)).cast("int")
+    salted = left.join(heavy, on, "left").withColumn("_salt", salt).drop("pieces")
+    pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+    repeated = right.join(heavy, on, "left").withColumn("_salt", F.explode(pieces)).drop("pieces")
+    return salted.join(repeated.hint("merge"), [on, "_salt"], how).drop("_salt")
+
+
 def enrich_left(
     readings: DataFrame, stations: DataFrame, strategy: str = "auto", salts: int = 1
 ) -> DataFrame:
     """Every reading with its station's province and region, null for unknown stations.
 
     ``auto`` leaves the choice to Catalyst, which broadcasts below its size threshold and splits
-    skewed merge partitions at run time. ``merge`` forces a sort-merge join; ``salts`` above one
-    spreads a station that holds much of the data over that many tasks.
+    skewed merge partitions at run time. ``merge`` forces a sort-merge join; ``skew`` one that spreads the stations that
+    hold much of the data, and only these (``skew_join``); ``salts`` above one spreads every station over that many tasks.
     """
+    if strategy == "skew":
+        return skew_join(readings, stations, "station_id", "left")
     if salts > 1:
         return salted_join(readings, stations, "station_id", "left", "timestamp", salts)
     if strategy == "merge":

@@ -68,6 +68,20 @@ def last_n(
     )
 
 
+def latest_day_of_view(df: DataFrame, key: str = "station_id") -> DataFrame:
+    """``latest_day`` of a table filed by day: only days that are some key's last one are opened.
+
+    The last days of all keys are a handful of dates, whatever the number of keys; their broadcast prunes the scan at
+    run time. Rows without a day are in no day.
+    """
+    last = df.groupBy(key).agg(F.max("date").alias("_last"))
+    # The comparison marks the side as selective, which run-time pruning asks for.
+    days = last.where(F.col("_last") > "").select(F.col("_last").alias("date")).distinct()
+    recent = df.join(F.broadcast(days), "date", "left_semi")
+    own = last.select(F.col(key).alias("_key"), "_last")
+    return recent.join(own, (F.col(key) == F.col("_key")) & (F.col("date") == F.col("_last")), "left_semi")
+
+
 def latest_day(df: DataFrame, key: str = "station_id") -> DataFrame:
     """All rows of each key's latest day."""
     by_day = Window.partitionBy(key).orderBy(F.desc("date"))

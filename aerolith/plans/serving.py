@@ -63,7 +63,8 @@ class Serving:
     """Queries over the views. ``tiebreak`` orders readings of one station with equal times.
 
     ``snapshot`` says that the live view holds one row per station, as the keyed sink keeps it;
-    otherwise the latest reading of each station is picked out first.
+    otherwise the latest reading of each station is picked out first. ``filed_by_day`` says that the hourly
+    view is partitioned by date, so that timelines open the days they show only.
     Where a station is asked for, ``station_id=None`` through the ``*_all`` form answers for
     every station at once.
     """
@@ -75,6 +76,7 @@ class Serving:
     registry: DataFrame | None = None
     tiebreak: Sequence[str] = ()
     snapshot: bool = False
+    filed_by_day: bool = False
 
     def _latest(self, station_id: str | None = None, province: str | None = None) -> DataFrame:
         matched = filters.match_optional(self.realtime_rows, station_id=station_id, province=province)
@@ -109,7 +111,8 @@ class Serving:
         return self._timeline(self.hourly_rows, date).orderBy("station_id", "timestamp")
 
     def _timeline(self, rows: DataFrame, date: str | None) -> DataFrame:
-        day = filters.match_optional(rows, date=date) if date else latest.latest_day(rows)
+        last = latest.latest_day_of_view if self.filed_by_day else latest.latest_day
+        day = filters.match_optional(rows, date=date) if date else last(rows)
         return projections.with_hour(day.select("station_id", *SERIES_COLUMNS))
 
     def daily(self, station_id: str, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import schemas
-from aerolith.session import delete_path
+from aerolith.session import delete_path, folders
+
+VERSION = "v"
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "overwrite") -> None:
@@ -27,21 +29,52 @@ def write_processed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def publish_view(df: DataFrame, root: str, name: str) -> None:
-    """Replace a named view."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
+def _versions(spark: SparkSession, root: str, name: str, whole: bool = True) -> list[str]:
+    """The folders of a view's versions, oldest first; a version is whole once its commit mark is there."""
+    mark = "/_SUCCESS" if whole else ""
+    found = folders(spark, f"{root}/{name}/{VERSION}*{mark}")
+    return sorted(path.removesuffix(mark) for path in found)
+
+
+def publish_view(df: DataFrame, root: str, name: str, keep: int = 2, table: str | None = None) -> str:
+    """Replace a named view without a gap; returns the folder of the new version.
+
+    Every version has a folder of its own, and readers take the newest whole one: they see the old rows or the new
+    ones, never none or half. ``table`` names a catalog table that is pointed at the new version. The ``keep`` newest
+    versions stay, for readers that began before; a broken write leaves a folder that nobody reads and the next publish clears.
+    """
+    spark = df.sparkSession
+    every = _versions(spark, root, name, whole=False)
+    number = int(every[-1].rsplit(VERSION, 1)[1]) + 1 if every else 0
+    folder = f"{root}/{name}/{VERSION}{number:010d}"
+    df.write.parquet(folder)
+    if table:
+        register_view(spark, root, name, table)
+    whole = _versions(spark, root, name)
+    for old in every:
+        if old not in whole[-max(keep, 1) :]:
+            delete_path(spark, old)
+    return folder
 
 
 def scan_view(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One of the four published views."""
+    """One of the four published views, as of its newest version."""
     if name not in schemas.VIEWS:
         raise ValueError(f"unknown view {name!r}")
-    return spark.read.parquet(f"{root}/{name}")
+    versions = _versions(spark, root, name)
+    return spark.read.parquet(versions[-1] if versions else f"{root}/{name}")
 
 
 def register_view(spark: SparkSession, root: str, name: str, table: str | None = None) -> None:
-    """Make a published view readable by name in SQL."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table or name} USING parquet LOCATION '{root}/{name}'")
+    """Make a published view readable by name in SQL, or point its name at the newest version."""
+    versions = _versions(spark, root, name)
+    location = versions[-1] if versions else f"{root}/{name}"
+    target = table or name
+    if spark.catalog.tableExists(target):
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(target)
+    else:
+        spark.sql(f"CREATE TABLE {target} USING parquet LOCATION '{location}'")
 
 
 def drop_views(spark: SparkSession, root: str, *names: str, tables: tuple[str, ...] = ()) -> list[str]:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith import schemas
 from aerolith.operators.projections import rename
 
 WEATHER_NAMES = {"temperature_2m": "temperature", "relative_humidity_2m": "humidity"}
 AIR_NAMES = {"pm2_5": "pm25", "nitrogen_dioxide": "no2"}
+REQUIRED = ("station_id", "timestamp", "date")
+BROKEN = "_broken"
 
 
 def kafka_messages(
@@ -59,6 +64,36 @@ def _fileable(prefix: str = "") -> Column:
     )
 
 
+def message_outcomes(messages: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """Messages with their reading's fields and ``outcome``, told apart in one pass.
+
+    ``broken``: text that is no JSON object, or a field of the wrong kind; ``missing``: an object that lacks a
+    required field; ``null``: a required field that is there and null; ``reading``: all else.
+    """
+    schema = T.StructType([*schemas.READING.fields, T.StructField(BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        "value", F.json_object_keys(text).alias("_keys"), F.from_json(text, schema, options).alias("data")
+    )
+    lacks = F.size(F.array_except(F.array(*[F.lit(c) for c in required]), "_keys")) > 0
+    empty = reduce(Column.__or__, [F.col(f"data.{c}").isNull() for c in required])
+    outcome = (
+        F.when(F.col("_keys").isNull() | F.col(f"data.{BROKEN}").isNotNull(), "broken")
+        .when(lacks, "missing")
+        .when(empty, "null")
+        .otherwise("reading")
+    )
+    return parsed.select("value", outcome.alias("outcome"), *[F.col(f"data.{c}").alias(c) for c in schemas.READING.names])
+
+
+def rejected_messages(messages: DataFrame, *outcomes: str) -> DataFrame:
+    """The text of messages with one of the ``outcomes`` (all but readings if none is named), for the quarantine."""
+    told = message_outcomes(messages)
+    wanted = F.col("outcome").isin(*outcomes) if outcomes else F.col("outcome") != "reading"
+    return told.where(wanted).select("value")
+
+
 def _observed(payloads: DataFrame, payload: str) -> DataFrame:
     parsed = payloads.withColumn("_p", F.from_json(payload, schemas.OBSERVATION_PAYLOAD))
     return parsed.withColumn(
