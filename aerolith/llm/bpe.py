@@ -1,13 +1,14 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary.
 
 Byte-level BPE never merges across the pieces its pattern cuts, so a text's ids are the ids of its
-pieces in order. The pieces are cut with numpy, each distinct piece is encoded once by the
+pieces in order. Texts are cut at the vocabulary's special tokens, then into pieces with numpy, each distinct piece is encoded once by the
 ``tokenizers`` library and kept in a bounded cache of the worker.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import sys
 import unicodedata
 from functools import cache
@@ -81,7 +82,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Texts of special tokens are ids of their own, whatever stands around them.
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {token.content: number for number, token in added.items()}
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("the vocabulary has special tokens that take in what stands beside them")
+        longest = sorted(self.special, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.known: dict[bytes, int] = {}
         self.ids, self.offsets, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64), 0
 
@@ -102,7 +109,23 @@ class Encoder:
             self.known.update(zip(part, range(count, count + len(part)), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of all texts and the offsets of each text's ids."""
+        """Flat ids of all texts and the offsets of each text's ids, as the library gives them by default."""
+        joined = "".join(texts)
+        if not any(special in joined for special in self.special):
+            return self._plain(texts)
+        parts = [self.cut.split(text) for text in texts]
+        count = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = [part for one in parts for part in one]
+        own = np.fromiter((self.special.get(part, -1) for part in flat), np.int64, len(flat))
+        ids, offsets = self._plain(["" if n >= 0 else part for part, n in zip(flat, own.tolist(), strict=True)])
+        ends = np.cumsum(np.diff(offsets) + (own >= 0))
+        out = np.empty(int(ends[-1]), np.int32)
+        single = np.zeros(len(out), bool)
+        single[ends[own >= 0] - 1] = True
+        out[single], out[~single] = own[own >= 0], ids
+        return out, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > CACHED_PIECES:
             self.known.clear()
             self.used = 0

@@ -1,11 +1,14 @@
 """Chat transcripts: roles recovered by a hidden Markov model, then canonical turns.
 
 A conversation is its rows in order of ``turn`` (nulls last, ties by text), each row one or more lines. The
-states are the roles. A line is observed by its speaker marker ("User:", "[assistant]", "### System"), its
-length, a closing question mark, its place in the row and the number of lines of the row. Emissions, the role
-that starts and the role that follows are counted over all training rows (crc32 of ``conv_id`` modulo 5 is
-not 0); inside a row the role stays unless a marker allows a change. Viterbi then recovers the roles from
-the text alone, and each run of lines with one role is rendered as a turn, markers taken off.
+states are the roles. A line is observed by what may be a speaker marker (a listed word with a colon or in
+brackets: "User:", "[assistant]", "<|system|>"), its length, a closing question mark, its place in the row and the
+number of lines of the row. Emissions, those of markers too, the role that starts and the role that follows are
+counted over all training rows (crc32 of ``conv_id`` modulo 5 is not 0); the word list only proposes markers and
+weighs like ``LISTED`` rows. Inside a row the role stays unless a marker allows a change. Viterbi then recovers the
+roles from the text alone, and each run of lines with one role is rendered as a turn. A marker is taken off
+only where the recovered role is the one it mostly stands for; else it is text of the turn, as are bare words.
+All other characters are kept; of roles with equal scores the first by name is taken.
 
 Conversations are decoded in blocks of ``TURNS`` turn numbers, so one that holds a third of all rows is many
 tasks: each block gives a max-plus matrix (best score from every state before it to every state at its
@@ -13,7 +16,8 @@ end), the matrices of a conversation are chained, and every block is decoded bet
 is exactly Viterbi over the whole conversation.
 
 A null or empty text is one empty line and gives one turn. Rows without ``conv_id`` are one conversation.
-Repeated rows are repeated turns. Without any training role every turn is ``user``.
+Repeated rows are repeated turns. Without any training role every turn is ``user``. Any number of roles will do: a
+line costs their square, a line of a conversation of several blocks their cube.
 """
 
 from __future__ import annotations
@@ -32,9 +36,9 @@ from aerolith.llm.matrices import FOLDS
 from aerolith.llm.tables import NO_ID, id_value, stored
 
 TURNS = 256
-MOST_ROLES = 16
 STAY = 0.999
-# Words that speaker markers use, by the role they stand for.
+LISTED, SURE = 5.0, 0.98
+# Words that speaker markers use, by the role they mostly stand for.
 MARKERS = {
     "system": ("system", "sys", "instruction", "instructions"),
     "user": ("user", "human", "question", "q", "me", "customer"),
@@ -42,20 +46,26 @@ MARKERS = {
     "tool": ("tool", "function"),
 }
 _WORD = {word: role for role, words in MARKERS.items() for word in words}
-_MARKER = re.compile(r"^\s*(?:#{1,4}\s*|\[|<\|?|\*\*)?(" + "|".join(sorted(_WORD, key=len, reverse=True)) + r")(?:\]|\|?>|\*\*)?\s*(?::|>|\]|-\s|$)\s*", re.I)
+_PLACE = {word: n for n, word in enumerate(_WORD)}
+MARKER_FEATURE = 4
+_NAMES = "|".join(sorted(_WORD, key=len, reverse=True))
+# In brackets, or followed by a colon; signs of headings and bold type may stand around the word.
+_MARKER = re.compile(
+    rf"^\s*(?:\[(?P<a>{_NAMES})\]:?|<\|(?P<b>{_NAMES})\|>:?|<(?P<c>{_NAMES})>:?|(?:#{{1,4}}\s*)?(?:\*\*)?(?P<d>{_NAMES})(?:\*\*)?\s*:(?:\*\*)?)\s*",
+    re.I,
+)
 TURN = "conv_id long, turn long, part int, role string, content string, rendered string, given string"
 
 
-def line_features(text: str | None) -> list[tuple[str, tuple[int, ...], str | None]]:
-    """Of each line: its content, its observed features and the role its marker names."""
+def line_features(text: str | None) -> list[tuple[str, int, tuple[int, ...], str | None]]:
+    """Of each line: the line, where its content begins if its marker is one, its observed features, the marker's word."""
     lines = (text or "").split("\n")
     out = []
     for n, line in enumerate(lines):
         marker = _MARKER.match(line)
-        role = _WORD[marker.group(1).lower()] if marker else None
-        content = line[marker.end() :] if marker else line
+        word = next(w for w in marker.groups() if w).lower() if marker else None
         features = (len(line).bit_length(), int(line.rstrip().endswith("?")), min(n, 3), min(len(lines), 5))
-        out.append((content, features, role))
+        out.append((line, marker.end() if marker else 0, features, word))
     return out
 
 
@@ -67,27 +77,34 @@ class RoleModel:
     moves: list[np.ndarray]  # to a row's first line, to a line inside a row, to a line with a marker
     emission: list[dict[int, np.ndarray]]
     unseen: list[np.ndarray]
+    markers: dict[str, np.ndarray]  # the share of each role in a marker's uses
+
+    def stands_for(self, word: str | None) -> int:
+        """The role that a marker mostly stands for; -1 for no marker, or one of no known role."""
+        return int(self.markers[word].argmax()) if word in self.markers else -1
 
     def steps(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The move into each line, and the line's emission."""
         n = len(self.roles)
         for text in texts:
             lines = line_features(text)
-            marked = any(marker for _, _, marker in lines)  # then the markers speak, not the row's shape
-            for nth, (_, features, marker) in enumerate(lines):
+            marked = any(word in self.markers for *_, word in lines)  # then the row's shape says nothing of its lines
+            for nth, (_, _, features, word) in enumerate(lines):
                 score = np.zeros(n)
-                for k, value in enumerate(() if marked else features):
+                for k, value in enumerate(features[:2] if marked else features):
                     score = score + self.emission[k].get(value, self.unseen[k])
-                if marker is not None:
-                    score = score + np.log([0.98 if r == marker else 0.02 / max(n - 1, 1) for r in self.roles])
-                yield self.moves[0 if nth == 0 else 1 if marker is None else 2], np.append(score, -np.inf)
+                if word in self.markers:
+                    score = score + np.log(self.markers[word])
+                yield self.moves[0 if nth == 0 else 2 if word in self.markers else 1], np.append(score, -np.inf)
 
     def matrix(self, texts: list[str | None]) -> np.ndarray:
         """Best score from each state before these rows to each state at their end."""
         n = len(self.roles) + 1
         best = np.where(np.eye(n) > 0, 0.0, -np.inf)
+        rows = max(1, (1 << 20) // (n * n))
         for move, score in self.steps(texts):
-            best = (best[:, :, None] + move[None]).max(axis=1) + score
+            parts = [(best[at : at + rows, :, None] + move[None]).max(axis=1) for at in range(0, n, rows)]
+            best = np.concatenate(parts) + score
         return best
 
     def path(self, texts: list[str | None], entry: int, last: int) -> list[int]:
@@ -121,7 +138,23 @@ def chained(matrices: list[np.ndarray]) -> tuple[list[int], list[int]]:
     return entries[::-1], lasts[::-1]
 
 
-def fitted(roles: list[str], start: np.ndarray, follow: np.ndarray, emission: list, unseen: list) -> RoleModel:
+def marker_shares(roles: list[str], counted: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Each role's share in the uses of a marker: those counted, and those the list stands for."""
+    shares = {}
+    for word, named in _WORD.items():
+        seen = counted.get(word, np.zeros(len(roles)))
+        if named in roles:
+            rest = (1 - SURE) / max(len(roles) - 1, 1)
+            seen = seen + LISTED * np.array([SURE if role == named else rest for role in roles])
+        elif seen.sum() < LISTED:
+            continue  # a word that stands for no role here, and that few rows open with
+        shares[word] = (seen + 0.01) / (seen + 0.01).sum()
+    return shares
+
+
+def fitted(
+    roles: list[str], start: np.ndarray, follow: np.ndarray, emission: list, unseen: list, markers: dict[str, np.ndarray]
+) -> RoleModel:
     n = len(roles)
 
     def move(inside: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -133,7 +166,7 @@ def fitted(roles: list[str], start: np.ndarray, follow: np.ndarray, emission: li
     share = np.full((n, n), 1 / n)
     stay = np.eye(n) * STAY + share * (1 - STAY)
     first = move(follow / follow.sum(axis=1, keepdims=True), start / start.sum())
-    return RoleModel(roles, [first, move(stay, share[0]), move(share, share[0])], emission, unseen)
+    return RoleModel(roles, [first, move(stay, share[0]), move(share, share[0])], emission, unseen, markers)
 
 
 def _rows(conversations: DataFrame) -> DataFrame:
@@ -154,9 +187,13 @@ def train(rows: DataFrame) -> RoleModel:
         seen: Counter = Counter()
         for batch in batches:
             for text, role in zip(batch.column("text").to_pylist(), batch.column("given").to_pylist(), strict=True):
-                for _, features, _ in line_features(text):
+                lines = line_features(text)
+                for _, _, features, _ in lines:
                     for k, value in enumerate(features):
                         seen[role, k, value] += 1
+                # The marker that opens a row stands for the row's role; later ones may name others.
+                if lines[0][3]:
+                    seen[role, MARKER_FEATURE, _PLACE[lines[0][3]]] += 1
         keys = list(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32())]
@@ -164,28 +201,31 @@ def train(rows: DataFrame) -> RoleModel:
             ["role", "feature", "value", "n"],
         )
 
-    named = learned.select("given").distinct().limit(MOST_ROLES + 1).collect()
-    if len(named) > MOST_ROLES:
-        raise ValueError(f"more than {MOST_ROLES} roles")
+    named = learned.select("given").distinct().collect()
     roles = sorted(r.given for r in named) or ["user"]
     place = {r: n for n, r in enumerate(roles)}
     counts = learned.select("text", "given").mapInArrow(count, "role string, feature int, value int, n long").groupBy("role", "feature", "value").agg(F.sum("n").alias("n")).collect()
     totals = np.ones((4, len(roles)))
     table: list[dict[int, np.ndarray]] = [{} for _ in range(4)]
+    marked: dict[str, np.ndarray] = {}
     for r in counts:
+        if r.feature == MARKER_FEATURE:
+            marked.setdefault(list(_WORD)[r.value], np.zeros(len(roles)))[place[r.role]] += r.n
+            continue
         table[r.feature].setdefault(r.value, np.zeros(len(roles)))[place[r.role]] += r.n
         totals[r.feature, place[r.role]] += r.n
     emission = [{v: np.log((n + 0.1) / total) for v, n in one.items()} for one, total in zip(table, totals, strict=True)]
     # The turn before is joined by its number: no window over a whole conversation.
-    before = learned.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("given").alias("before")).where(F.col("turn") < NO_ID).distinct()
-    pairs = learned.where(F.col("turn") < NO_ID).join(before, ["conv_id", "turn"], "left").groupBy("before", "given").count().collect()
+    dated = learned.where(F.col("turn") < NO_ID)
+    before = dated.select("conv_id", F.try_add("turn", F.lit(1)).alias("turn"), F.col("given").alias("before")).distinct()
+    pairs = dated.join(before, ["conv_id", "turn"], "left").groupBy("before", "given").count().collect()
     start, follow = np.full(len(roles), 0.1), np.full((len(roles), len(roles)), 0.1)
     for r in pairs:
         if r.before is None:
             start[place[r.given]] += r["count"]
         else:
             follow[place[r.before], place[r.given]] += r["count"]
-    return fitted(roles, start, follow, emission, [np.log(0.1 / t) for t in totals])
+    return fitted(roles, start, follow, emission, [np.log(0.1 / t) for t in totals], marker_shares(roles, marked))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -237,14 +277,16 @@ def canonical_turns(conversations: DataFrame) -> DataFrame:
             conv = group.column("conv_id")[0].as_py()
             for turn, text, given in zip(group.column("turn").to_pylist(), texts, group.column("given").to_pylist(), strict=True):
                 parts: list[tuple[int, list[str]]] = []
-                for content, _, marker in line_features(text):
+                for line, begin, _, word in line_features(text):
                     state = next(path)
-                    if parts and parts[-1][0] == state and marker is None:
+                    true_marker = model.value.stands_for(word) == state
+                    content = line[begin:] if true_marker else line
+                    if parts and parts[-1][0] == state and not true_marker:
                         parts[-1][1].append(content)
                     else:
                         parts.append((state, [content]))
                 for n, (state, lines) in enumerate(parts):
-                    role, content = model.value.roles[state], "\n".join(lines).strip()
+                    role, content = model.value.roles[state], "\n".join(lines)
                     out.append((conv, turn, n, role, content, f"<|{role}|>\n{content}\n<|end|>\n", given))
             names = [f.split()[0] for f in TURN.split(", ")]
             kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.string()] * 4]

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import os
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aerolith.llm import (
@@ -88,7 +92,6 @@ def test_pieces_of_the_vocabulary_are_cut_as_its_pattern_says():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(vocabulary_path())
-    plain.encode_special_tokens = True
     parts = [" ", "  ", "\n", "\t", "'", "'s", "'ll", "a", "é", "1", "½", "!", "$$", "日本", "😀", "<|endoftext|>", "\x85", "\x1c", "'re", "don't"]
     rng = random.Random(5)
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
@@ -101,7 +104,6 @@ def _encoded(raw, end):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(vocabulary_path())
-    plain.encode_special_tokens = True
     return {i: [*plain.encode(t or "", add_special_tokens=False).ids, end] for i, t in raw.items()}
 
 
@@ -406,11 +408,126 @@ def test_roles_of_held_out_turns_and_blocks(spark, monkeypatch):
     assert sorted((r.conv_id, r.turn, r.part, r.role) for r in rows) == sorted((r.conv_id, r.turn, r.part, r.role) for r in again)
 
 
+CONV = "text string, conv_id long, turn long, role string, block int, part int"
+
+
+def chat(spark, *rows):
+    """Rows of (conversation, turn, role, text) after the driver's conversations, the columns in another order."""
+    known = table(spark, DATA, "conversations").select("text", "conv_id", "turn", "role").withColumns({"block": F.lit(1), "part": F.lit(2)})
+    new = spark.createDataFrame([(t, c, n, r, None, 1) for c, n, r, t in rows], CONV)
+    return known.unionByName(new)
+
+
 def test_markers_name_the_roles(spark):
-    known = table(spark, DATA, "conversations").select("conv_id", "turn", "role", "text")
-    new = spark.createDataFrame([(-1, 0, None, "System: be kind\nUser: hi\nthere?\nAssistant: yes")], known.schema)
-    got = transcripts.canonical_turns(known.unionByName(new)).where("conv_id = -1").orderBy("part").collect()
-    assert [(r.role, r.content) for r in got] == [("system", "be kind"), ("user", "hi\nthere?"), ("assistant", "yes")]
+    text = "System: be kind\nUser: hi\nthere?\n[Assistant] yes\n<|user|> bye\n**AI:** so\nlong "
+    got = transcripts.canonical_turns(chat(spark, (-1, 0, None, text))).where("conv_id = -1").orderBy("part").collect()
+    want = [("system", "be kind"), ("user", "hi\nthere?"), ("assistant", "yes"), ("user", "bye"), ("assistant", "so\nlong ")]
+    assert [(r.role, r.content) for r in got] == want
+
+
+@pytest.mark.parametrize("text", ["a", "A - good plan", "Question", "Tool", "Model\n", "me - we\n\nAgent", " sys ", "tool: x\n[function]", "Answer is: no"])
+def test_words_that_mark_no_speaker_are_kept(spark, text):
+    """Bare words, and markers of a role that nobody has, are text."""
+    got = transcripts.canonical_turns(chat(spark, (-1, 0, "user", text))).where("conv_id = -1").orderBy("part").collect()
+    assert "\n".join(r.content for r in got) == text
+
+
+def test_markers_that_the_rows_speak_against_are_kept(spark):
+    """Where rows of users open with a listed word of another role, the counts decide."""
+    rows = [(-i, 0, "user", f"A: point {i}") for i in range(1, 60)]
+    got = transcripts.canonical_turns(chat(spark, *rows)).where("conv_id < 0").collect()
+    assert {(r.role, r.content) for r in got} == {("user", f"point {i}") for i in range(1, 60)}
+    # One alone, where an assistant may speak, is what the list says.
+    alone = transcripts.canonical_turns(chat(spark, (-1, 0, None, "Which one?"), (-1, 1, None, "A: point"))).where("conv_id = -1 AND turn = 1")
+    assert [(r.role, r.content) for r in alone.collect()] == [("assistant", "point")]
+
+
+def test_viterbi_finds_the_best_of_all_paths():
+    rng = np.random.default_rng(3)
+    roles = ["a", "assistant", "user"]
+    texts = ["hello?\nUser: x", "one\ntwo", "Assistant: y"]
+    for _ in range(20):
+        emission = [{v: np.log(rng.uniform(0.1, 1, 3)) for v in range(9)} for _ in range(4)]
+        model = transcripts.fitted(roles, rng.uniform(0.1, 1, 3), rng.uniform(0.1, 1, (3, 3)), emission, [np.log([0.1] * 3)] * 4, transcripts.marker_shares(roles, {}))
+        steps = list(model.steps(texts))
+        best = {}
+        for path in itertools.product(range(3), repeat=len(steps)):
+            score, state = 0.0, 3
+            for nth, (move, emitted) in zip(path, steps, strict=True):
+                score, state = score + move[state, nth] + emitted[nth], nth
+            best[path] = score
+        top = max(best.values())
+        (entry,), (last,) = transcripts.chained([model.matrix(texts)])
+        found = tuple(model.path(texts, entry, last))
+        assert entry == 3 and best[found] == pytest.approx(top)
+        entries, lasts = transcripts.chained([model.matrix([t]) for t in texts])
+        blocks = [s for t, e, f in zip(texts, entries, lasts, strict=True) for s in model.path([t], e, f)]
+        assert best[tuple(blocks)] == pytest.approx(top)
+
+
+def test_any_number_of_roles(spark):
+    rows = [(i, i % 3, f"role{i % 25:02d}", f"text {i}\n" * (i % 4 + 1)) for i in range(400)]
+    got = transcripts.canonical_turns(chat(spark, *rows)).select("role").distinct().count()
+    assert transcripts.chat_turns(chat(spark, *rows)).where("conv_id < 400").count() >= 400 and got >= 3
+
+
+def test_odd_conversations(spark):
+    """Null turns, ids, roles and texts, repeated rows and turns, blank lines: every character stays, every row has a turn."""
+    rows = [
+        (-1, None, "user", "late"), (-1, 2**63 - 1, "user", "last"), (-1, 0, "user", ""), (-1, 0, "user", ""), (-1, 0, None, None),
+        (None, None, None, "lone\n\n  x "), (None, 1, "assistant", "b"), (-2, -5, "user", "\n\n"), (-3, 1, "user", "same"), (-3, 1, "user", "same"),
+    ]
+    df = spark.createDataFrame([(t, c, n, r, None, 1) for c, n, r, t in rows], CONV)
+    got = transcripts.canonical_turns(df).collect()
+    texts = {}
+    for r in sorted(got, key=lambda r: r.part):
+        texts.setdefault((r.conv_id, r.turn), []).append((r.part, r.content, r.rendered, r.role))
+    for (conv, turn), parts in texts.items():
+        want = [t or "" for c, n, _, t in rows if c == conv and (n if n != 2**63 - 1 else None) == turn]
+        assert sorted(x for _, x, _, _ in parts) == sorted(want)
+        assert all(f"<|{role}|>\n{x}\n<|end|>\n" == shown for _, x, shown, role in parts)
+    assert sum(map(len, texts.values())) == len(rows)
+    assert {r.role for r in transcripts.chat_turns(df.withColumn("role", F.lit(None).cast("string"))).collect()} == {"user"}
+
+
+def test_any_number_of_languages(spark, docs):
+    whole = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    blocks = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in language.identify(docs, most=2).collect()}
+    assert {i: v[:2] for i, v in whole.items()} == {i: v[:2] for i, v in blocks.items()}
+    assert all(abs(whole[i][2] - blocks[i][2]) < 1e-6 for i in whole)
+    many = spark.createDataFrame([(i, f"w{i % 400}x " * 5, f"l{i % 400:03d}") for i in range(1200)], "doc_id long, text string, lang string")
+    assert language.identify(many).where("lang_pred IS NULL").count() == 0 and language.identify(many).count() == 1200
+
+
+def test_language_scores_by_plain_counting(docs):
+    """Naive Bayes with dictionaries over the same grams and cells."""
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect() if len(r.text or "") < 4000]
+    sample = docs.where(F.length(F.coalesce("text", F.lit(""))) < 4000)
+
+    def cells(text):
+        line = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower())
+        grams = (line[k : k + n] for n in (1, 2, 3) for k in range(len(line) - n + 1))
+        for gram in grams:
+            if gram.strip():
+                value = 0
+                for c in gram:
+                    value = value << 21 | ord(c)
+                yield ((value * 8 + len(gram)) * 0x9E3779B97F4A7C15 % (1 << 64)) >> (64 - language.BITS)
+
+    counts, priors = {}, Counter()
+    for i, text, lang in rows:
+        if lang is not None and text is not None and zlib.crc32(str(i).encode()) % 5:
+            counts.setdefault(lang, Counter()).update(cells(text))
+            priors[lang] += 1
+    totals = {x: sum(c.values()) + 0.5 * language.CELLS for x, c in counts.items()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(sample).collect()}
+    for i, text, _ in rows[:60]:
+        found = list(cells(text))
+        scores = {x: math.log(priors[x] / sum(priors.values())) + sum(math.log((counts[x][c] + 0.5) / totals[x]) for c in found) for x in counts}
+        best = max(scores.values())
+        share = 1 / sum(math.exp(s - best) for s in scores.values())
+        want = min(x for x in scores if scores[x] == best) if found else "und"
+        assert got[i][0] == want and got[i][1] == pytest.approx(share if found else 0, abs=1e-3)
 
 
 def test_odd_rows(odd, spark):
