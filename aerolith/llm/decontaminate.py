@@ -8,8 +8,9 @@ posting list of a window's rarest word proposes places, and the offset-adjusted
 from rare to frequent, are intersected with them; all windows go through one such step together.
 With ``slop`` above 0 each other word may stand up to that many words from its place (proximity match).
 
-Nothing is shuffled but one row per document. Benchmarks are sent to the tasks in blocks of at most
-``BLOCK_WORDS`` words (one item at least), each a pass over the index, so what is broadcast is bounded.
+Nothing is shuffled but one row per document. Benchmarks are cut into windows in tasks and stored in blocks of at most
+``BLOCK_WORDS`` words (one item at least); each block is broadcast for a pass over the index, so what is broadcast is
+bounded, and the driver hands on finished blocks one at a time.
 
 Words: A-Z lower-cased, runs of bytes outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``. Null and empty texts have no
 words. An item of fewer than ``window`` words, but not none, is one window. Rows that repeat are each
@@ -19,6 +20,7 @@ searched and returned; items with a null id count as the empty string.
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -98,21 +100,35 @@ class QueryBlock:
     item_ids: list[str]
 
 
-def query_blocks(items: DataFrame, window: int) -> Iterator[QueryBlock]:
-    held, size = [], 0
+def query_blocks(items: DataFrame, window: int, most: int | None = None) -> Iterator[QueryBlock]:
+    """The blocks, built in tasks and read one by one."""
+    most = most or BLOCK_WORDS
     rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    for row in rows.toLocalIterator():
-        held.append(row)
-        size += len(row.text) // 2 + 1
-        if size >= BLOCK_WORDS:
-            yield _query_block(held, window)
-            held, size = [], 0
-    if held:
-        yield _query_block(held, window)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                held.append(row)
+                size += len(row["text"]) // 2 + 1
+                if size >= most:
+                    yield _packed(held, window)
+                    held, size = [], 0
+        if held:
+            yield _packed(held, window)
+
+    # Few and short items are one block, not one for each of the table's partitions.
+    dealt = rows.coalesce(max(1, -(-rows.agg(F.sum(F.length("text") + 1)).first()[0] // (2 * most)))) if not rows.isEmpty() else rows
+    for row in stored(dealt.mapInArrow(build, "block binary"), "windows").toLocalIterator():
+        yield pickle.loads(bytes(row.block))
+
+
+def _packed(rows: list[dict], window: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_query_block(rows, window))], pa.binary())], ["block"])
 
 
-def _query_block(rows: list, window: int) -> QueryBlock:
-    words = split_words(*text_bytes(pa.array([r.text for r in rows], pa.large_string())), NON_WORD)
+def _query_block(rows: list[dict], window: int) -> QueryBlock:
+    words = split_words(*text_bytes(pa.array([r["text"] for r in rows], pa.large_string())), NON_WORD)
     counts = np.diff(words.rows)
     n_windows = np.where(counts > 0, np.maximum(counts - window + 1, 1), 0)
     item = np.repeat(np.arange(len(rows)), n_windows)
@@ -121,7 +137,7 @@ def _query_block(rows: list, window: int) -> QueryBlock:
     inside = at < words.rows[1:][item][:, None]
     coded = words.codes if len(words.codes) else np.zeros(1, np.int64)
     windows = np.where(inside, coded[np.minimum(at, len(coded) - 1)], -1)
-    return QueryBlock(words.terms.to_pylist(), windows, item, [r.item_id for r in rows])
+    return QueryBlock(words.terms.to_pylist(), windows, item, [r["item_id"] for r in rows])
 
 
 class Segment:

@@ -2,15 +2,18 @@
 
 File format: a table in the shared folder, a row per shard of about ``SHARD_IDS`` ids. ``payload`` is the raw
 ids of the shard's documents one after the other, little-endian, ``width`` bytes each (2 where the
-vocabulary allows, else 4). Shards are numbered in ascending order of ``doc_id`` (null ids last) and the
-table is bucketed by shard, so keyed reads move keys and never payloads.
+vocabulary allows, else 4). Shards are numbered in ascending order of ``doc_id`` (null ids last); the table is
+partitioned by the part (task) that wrote them and bucketed by shard, so reads of many keys move keys and never payloads.
 
 Index: keys (``doc_id``, n-th row with that id) are dealt into buckets of about ``KEYS_PER_BUCKET``. Each bucket is
 one row with a minimal perfect hash (hash and displace): a key's sub-bucket gives a displacement, which
-gives its slot; the slot holds a 16-bit fingerprint of the key, the shard, the offset and the length.
-A look-up is a few array reads whatever the size; a key that was never stored is refused by its
+gives its slot; the slot holds a 16-bit fingerprint of the key, the shard, the offset, the length and the place in the whole
+store. A look-up is a few array reads whatever the size; a key that was never stored is refused by its
 fingerprint but for one chance in 65,536.
 
+Up to ``FEW`` keys are looked up by number: their buckets, then their shards, are literals that prune partitions, files
+and row groups, so one key opens one bucket and one shard. More keys meet index and shards in joins.
+
 A null or empty text is the end id alone. An empty table gives empty files. Rows that repeat are all kept.
 """
 
@@ -37,8 +40,10 @@ END_ID = 2
 SHARD_IDS = 1 << 19
 KEYS_PER_BUCKET = 1 << 13
 KEYS_PER_SLOT_GROUP = 4
-SHARD = "shard long, width int, n_ids long, doc_ids binary, nths binary, counts binary, payload binary"
-INDEX = "bucket long, n_keys int, displacements binary, prints binary, shards binary, offsets binary, lengths binary"
+FEW = 1000
+SHARD = "part int, shard long, width int, n_ids long, doc_ids binary, nths binary, counts binary, payload binary"
+INDEX = "bucket long, n_keys int, displacements binary, prints binary, shards binary, offsets binary, lengths binary, starts binary"
+ENTRY = "doc_id long, nth long, shard long, offset long, length long, start long"
 
 
 def write_shards(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -77,6 +82,7 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, end_id: int = E
         .write.option("path", run_dir(spark, "shards"))
         .option("compression", "zstd")
         .option("parquet.block.size", str(32 << 20))
+        .partitionBy("part")
         .bucketBy(buckets, "shard")
         .saveAsTable(name)
     )
@@ -93,11 +99,11 @@ def _shard(number: int, held: list) -> pa.RecordBatch:
     keys, nths, counts, ids = (np.concatenate([h[k] for h in held]) for k in range(4))
     width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
     row = [
-        pa.array([number], pa.int64()), pa.array([width], pa.int32()), pa.array([len(ids)], pa.int64()),
+        pa.array([number >> 32], pa.int32()), pa.array([number], pa.int64()), pa.array([width], pa.int32()), pa.array([len(ids)], pa.int64()),
         *(pa.array([x.astype("<i8").tobytes()], pa.binary()) for x in (keys, nths, counts)),
         pa.array([ids.astype(f"<u{width}").tobytes()], pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(row, ["shard", "width", "n_ids", "doc_ids", "nths", "counts", "payload"])
+    return pa.RecordBatch.from_arrays(row, ["part", "shard", "width", "n_ids", "doc_ids", "nths", "counts", "payload"])
 
 
 # Keys
@@ -148,6 +154,17 @@ def prints(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(48)).astype(np.uint16)
 
 
+def shard_starts(shards: DataFrame) -> DataFrame:
+    """``shard, first``: the ids of all shards before it, by sums within each part and sums of whole parts."""
+    sizes = shards.select("part", "shard", "n_ids")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per part, as many as the tasks that wrote the shards: small enough for one window and a broadcast.
+    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("_n")).select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    within = sizes.withColumn("_within", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
+    return within.join(F.broadcast(parts), "part").select("shard", (F.col("_before") + F.col("_within")).alias("first"))
+
+
 def build_index(shards: DataFrame) -> DataFrame:
     """The index table: a row per bucket of keys."""
 
@@ -155,33 +172,31 @@ def build_index(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 keys, nths, counts = (np.frombuffer(row[c], "<i8") for c in ("doc_ids", "nths", "counts"))
+                offsets = np.cumsum(counts) - counts
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (keys, nths, np.full(len(keys), row["shard"]), np.cumsum(counts) - counts, counts)],
-                    ["doc_id", "nth", "shard", "offset", "length"],
+                    [pa.array(x) for x in (keys, nths, np.full(len(keys), row["shard"]), offsets, counts, row["first"] + offsets)],
+                    ["doc_id", "nth", "shard", "offset", "length", "start"],
                 )
 
-    rows = stored(
-        shards.select("shard", "doc_ids", "nths", "counts").mapInArrow(
-            entries, "doc_id long, nth long, shard long, offset long, length long"
-        ),
-        "entries",
-    )
+    known = shards.select("shard", "doc_ids", "nths", "counts").join(shard_starts(shards), "shard")
+    rows = stored(known.mapInArrow(entries, ENTRY), "entries")
     buckets = max(1, -(-rows.count() // KEYS_PER_BUCKET))
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
-        doc_ids, nths, shard, offset, length = (np.asarray(table.column(c)) for c in ("doc_id", "nth", "shard", "offset", "length"))
+        doc_ids, nths, *values = (np.asarray(table.column(c)) for c in ("doc_id", "nth", "shard", "offset", "length", "start"))
         hashes = _key_hash(doc_ids, nths, 1)
         shifts = perfect_hash(hashes)
         slot = np.argsort(_slots(hashes, shifts, len(hashes)))
         blobs = [
-            shifts.astype("<i4"), prints(hashes)[slot].astype("<u2"), shard[slot].astype("<i8"),
-            offset[slot].astype("<i8"), length[slot].astype("<i8"),
+            shifts.astype("<i4"), prints(hashes)[slot].astype("<u2"), *(v[slot].astype("<i8") for v in values),
         ]
         columns = [pa.array([key[0].as_py()], pa.int64()), pa.array([len(hashes)], pa.int32())]
-        names = ["bucket", "n_keys", "displacements", "prints", "shards", "offsets", "lengths"]
+        names = ["bucket", "n_keys", "displacements", "prints", "shards", "offsets", "lengths", "starts"]
         return pa.table([*columns, *(pa.array([b.tobytes()], pa.binary()) for b in blobs)], names)
 
-    index = stored(_bucketed(rows, buckets).groupBy("bucket").applyInArrow(build, INDEX), "index")
+    built = _bucketed(rows, buckets).groupBy("bucket").applyInArrow(build, INDEX)
+    # Sorted, in small row groups: a bucket asked for by number is found by the statistics of the files.
+    index = stored(built.sortWithinPartitions("bucket"), "index", **{"parquet.block.size": str(1 << 20)})
     return index.withMetadata("bucket", {"buckets": buckets})
 
 
@@ -190,7 +205,7 @@ def _bucketed(keys: DataFrame, buckets: int) -> DataFrame:
 
 
 def locate(index: DataFrame, keys: DataFrame) -> DataFrame:
-    """Shard, offset and length of each key (``doc_id, nth``) that the index knows."""
+    """Shard, offset, length and start of each key (``doc_id, nth``) that the index knows."""
     buckets = index.schema["bucket"].metadata["buckets"]
     asked = (
         _bucketed(keys.select("doc_id", "nth"), buckets)
@@ -207,27 +222,28 @@ def locate(index: DataFrame, keys: DataFrame) -> DataFrame:
                 slot = _slots(hashes, np.frombuffer(row["displacements"], "<i4").astype(np.int64), row["n_keys"])
                 known = np.frombuffer(row["prints"], "<u2")[slot] == prints(hashes)
                 slot = slot[known]
-                found = [np.frombuffer(row[c], "<i8")[slot] for c in ("shards", "offsets", "lengths")]
+                found = [np.frombuffer(row[c], "<i8")[slot] for c in ("shards", "offsets", "lengths", "starts")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (doc_ids[known], nths[known], *found)], ["doc_id", "nth", "shard", "offset", "length"]
+                    [pa.array(x) for x in (doc_ids[known], nths[known], *found)], ["doc_id", "nth", "shard", "offset", "length", "start"]
                 )
 
-    return asked.join(index, "bucket").drop("bucket", "_part").mapInArrow(
-        look_up, "doc_id long, nth long, shard long, offset long, length long"
-    )
+    return asked.join(index, "bucket").drop("bucket", "_part").mapInArrow(look_up, ENTRY)
 
 
 def read_keys(shards: DataFrame, index: DataFrame, keys: DataFrame, with_ids: bool = True) -> DataFrame:
     """``doc_id, nth, start, n_tokens, ids_crc32`` and, if asked for, ``ids`` of each stored key."""
-    starts = shards.select(
-        "shard", (F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).alias("_start")
-    )
-    wanted = (
-        locate(index, keys)
-        .groupBy("shard")
-        .agg(F.collect_list(F.struct("doc_id", "nth", "offset", "length")).alias("wanted"))
-        .join(starts, "shard")
-    )
+    spark = shards.sparkSession
+    buckets = index.schema["bucket"].metadata["buckets"]
+    few = _bucketed(keys.select("doc_id", "nth"), buckets).limit(FEW + 1).collect()
+    if len(few) <= FEW:
+        asked = spark.createDataFrame([(r.doc_id, r.nth) for r in few], "doc_id long, nth long")
+        found = locate(index.where(F.col("bucket").isin(sorted({r.bucket for r in few}))), asked).collect()
+        opened = sorted({r.shard for r in found})
+        shards = shards.where(F.col("part").isin(sorted({s >> 32 for s in opened})) & F.col("shard").isin(opened))
+        located = spark.createDataFrame([tuple(r) for r in found], ENTRY)
+    else:
+        located = locate(index, keys)
+    wanted = located.groupBy("shard").agg(F.collect_list(F.struct("doc_id", "nth", "offset", "length", "start")).alias("wanted"))
     schema = "doc_id long, nth long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +251,11 @@ def read_keys(shards: DataFrame, index: DataFrame, keys: DataFrame, with_ids: bo
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 ids = np.frombuffer(row["payload"], f"<u{row['width']}").astype("<u4")
-                doc_ids, nths, offsets, lengths = (np.array([w[k] for w in row["wanted"]], np.int64) for k in ("doc_id", "nth", "offset", "length"))
+                doc_ids, nths, offsets, lengths, starts = (
+                    np.array([w[k] for w in row["wanted"]], np.int64) for k in ("doc_id", "nth", "offset", "length", "start")
+                )
                 crc = [zlib.crc32(ids[o : o + n]) for o, n in zip(offsets.tolist(), lengths.tolist(), strict=True)]
-                columns = [doc_ids, nths, row["_start"] + offsets, lengths, np.array(crc, np.int64)]
+                columns = [doc_ids, nths, starts, lengths, np.array(crc, np.int64)]
                 names = ["doc_id", "nth", "start", "n_tokens", "ids_crc32"]
                 arrays = [pa.array(c) for c in columns]
                 if with_ids:
@@ -246,7 +264,8 @@ def read_keys(shards: DataFrame, index: DataFrame, keys: DataFrame, with_ids: bo
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    joined = wanted.join(shards.select("shard", "width", "payload"), "shard").select("wanted", "_start", "width", "payload")
+    # A merge: index and payloads are sorted or bucketed, and neither is ever sent whole to every task.
+    joined = wanted.hint("merge").join(shards.select("shard", "width", "payload"), "shard").select("wanted", "width", "payload")
     return joined.mapInArrow(read, schema)
 
 

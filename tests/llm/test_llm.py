@@ -129,6 +129,30 @@ def test_keyed_access_refuses_unknown_keys_and_returns_ids(spark, docs, raw):
     assert got == {(3, 0): ids[3], (5, 0): ids[5]}
 
 
+def test_one_key_opens_one_shard(spark, docs, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_IDS", 2000)
+    monkeypatch.setattr(token_store, "KEYS_PER_BUCKET", 20)
+    whole = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_store.store_digest(docs).collect()}
+    shards = token_store.write_shards(docs.repartition(8))
+    index = token_store.build_index(shards)
+    read = token_store.read_keys(shards, index, spark.createDataFrame([(7, 0)], "doc_id long, nth long"))
+    (row,) = read.collect()
+    assert (row.start, row.n_tokens, row.ids_crc32) == whole[7]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "payload" in line and "Scan" in line)
+    assert "part" in scan.split("PartitionFilters: [")[1].split("]")[0] and "SelectedBucketsCount: 1 out of" in scan and "shard" in scan.split("PushedFilters")[1]
+    monkeypatch.setattr(token_store, "FEW", 1)
+    many = token_store.read_keys(shards, index, docs.select("doc_id", F.lit(0).cast("long").alias("nth")), with_ids=False)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in many.collect()} == whole
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
+    starts = token_store.shard_starts(shards)
+    at, want = 0, {}
+    for r in shards.select("shard", "n_ids").orderBy("shard").collect():
+        want[r.shard], at = at, at + r.n_ids
+    assert {r.shard: r.first for r in starts.collect()} == want
+
+
 def test_perfect_hash_is_minimal():
     hashes = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64))
     slots = token_store._slots(hashes, token_store.perfect_hash(hashes), len(hashes))
