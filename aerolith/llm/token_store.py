@@ -227,7 +227,7 @@ def locate(index: DataFrame, keys: DataFrame) -> DataFrame:
                     [pa.array(x) for x in (doc_ids[known], nths[known], *found)], ["doc_id", "nth", "shard", "offset", "length", "start"]
                 )
 
-    return asked.join(index, "bucket").drop("bucket", "_part").mapInArrow(look_up, ENTRY)
+    return asked.hint("merge").join(index, "bucket").drop("bucket", "_part").mapInArrow(look_up, ENTRY)
 
 
 def read_keys(shards: DataFrame, index: DataFrame, keys: DataFrame, with_ids: bool = True) -> DataFrame:
