@@ -78,7 +78,7 @@ def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     signed = dimension + DIMENSIONS * sign
     totals = np.zeros(WORDS * 2 * DIMENSIONS, np.int64)
     for batch in batches:
-        for part in sliced(batch, "text"):
+        for part in sliced(batch, "text", 1 << 21):
             rows, shape, text = word_rows(*text_bytes(part.column("text")))
             keys = []
             for step in range(1, REACH + 1):
@@ -207,7 +207,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Qual
     # At most ``most`` ids and labels: they go to the texts, so texts are neither shuffled nor pooled in vain.
     drawn = docs.sparkSession.createDataFrame(marked.collect(), marked.schema)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(drawn), "doc_id")
-    sample = rows.mapInArrow(pool, "doc_id long, label int, features binary").collect()
+    pooled_rows = rows.mapInArrow(pool, "doc_id long, label int, features binary")
+    # Rows that share an id count as documents of their own, within the same bound.
+    sample = pooled_rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).collect()
     sample.sort(key=lambda r: (r.doc_id, bytes(r.features)))
     features = np.array([np.frombuffer(bytes(r.features), np.float32) for r in sample]).reshape(len(sample), 2 * DIMENSIONS)
     return fit(vectors, features, np.array([r.label for r in sample]))

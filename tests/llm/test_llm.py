@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -423,6 +424,74 @@ def test_quality_of_held_out_documents(spark):
     assert np.mean([truth[r.doc_id] == r.predicted for r in held]) >= 0.95
 
 
+def plain_features(texts):
+    """Word vectors and pooled features with dictionaries and loops, from the words that ``word_rows`` names."""
+    from aerolith.llm.arrays import text_bytes
+
+    dimension, sign = quality.index_vectors()
+    lists = []
+    for text in texts:
+        rows, shape, _ = quality.word_rows(*text_bytes(pa.array([text])))
+        lists.append((rows.tolist(), shape.tolist()))
+    context = np.zeros((quality.WORDS, quality.DIMENSIONS))
+
+    def add(row, other):
+        for k in range(quality.NONZERO):
+            context[row, dimension[other, k]] += -1 if sign[other, k] else 1
+
+    for rows, shape in lists:
+        for i, row in enumerate(rows):
+            for j in range(max(0, i - quality.REACH), min(len(rows), i + quality.REACH + 1)):
+                if j != i:
+                    add(row, rows[j])
+            add(row, shape[i])
+            add(shape[i], row)
+    vectors = np.zeros_like(context)
+    for n, line in enumerate(context):
+        line = np.sign(line) * np.sqrt(np.abs(line))
+        vectors[n] = line / max(math.sqrt((line**2).sum()), 1e-9)
+    used = np.abs(vectors).sum(axis=1) > 0
+    vectors[used] -= vectors[used].mean(axis=0)
+    features = np.zeros((len(texts), 2 * quality.DIMENSIONS))
+    for n, (rows, shape) in enumerate(lists):
+        for row, mark in zip(rows, shape, strict=True):
+            features[n, : quality.DIMENSIONS] += vectors[row] / len(rows)
+            features[n, quality.DIMENSIONS :] += vectors[mark] / len(rows)
+    return vectors, features
+
+
+def test_quality_by_plain_loops(spark, docs):
+    """Vectors, pooling and the network's output, each against its definition, on whole documents."""
+    labels = table(spark, DATA, "labels")
+    sample = docs.where(F.length(F.coalesce("text", F.lit(""))) < 3000)
+    rows = [(r.doc_id, r.text or "") for r in sample.collect()]
+    vectors, features = plain_features([t for _, t in rows])
+    model = quality.train(sample, labels)
+    assert np.abs(model.vectors - vectors).max() < 1e-4
+    got = quality.pooled(model.vectors, pa.array([t for _, t in rows]))
+    assert np.abs(got - features).max() < 1e-4
+    scores = {r.doc_id: r.score for r in quality.classify(sample, labels).collect()}
+    w1, b1, w2, b2 = model.layers
+    for (i, _), x in zip(rows, features, strict=True):
+        hidden = [math.tanh(sum(a * w for a, w in zip((x - model.center) / model.scale, column, strict=True)) + b) for column, b in zip(w1.T, b1, strict=True)]
+        logit = sum(h * w for h, w in zip(hidden, w2, strict=True)) + b2[0]
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-logit / model.temperature)), abs=1e-3)
+    # The labelled rows that are not held out, and no others, are fitted: the network from them alone is the same.
+    truth = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    learned = sorted((i, x) for (i, _), x in zip(rows, got, strict=True) if i in truth and zlib.crc32(str(i).encode()) % 5)
+    again = quality.fit(model.vectors, np.array([x for _, x in learned]), np.array([truth[i] for i, _ in learned]))
+    assert all(np.allclose(a, b) for a, b in zip(again.layers, model.layers, strict=True)) and again.temperature == model.temperature
+    kept = {r.doc_id for r in quality.keep_good(sample, labels).collect()}
+    assert kept == {i for i, s in scores.items() if s >= quality.THRESHOLD}
+
+
+def test_repeated_labelled_ids_stay_within_the_bound(spark):
+    docs = spark.createDataFrame([(i % 3, f"word {i} " * 4) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    assert quality.classify(docs, labels).count() == 60
+    assert quality.train(docs, labels, 5) is not None
+
+
 def test_roles_of_held_out_turns_and_blocks(spark, monkeypatch):
     conversations = table(spark, DATA, "conversations")
     rows = transcripts.chat_turns(conversations).collect()
@@ -591,6 +660,29 @@ def test_empty_tables(none, spark):
         assert result.count() == 0
 
 
+def test_pipeline_of_odd_and_empty_tables(spark, odd, none, tmp_path):
+    """``run`` over null, empty, repeated and very long texts, and over tables without rows."""
+    items = spark.createDataFrame([("1", "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id string, text string")
+    labels = spark.createDataFrame([(4, 1, 0), (7, 1, 0)], "doc_id long, quality int, toxic int")
+    long = spark.createDataFrame([(50, "many words of one text " * 200_000, "en", "s", 1, 1, 1, 1), (51, "alpha beta gamma delta epsilon zeta eta theta iota kappa", None, None, 1, 1, 1, 1)], SCHEMA)
+    for name, docs in (("full", odd.unionByName(long)), ("empty", none)):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        (items if name == "full" else items.limit(0)).write.parquet(f"{folder}/benchmark.parquet")
+        (labels if name == "full" else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+        got = corpus_pipeline.run(spark, folder).collect()
+        if name == "empty":
+            assert got == []
+            continue
+        # All labels are 1, so all rows are good; of equal texts without spaces the longest original stays, here 6 and
+        # 11 near it; the text of one word and the long one are alone; the benchmark's passage goes.
+        ids = {r.doc_id for r in got}
+        assert 50 in ids and 51 not in ids and {7, 8, 9, 10} <= ids
+        assert sum(r.length for r in got if r.doc_id == 50) == len(_encoded({50: "many words of one text " * 200_000}, 0)[50])
+        passages = {4, 5, 6, 11, 12}
+        assert len(ids & passages) == 1
+
+
 def test_pipeline_stages(spark, raw):
     kept = table(spark, DATA, "documents")
     columns = kept.columns
