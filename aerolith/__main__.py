@@ -4,18 +4,23 @@ python -m aerolith land  --servers HOST:PORT --topic T --lake DIR --checkpoints
 python -m aerolith speed --servers HOST:PORT --topic T --stations CSV --views DIR --checkpoints DIR
 python -m aerolith batch --stations CSV --views DIR [--history DIR] [--lake DIR] [--as-of YYYY-MM-DD] [--state DIR]
 
+python -m aerolith fill  --stations CSV --forecast DIR --archive DIR --air DIR --what views,batch,today,history ...
+
+``fill`` builds views, today's hours or the history file from hourly feeds (JSON lines of ``station_id`` and ``payload``).
 ``--feed DIR`` reads message files in place of Kafka; ``--once`` ends when all is read.
 """
 
 from __future__ import annotations
 
 import argparse
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from aerolith import schemas
 from aerolith.operators.rollups import SUMMARY_KEYS
+from aerolith.plans import backfill
 from aerolith.plans.daily_state import run_daily_increment
 from aerolith.plans.views import run_daily_batch
 from aerolith.session import build_session
@@ -86,6 +91,40 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def _feed_files(spark: SparkSession, path: str, payload: T.StructType) -> DataFrame:
+    schema = T.StructType([T.StructField("station_id", T.StringType()), T.StructField("payload", payload)])
+    return spark.read.schema(schema).json(path)
+
+
+def fill(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All four views (``views``), the two batch views, today's hours, or the history file, each if asked for."""
+    wanted = set(args.what.split(","))
+    if unknown := wanted - {"views", "batch", "today", "history"}:
+        raise ValueError(f"unknown parts {sorted(unknown)}")
+    stations = scan_stations(spark, args.stations).select(*schemas.STATION.names)
+    feeds = [
+        _feed_files(spark, path, kind)
+        for path, kind in (
+            (args.forecast, schemas.WEATHER_ARRAYS),
+            (args.archive, schemas.WEATHER_ARRAYS),
+            (args.air, schemas.AIR_ARRAYS),
+        )
+    ]
+    rows = backfill.feed_rows(*feeds)
+    if wanted & {"views", "batch", "history"}:
+        history = backfill.keep(backfill.recent_history(rows, stations, args.anchor or date.today(), args.days))
+        if "views" in wanted:
+            backfill.seed_views(history, args.views)
+        elif "batch" in wanted:
+            backfill.publish_batch_views(history, args.views)
+        if "history" in wanted:
+            backfill.export_history(history, args.history)
+    if "today" in wanted:
+        now = datetime.fromisoformat(args.now) if args.now else datetime.now()
+        series = keyed.series_table(f"{args.views}/{args.series}", schemas.HOURLY_VIEW)
+        backfill.fill_today(rows, stations, now, series)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="aerolith")
     jobs = top.add_subparsers(required=True)
@@ -120,6 +159,16 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--state", help="folder of daily states: only days of the lake without one are read")
     job.add_argument("--again", nargs="*", default=(), help="days to read anew")
     job.set_defaults(run=batch)
+    job = jobs.add_parser("fill")
+    for name in ("stations", "forecast", "archive", "air", "what"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--views")
+    job.add_argument("--history")
+    job.add_argument("--series", default="hourly", help="the hourly series under --views that today's hours go to")
+    job.add_argument("--anchor", help="last day of the re-dated history, today if left out")
+    job.add_argument("--now", help="the time that counts as now")
+    job.add_argument("--days", type=int, default=backfill.DAYS)
+    job.set_defaults(run=fill)
     return top
 
 

@@ -360,7 +360,7 @@ def w6(b: Binding) -> DataFrame:
 )
 def w7(b: Binding) -> DataFrame:
     listed = b.realtime.select("station_id", "province", "aqi_index")
-    return ranking.global_rank(listed, ranking.sort_key("aqi_index", "desc"), "station_id")
+    return ranking.rank_by(listed, "aqi_index", "desc")
 
 
 # Sorting, top-k, set operations
@@ -409,7 +409,7 @@ def t4(b: Binding) -> DataFrame:
 def t5(b: Binding) -> DataFrame:
     """All alerts with their place in the operator's order."""
     alerts = ranking.by_exceedance(explode_alerts(b.realtime))
-    placed = ranking.global_rank(alerts, *ranking.exceedance_order(), name="place")
+    placed = ranking.rank_by(alerts, "ratio", "desc", ("station_id", "alert_type"), "place")
     return placed.select("station_id", "alert_type", "ratio", F.col("place").cast("long").alias("place"))
 
 

@@ -177,7 +177,7 @@ class Serving:
     ) -> DataFrame:
         """The live all-provinces table: filtered, sorted and ranked."""
         shown = filters.search(projections.display_shape(self._latest()), region, query)
-        return ranking.global_rank(shown, ranking.sort_key(field, direction), "station_id")
+        return ranking.rank_by(shown, field, direction)
 
     def last_updated(self) -> DataFrame:
         return rollups.last_updated(self.realtime_rows)

@@ -115,3 +115,25 @@ def test_backfill_from_feeds(spark, feeds, stations_file, tmp_path, rows_of):
             ("HN01_2026-06-02 01:00:00", "2026-06-02 01:00:00", 30.0, 4.0),
             ("HN01_2026-06-02 02:00:00", "2026-06-02 02:00:00", 30.0, 8.0),
         ]
+
+
+def test_fill_jobs(spark, feeds, stations_file, tmp_path, rows_of):
+    """The backfills as jobs of their own: views, batch views, today's hours and the history file."""
+    paths = {}
+    for name, df in zip(("forecast", "archive", "air"), feeds, strict=True):
+        paths[name] = str(tmp_path / name)
+        df.write.json(paths[name])
+    common = ["fill", "--stations", stations_file, *[x for n, p in paths.items() for x in (f"--{n}", p)], "--anchor", "2026-06-01"]
+    root, history = str(tmp_path / "views"), str(tmp_path / "history")
+    main([*common, "--what", "views,history", "--views", root, "--history", history], spark)
+    assert tables.scan_view(spark, root, "daily").count() == 30 and tables.scan_view(spark, root, "hourly").count() == 720
+    assert lake.scan_history_csv(spark, history).count() == 720
+    batch = str(tmp_path / "batch")
+    main([*common, "--what", "batch", "--views", batch], spark)
+    assert rows_of(tables.scan_view(spark, batch, "daily"), "date") == rows_of(tables.scan_view(spark, root, "daily"), "date")
+    for _ in range(2):
+        main([*common, "--what", "today", "--views", batch, "--series", "live", "--now", "2026-06-02T02:15"], spark)
+        series = keyed.series_table(f"{batch}/live", schemas.HOURLY_VIEW).read(spark)
+        assert [r.aqi_index for r in series.orderBy("_id").collect()] == [0.0, 4.0, 8.0]
+    with pytest.raises(ValueError, match="unknown"):
+        main([*common, "--what", "all"], spark)

@@ -182,3 +182,24 @@ def test_one_city(spark):
     assert serving.city_compare(9).count() == serving.city_alerts(city_id=9).count() == 0
     ordered = ranking.by_exceedance(serving.alerts()).collect()
     assert [r.ratio for r in ordered] == sorted((r.ratio for r in ordered), reverse=True)
+
+
+@pytest.mark.parametrize("field,direction", [("v", "asc"), ("v", "desc"), ("s", "asc"), ("t", "desc"), ("hot", "desc"), ("hot", "asc")])
+def test_ranks_without_a_table(spark, field, direction):
+    rng = random.Random(6)
+    values = [None, 0.5, -1.0, float("nan"), float("inf"), float("-inf"), 3.0]
+    rows = [
+        (f"S{i:04d}", rng.choice(values) if i % 3 else rng.random(), rng.choice(["", None, "Ha Noi", "Hue", "Huế", "zz", f"x{i}"]),
+         f"2026-04-{i % 28 + 1:02d} 0{i % 9}:00:00", 7 if i % 3 else i)
+        for i in range(500)
+    ]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "station_id string, v double, s string, t string, hot int").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    ranked = ranking.rank_by(df, field, direction, ranges=8)
+    order = [r.station_id for r in df.orderBy(ranking.sort_key(field, direction), "station_id").collect()]
+    got = {r.station_id: r["rank"] for r in ranked.collect()}
+    assert [got[s] for s in order] == list(range(1, 501)) and ranked.columns == [*df.columns, "rank"]
+    if field == "hot":  # a value of two thirds of the rows is dealt over several ranges
+        plan = plan_of(ranked)
+        assert "percentile_approx" in plan and "SinglePartition" in plan
+    assert ranking.rank_by(df.limit(0), field, direction).count() == 0

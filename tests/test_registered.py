@@ -41,3 +41,26 @@ def test_matches_oracle(spark, name):
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
     assert got == sorted(repr(tuple(row[i] for i in order)) for row in answer.fetchall())
+
+
+# Queries whose rows come in an order, and that order as the oracle's own.
+ORDERED = {
+    "t1_ordered_daily": "date, region, province, station_id",
+    "t4_sorted_table": "pm25 DESC NULLS LAST, station_id",
+    "q1_realtime": "station_id",
+    "q2_realtime_series": "station_id, timestamp",
+    "q2_series_of_station": "timestamp",
+    "q3_hourly": "station_id, timestamp",
+    "q3_published_hourly": "station_id, timestamp",
+    "q4_daily": "station_id, date",
+    "q5_provinces": "region, province, station_id",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_rows_come_in_order(spark, name):
+    df = QUERIES[name](spark, DATA)
+    columns = sorted(df.columns)
+    got = [repr(tuple(r)) for r in df.select(*columns).collect()]
+    answer = _oracle().execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]}) ORDER BY {ORDERED[name]}")
+    assert got == [repr(tuple(r)) for r in answer.fetchall()]
