@@ -1,14 +1,16 @@
 """Centroid clustering over a vector approximation file.
 
 Components are whole numbers, ``floor(scale * x)``, and centroids exact floored means, so results are the same on every
-cluster. Vectors are stored once beside their approximation: four bits per dimension, the number of the cell that the
+cluster. Vectors are stored once beside their approximation: six bits per dimension, the number of the cell that the
 component lies in. Cells hold about equal shares of each dimension; their bounds come from exact counts of all vectors.
 
-In every round two tables of 256 entries for each byte of the approximation give, by look-up and addition, a lower and
-an upper bound of the distance to each centroid. A centroid stays open if its lower bound does not exceed the smallest
-upper bound; the full vector is fetched only where several are open. The sums of the clusters are carried along: a
-vector is fetched for them only if it may have changed its centroid since the last round. The first round and the final
-distances need every vector. A round is one pass without a shuffle but for one matrix of sums from each task.
+In every round a table of 64 entries per dimension gives, by look-up and addition, a lower and an upper bound of the
+distance to each centroid. What all distances of a vector have in common, its square, is left out, and places are taken
+from the middle of the centroids: so the width of an interval follows the centroid's distance from the middle, not the
+vector's. A centroid stays open if its lower bound does not exceed the smallest upper bound; the full vector is fetched
+only where several are open. The sums of the clusters are carried along: a vector is fetched for them only if it changed its
+centroid since the last round. The first round and the final distances need every vector. A round is one pass without a
+shuffle but for one matrix of sums from each task.
 
 Only vectors with exactly ``dims`` components, none null or non-finite, take part and are returned. ``floor(scale * x)``
 beyond 2^26 either way counts as that bound, so that distances fit into a long; an inertia that doesn't is null. Null
@@ -30,26 +32,26 @@ from aerolith.llm.matrices import blocks, gathered
 from aerolith.llm.tables import stored
 
 LARGEST = 1 << 26
-CELLS = 16  # cells of a dimension: four bits
-FINE = 200  # bins of the counts on either side of zero
+CELLS = 64  # cells of a dimension: six bits
+FINE = 736  # bins of the counts on either side of zero
 ROWS = 4096
 STORED = "vec_id long, cells binary, vector binary"
 
 
 def bin_of(values: np.ndarray) -> np.ndarray:
-    """Bins that grow with the distance from zero, eight to a power of two; monotone in the value."""
+    """Bins that grow with the distance from zero, 32 to a power of two; monotone in the value."""
     size = np.where(values < 0, -values - 1, values)
-    power = np.maximum(np.frexp(size.astype(np.float64))[1] - 1, 4).astype(np.int64)
-    code = np.where(size < 16, size, 16 + (power - 4) * 8 + ((size >> (power - 3)) & 7))
+    power = np.maximum(np.frexp(size.astype(np.float64))[1] - 1, 6).astype(np.int64)
+    code = np.where(size < 64, size, 64 + (power - 6) * 32 + ((size >> (power - 5)) & 31))
     return np.where(values < 0, FINE - 1 - code, FINE + code)
 
 
 def bin_starts() -> np.ndarray:
     """The smallest value of each bin, and the first value after the last bin."""
-    edges = list(range(17))
+    edges = list(range(65))
     while len(edges) <= FINE:
-        power = 4 + (len(edges) - 17) // 8
-        edges.append(edges[-1] + (1 << (power - 3)))
+        power = 6 + (len(edges) - 65) // 32
+        edges.append(edges[-1] + (1 << (power - 5)))
     return np.array([-e for e in edges[:0:-1]] + edges, np.int64)
 
 
@@ -65,26 +67,33 @@ def cell_bounds(counts: np.ndarray) -> np.ndarray:
 
 
 def cells_of(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Two cells in a byte."""
     cells = np.empty(values.shape, np.uint8)
     for d in range(values.shape[1]):
         cells[:, d] = np.searchsorted(bounds[d, 1:-1], values[:, d], side="right")
-    if values.shape[1] % 2:
-        cells = np.concatenate([cells, np.zeros((len(cells), 1), np.uint8)], axis=1)
-    return cells[:, ::2] | (cells[:, 1::2] << 4)
+    return cells
+
+
+def pack_cells(cells: np.ndarray) -> np.ndarray:
+    """Four cells in three bytes."""
+    padded = np.zeros((len(cells), -(-cells.shape[1] // 4) * 4), np.uint8)
+    padded[:, : cells.shape[1]] = cells
+    a, b, c, d = (padded[:, n::4] for n in range(4))
+    return np.stack([a | b << 6, b >> 2 | c << 4, c >> 4 | d << 2], axis=2).reshape(len(cells), -1)
+
+
+def unpack_cells(packed: np.ndarray, dims: int) -> np.ndarray:
+    x, y, z = (packed[:, n::3] for n in range(3))
+    cells = np.stack([x & 63, (x >> 6 | y << 2) & 63, (y >> 4 | z << 4) & 63, z >> 2], axis=2)
+    return cells.reshape(len(packed), -1)[:, :dims]
 
 
 def look_up_tables(bounds: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """(bytes, 256, 2 * centroids): what a byte of the approximation adds to all lower, then all upper bounds."""
-    low, high = bounds[:, None, :-1], bounds[:, None, 1:] - 1
-    at = centroids.T[:, :, None]
-    below = np.maximum(np.maximum(low - at, at - high), 0) ** 2
-    above = np.maximum(np.abs(at - low), np.abs(at - high)) ** 2
-    both = np.concatenate([below, above], axis=1).transpose(0, 2, 1)  # dimension, cell, bound
-    if len(both) % 2:
-        both = np.concatenate([both, np.zeros_like(both[:1])])
-    byte = np.arange(256)
-    return both[::2][:, byte & 15] + both[1::2][:, byte >> 4]
+    """(dimension, cell, 2 * centroids): what a cell adds to all lower, then all upper bounds."""
+    middle = centroids.sum(axis=0) // len(centroids)
+    low, high = (bounds[:, :-1] - middle[:, None])[:, None], (bounds[:, 1:] - 1 - middle[:, None])[:, None]
+    at = (centroids - middle).T[:, :, None]
+    ends = at * at - 2 * at * low, at * at - 2 * at * high  # linear in the component: its extremes are at the ends
+    return np.concatenate([np.minimum(*ends), np.maximum(*ends)], axis=1).transpose(0, 2, 1)
 
 
 def squared(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -115,18 +124,29 @@ class Approximation:
         several = np.flatnonzero(open_.sum(axis=1) > 1)
         if len(several):
             self.compared += len(several)
-            away = squared(vectors.fetch(several), self.centroids)
-            cluster[several] = np.where(open_[several], away, np.iinfo(np.int64).max).argmin(axis=1)
+            full, among = vectors.fetch(several), open_[several]
+            away = np.full(among.shape, np.iinfo(np.int64).max)
+            for n in range(len(self.centroids)):
+                mine = np.flatnonzero(among[:, n])
+                away[mine, n] = squared(full[mine], self.centroids[n : n + 1])[:, 0]
+            cluster[several] = away.argmin(axis=1)
         return cluster
 
 
+def _rows(column: pa.Array, width: int) -> np.ndarray:
+    """A binary column of equally long values as rows of bytes, without a copy."""
+    if not len(column):
+        return np.zeros((0, width), np.uint8)
+    _, offsets, data = column.buffers()
+    first = np.frombuffer(offsets, np.int32, 1, column.offset * 4)[0]
+    return np.frombuffer(data, np.uint8, len(column) * width, first).reshape(-1, width)
+
+
 class Vectors:
     """A binary column of vectors; rows are decoded when they are fetched."""
 
     def __init__(self, column: pa.Array, dims: int):
-        _, offsets, data = column.buffers()
-        first = np.frombuffer(offsets, np.int32, 1, column.offset * 4)[0] if len(column) else 0
-        self.rows = np.frombuffer(data, "<i4", len(column) * dims, first).reshape(-1, dims) if len(column) else np.zeros((0, dims), "<i4")
+        self.rows = _rows(column, 4 * dims).view("<i4")
 
     def fetch(self, rows: np.ndarray) -> np.ndarray:
         return self.rows[rows].astype(np.int64)
@@ -136,8 +156,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[pa.R
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             part = batch.slice(at, ROWS)
-            codes = Vectors(part.column("cells"), (dims + 7) // 8).rows.view(np.uint8)[:, : (dims + 1) // 2]
-            yield part, codes, Vectors(part.column("vector"), dims)
+            packed = _rows(part.column("cells"), -(-dims // 4) * 3)
+            yield part, unpack_cells(packed, dims), Vectors(part.column("vector"), dims)
 
 
 def _whole(column: pa.Array, dims: int, scale: int) -> np.ndarray:
@@ -167,10 +187,7 @@ def approximate(embeddings: DataFrame, dims: int = 64, scale: int = 64) -> tuple
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = _whole(batch.column("embedding"), dims, scale)
-            cells = cells_of(values, bounds)
-            padded = np.zeros((len(cells), 4 * ((dims + 7) // 8)), np.uint8)
-            padded[:, : cells.shape[1]] = cells
-            columns = [_binary(padded), _binary(values.astype("<i4"))]
+            columns = [_binary(pack_cells(cells_of(values, bounds))), _binary(values.astype("<i4"))]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), *columns], ["vec_id", "cells", "vector"])
 
     if bounds is None:
