@@ -78,6 +78,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(filesystem.globStatus(hadoop_path))
 
 
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to where another may be, which is deleted."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, source))
+    filesystem = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    filesystem.delete(old, True)
+    filesystem.mkdirs(old.getParent())
+    if not filesystem.rename(new, old):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

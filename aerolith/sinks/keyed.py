@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators.latest import latest_per_key
-from aerolith.session import delete_path, folders, path_exists
+from aerolith.session import delete_path, folders, path_exists, replace_path
 
 WRITER = "upsert_writer"
 _BATCH, _TURNS = "_batch", "_turns"
@@ -21,8 +22,8 @@ class KeyedTable:
     """One row per key, replaced column by column by upserts.
 
     Each writer has a folder of its own, partitioned by ``partition``, with one row for every key it ever gave. An
-    upsert joins its batch with the writer's rows of the touched partitions and overwrites just these
-    partitions (dynamic partition overwrite). Writers never touch each other's files, a batch may hold some of the
+    upsert joins its batch with the writer's rows of the touched partitions and replaces just these
+    partitions. Writers never touch each other's files, a batch may hold some of the
     columns (the others keep their values), and rows stay as many as keys, however many batches come.
 
     Order survives replay. A row keeps the number of the last batch of its writer that changed it; a batch with that
@@ -31,8 +32,9 @@ class KeyedTable:
     greatest turn where writers differ (at equal turns, the greater writer name). With ``newest`` columns a
     row is replaced as a whole, and only by one that is not older.
 
-    The merged partitions are written to a side folder first. If the driver is lost while they take their
-    place, the writer's next upsert puts them there before anything else; until then a reader may miss those partitions.
+    The merged partitions are written to a side folder first, then moved into place one by one. If the driver is lost
+    meanwhile, the writer's next upsert moves the others before anything else; a reader may miss a partition at
+    the moment of its move.
     ``spread`` tasks at most write one partition: a stream's batch often touches a single day.
     """
 
@@ -90,36 +92,49 @@ class KeyedTable:
             raise ValueError(f"a batch needs {sorted(missing)}")
         self.recover(spark, writer)
         given = [name for name in self.schema.names if name in batch.columns]
-        rows = latest_per_key(batch.select(*given), self.keys, self.newest).persist()
+        rows = batch.select(*given).persist()
         try:
-            # The partitions of one batch: days, or a fixed number of slots.
-            touched = [r[0] for r in rows.select(self.partition).distinct().collect()]
+            # The partitions of one batch, days or a fixed number of slots, and whether a key comes twice in it.
+            sizes = rows.groupBy(*dict.fromkeys((*self.keys, self.partition))).agg(F.count(F.lit(1)).alias("_n"))
+            touched = dict(sizes.groupBy(self.partition).agg(F.max("_n")).collect())
             if touched:
-                self._merge(spark, rows, touched, batch_id, writer)
+                one = latest_per_key(rows, self.keys, self.newest) if max(touched.values()) > 1 or self._loose else rows
+                self._merge(spark, one, list(touched), batch_id, writer)
         finally:
             rows.unpersist()
 
+    @property
+    def _loose(self) -> bool:
+        """Rows of one key may lie in several partitions."""
+        return self.partition not in self.keys and self.partition != SNAPSHOT_SLOT
+
     def _merge(self, spark: SparkSession, rows: DataFrame, touched: list, batch_id: int | None, writer: str) -> None:
         known = [v for v in touched if v is not None]
         inside = F.col(self.partition).isin(known)
         if len(known) < len(touched):
             inside = inside | F.col(self.partition).isNull()
-        turn, last = 0, -1
-        if folders(spark, f"{self.path}/{WRITER}=*"):
+        present = {unquote(path.rsplit("=", 1)[1]) for path in folders(spark, f"{self._folder(writer)}/{self.partition}=*")}
+        exists = any(("__HIVE_DEFAULT_PARTITION__" if v is None else str(v)) in present for v in touched)
+        writers = {path.rsplit("=", 1)[1] for path in folders(spark, f"{self.path}/{WRITER}=*")}
+        if writers <= {writer} and batch_id is not None:
+            turn, number = batch_id + 1, batch_id  # alone, the writer's numbers are turns
+        else:
             with_writer = T.StructType([*self._stored.fields, T.StructField(WRITER, T.StringType())])
-            seen = spark.read.schema(with_writer).parquet(self.path).where(inside)
-            mine = F.when(F.col(WRITER) == writer, F.col(_BATCH))
-            turn, last = seen.agg(F.max(F.array_max(_TURNS)), F.max(mine)).first()
-        turn, number = (turn or 0) + 1, (-1 if last is None else last) + 1 if batch_id is None else batch_id
-        exists = last is not None and last >= 0
+            turn, last = None, None
+            if writers:
+                seen = spark.read.schema(with_writer).parquet(self.path).where(inside)
+                mine = F.when(F.col(WRITER) == writer, F.col(_BATCH))
+                turn, last = seen.agg(F.max(F.array_max(_TURNS)), F.max(mine)).first()
+            number = (-1 if last is None else last) + 1 if batch_id is None else batch_id
+            turn = max(turn or 0, number) + 1
         merged = self._merged(spark, rows, inside, turn, number, writer) if exists else self._first(rows, turn, number)
         share = F.pmod(F.xxhash64(*self.keys), F.lit(self.spread))
-        dealt = merged.repartition(self.partition, share)
-        if not exists:
-            return self._overwrite(dealt, writer)
-        # What is there now would be gone if the driver were lost between the old partitions and the new ones.
-        dealt.write.mode("overwrite").parquet(self._pending(writer))
-        self.recover(spark, writer)
+        out = merged.repartition(self.partition, share).write.mode("overwrite").partitionBy(self.partition)
+        if exists:
+            out.option("partitionOverwriteMode", "static").parquet(self._pending(writer))
+            self.recover(spark, writer)
+        else:  # partitions that are new go to their place at once; a batch that broke there is given again
+            out.option("partitionOverwriteMode", "dynamic").parquet(self._folder(writer))
 
     def _first(self, rows: DataFrame, turn: int, number: int) -> DataFrame:
         turns = F.array(*[F.lit(turn if name in rows.columns else None).cast("long") for name in self._others])
@@ -148,15 +163,12 @@ class KeyedTable:
         marks = [F.when(applies, F.lit(number).cast("long")).otherwise(F.col(_BATCH)).alias(_BATCH), F.array(*turns).alias(_TURNS)]
         return old.join(new, same, "full_outer").select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in self.schema], *marks)
 
-    def _overwrite(self, rows: DataFrame, writer: str) -> None:
-        target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        target.partitionBy(self.partition).parquet(self._folder(writer))
-
     def recover(self, spark: SparkSession, writer: str) -> None:
-        """Put merged partitions in their place if they were written whole, and clear the side folder."""
+        """Move merged partitions into place if they were written whole, and clear the side folder."""
         pending = self._pending(writer)
         if path_exists(spark, f"{pending}/_SUCCESS"):
-            self._overwrite(spark.read.schema(self._stored).parquet(pending), writer)
+            for path in folders(spark, f"{pending}/{self.partition}=*"):
+                replace_path(spark, path, f"{self._folder(writer)}/{path.rsplit('/', 1)[1]}")
         delete_path(spark, pending)
 
     def copy_to(self, other: KeyedTable, spark: SparkSession) -> None:

@@ -172,7 +172,7 @@ def test_a_replayed_batch_does_not_undo_newer_rows(spark, table, rows_of):
 def test_traces_of_two_writers_with_replays_and_crashes(spark, tmp_path, monkeypatch):
     """Any trace leaves what a dictionary holds that applies each batch once, when it first comes."""
     schema = schemas._struct([("_id", schemas._S), ("date", schemas._S), ("v", schemas._D), ("w", schemas._D)])
-    overwrite = keyed.KeyedTable._overwrite
+    move = keyed.replace_path
     for seed in range(3):
         rng = random.Random(seed)
         table = keyed.series_table(str(tmp_path / f"trace{seed}"), schema)
@@ -191,17 +191,17 @@ def test_traces_of_two_writers_with_replays_and_crashes(spark, tmp_path, monkeyp
             batch = spark.createDataFrame(rows, ", ".join(["_id string", "date string", *[f"{n} double" for n in names]]))
             if not old and rng.random() < 0.4:
 
-                def lost(self, rows_, writer_):
+                def lost(spark_, source, target):
                     """The driver is lost when an old partition is gone and the new one not yet there."""
-                    if os.path.exists(f"{self._pending(writer_)}/_SUCCESS"):
-                        for day in {r.date for r in rows_.select("date").collect()}:
-                            shutil.rmtree(f"{self.path}/{keyed.WRITER}={writer_}/date={day}", ignore_errors=True)
+                    shutil.rmtree(target.removeprefix("file:"), ignore_errors=True)
                     raise RuntimeError("driver lost")
 
-                monkeypatch.setattr(keyed.KeyedTable, "_overwrite", lost)
-                with pytest.raises(RuntimeError, match="driver lost"):
+                monkeypatch.setattr(keyed, "replace_path", lost)
+                try:
                     table.upsert(batch, number, writer)
-                monkeypatch.setattr(keyed.KeyedTable, "_overwrite", overwrite)
+                except RuntimeError as error:
+                    assert str(error) == "driver lost"
+                monkeypatch.setattr(keyed, "replace_path", move)
             table.upsert(batch, number, writer)
             if not old:
                 for key, day, *values in rows:
