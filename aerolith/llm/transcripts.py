@@ -62,7 +62,7 @@ def line_features(text: str | None) -> list[tuple[str, int, tuple[int, ...], str
     lines = (text or "").split("\n")
     out = []
     for n, line in enumerate(lines):
-        marker = _MARKER.match(line)
+        marker = _MARKER.match(line) if ":" in line or "]" in line or ">" in line else None
         word = next(w for w in marker.groups() if w).lower() if marker else None
         features = (len(line).bit_length(), int(line.rstrip().endswith("?")), min(n, 3), min(len(lines), 5))
         out.append((line, marker.end() if marker else 0, features, word))
@@ -103,8 +103,11 @@ class RoleModel:
         best = np.where(np.eye(n) > 0, 0.0, -np.inf)
         rows = max(1, (1 << 20) // (n * n))
         for move, score in self.steps(texts):
-            parts = [(best[at : at + rows, :, None] + move[None]).max(axis=1) for at in range(0, n, rows)]
-            best = np.concatenate(parts) + score
+            if rows >= n:
+                best = (best[:, :, None] + move[None]).max(axis=1) + score
+            else:
+                parts = [(best[at : at + rows, :, None] + move[None]).max(axis=1) for at in range(0, n, rows)]
+                best = np.concatenate(parts) + score
         return best
 
     def path(self, texts: list[str | None], entry: int, last: int) -> list[int]:
