@@ -230,12 +230,13 @@ def locate(index: DataFrame, keys: DataFrame) -> DataFrame:
     return asked.hint("merge").join(index, "bucket").drop("bucket", "_part").mapInArrow(look_up, ENTRY)
 
 
-def read_keys(shards: DataFrame, index: DataFrame, keys: DataFrame, with_ids: bool = True) -> DataFrame:
-    """``doc_id, nth, start, n_tokens, ids_crc32`` and, if asked for, ``ids`` of each stored key."""
+def read_keys(shards: DataFrame, index: DataFrame, keys: DataFrame, with_ids: bool = True, many: bool = False) -> DataFrame:
+    """``doc_id, nth, start, n_tokens, ids_crc32`` and, if asked for, ``ids`` of each stored key. ``many`` spares the
+    look whether the keys are few."""
     spark = shards.sparkSession
     buckets = index.schema["bucket"].metadata["buckets"]
-    few = _bucketed(keys.select("doc_id", "nth"), buckets).limit(FEW + 1).collect()
-    if len(few) <= FEW:
+    few = None if many else _bucketed(keys.select("doc_id", "nth"), buckets).limit(FEW + 1).collect()
+    if few is not None and len(few) <= FEW:
         asked = spark.createDataFrame([(r.doc_id, r.nth) for r in few], "doc_id long, nth long")
         found = locate(index.where(F.col("bucket").isin(sorted({r.bucket for r in few}))), asked).collect()
         opened = sorted({r.shard for r in found})
@@ -275,4 +276,4 @@ def store_digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     index = build_index(shards)
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id")) - 1
     keys = docs.select(id_key().alias("doc_id")).withColumn("nth", nth.cast("long"))
-    return read_keys(shards, index, keys, with_ids=False).select(id_value("doc_id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    return read_keys(shards, index, keys, with_ids=False, many=True).select(id_value("doc_id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
