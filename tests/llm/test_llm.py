@@ -396,6 +396,42 @@ def test_edit_path_is_shortest():
         assert (x, y, cost) == (len(a), len(b), fuzzy_passages.edit_distance(a, b))
 
 
+def test_paths_by_diagonals_tables_and_halves_are_shortest(monkeypatch):
+    rng = random.Random(10)
+    for _ in range(1500):
+        monkeypatch.setattr(fuzzy_passages, "NEAR_EDITS", rng.choice([0, 2, 32]))
+        monkeypatch.setattr(fuzzy_passages, "TABLE", rng.choice([1, 50, 1 << 24]))
+        a = [rng.randint(0, 3) for _ in range(rng.randint(0, 25))]
+        b = [w for w in a if rng.random() > 0.1] + [9] * rng.randint(0, 2)
+        if rng.random() < 0.5:
+            b = [rng.randint(0, 3) for _ in range(rng.randint(0, 25))]
+        x = y = cost = 0
+        for da, db in fuzzy_passages.word_path(a, b):
+            cost += not (da and db and a[x] == b[y])
+            x, y = x + da, y + db
+        assert (x, y, cost) == (len(a), len(b), fuzzy_passages.edit_distance(a, b))
+
+
+def test_rows_left_out_before_alignment_hold_no_passage():
+    rng, held, tried = random.Random(3), 0, 0
+    for _ in range(150):
+        sides = ([], [])
+        for _ in range(rng.randint(1, 12)):
+            words, edits = [rng.randint(0, 300) for _ in range(rng.randint(0, 90))], rng.choice([0, 0.1, 0.18, 0.25, 0.4, 0.9])
+            other = []
+            for word in words:
+                new = rng.randint(0, 300)
+                other += rng.choice([[], [new], [word, new]]) if rng.random() < edits else [word]
+            sides[0].append(words)
+            sides[1].append(other)
+        flat = [x for side in sides for x in (np.array(sum(side, []), np.int64), np.repeat(np.arange(len(side)), [len(w) for w in side]))]
+        kept = set(fuzzy_passages._may_align(*flat, 40, 0.8)) & set(fuzzy_passages._may_align(*flat[2:], *flat[:2], 32, 0.8))
+        want = {r for r, (a, b) in enumerate(zip(*sides, strict=True)) if fuzzy_passages.align(a, b, 40, 0.8)}
+        assert want <= kept
+        held, tried = held + len(want), tried + len(kept)
+    assert 0 < held <= tried < 1.3 * held
+
+
 def test_edit_distance_agrees_with_the_table_method():
     rng = random.Random(6)
     for _ in range(100):
