@@ -385,6 +385,30 @@ def test_passages_of_long_words_keep_their_ends(spark):
     assert sorted((r.doc_id, r.start, r.end, r.ref_start, r.ref_end) for r in rows) == [(i, 100, 140, 100, 140) for i in want]
 
 
+def test_changed_passages_of_common_seeds(spark):
+    """Each run of six words of the passage stands in more documents than places that a seed is matched with, before
+    and after the only document that holds the passage itself."""
+    rng = random.Random(11)
+
+    def filler(n):
+        return [f"f{rng.getrandbits(40)}" for _ in range(n)]
+
+    texts, want = {}, []
+    for case in range(4):
+        runs = [[f"p{case}x{r}x{i}" for i in range(6)] for r in range(8)]
+        passage = [word for run in runs for word in [*run, *filler(1)]]
+        edited = [word for run in runs for word in [*run, *filler(1)]]
+        n = 1000 * case
+        for held in ([[*r, *filler(30)] for _ in range(12) for r in runs], [passage], [[*r, *filler(30)] for _ in range(12) for r in runs], [edited]):
+            for words in held:
+                texts[n] = " ".join(filler(20) + words + filler(20))
+                n += 1
+        want.append((n - 1, 1000 * case + 96))
+    rows = fuzzy_passages.fuzzy_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.ref_doc_id) for r in sorted(rows)] == want
+    assert all(covered(rows, doc, 20, 75) == 1 for doc, _ in want)
+
+
 def test_edit_path_is_shortest():
     rng = random.Random(9)
     for _ in range(300):
