@@ -78,17 +78,17 @@ def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     signed = dimension + DIMENSIONS * sign
     totals = np.zeros(WORDS * 2 * DIMENSIONS, np.int64)
     for batch in batches:
-        for part in sliced(batch, "text", 1 << 21):
+        for part in sliced(batch, "text", 1 << 19):
             rows, shape, text = word_rows(*text_bytes(part.column("text")))
-            keys = []
+            # Counted one list of keys after the other: a task holds one of them beside the totals.
             for step in range(1, REACH + 1):
                 near = text[step:] == text[:-step]
                 for here, there in ((rows[:-step], rows[step:]), (rows[step:], rows[:-step])):
                     for k in range(NONZERO):
-                        keys.append((here * (2 * DIMENSIONS) + signed[there, k])[near])
+                        np.add.at(totals, (here * (2 * DIMENSIONS) + signed[there, k])[near], 1)
             for k in range(NONZERO):  # the shape is a neighbour of its word, and the word of its shape
-                keys += [rows * (2 * DIMENSIONS) + signed[shape, k], shape * (2 * DIMENSIONS) + signed[rows, k]]
-            totals += np.bincount(np.concatenate(keys), minlength=len(totals))
+                np.add.at(totals, rows * (2 * DIMENSIONS) + signed[shape, k], 1)
+                np.add.at(totals, shape * (2 * DIMENSIONS) + signed[rows, k], 1)
     cells = totals.reshape(WORDS, 2, DIMENSIONS)
     yield from blocks("context", cells[:, 0] - cells[:, 1])
 
@@ -113,10 +113,14 @@ def pooled(vectors: np.ndarray, column: pa.Array) -> np.ndarray:
     firsts = np.concatenate([[0], np.cumsum(counts)])
     for begin in range(0, len(column), 256):  # counts of words by text, times the vectors
         end = min(begin + 256, len(column))
-        part = slice(firsts[begin], firsts[end])
         for half, named, size in ((0, rows, WORDS), (DIMENSIONS, shape, _SHAPES)):
-            cells = np.bincount((text[part] - begin) * size + named[part], minlength=(end - begin) * size)
-            means[begin:end, half : half + DIMENSIONS] = cells.reshape(-1, size).astype(np.float32) @ vectors[:size]
+            cells = np.empty((end - begin, size), np.float32)
+            for low in range(begin, end, 32):  # the whole numbers of a few texts at a time
+                high = min(low + 32, end)
+                part = slice(firsts[low], firsts[high])
+                counted = np.bincount((text[part] - low) * size + named[part], minlength=(high - low) * size)
+                cells[low - begin : high - begin] = counted.reshape(-1, size)
+            means[begin:end, half : half + DIMENSIONS] = cells @ vectors[:size]
     return means / np.maximum(counts, 1)[:, None].astype(np.float32)
 
 

@@ -8,6 +8,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter
@@ -520,6 +521,17 @@ def plain_features(texts):
     return vectors, features
 
 
+def test_context_counts_take_little_memory():
+    rng = random.Random(12)
+    text = " ".join(f"w{rng.randrange(3000)}" for _ in range(900))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 1000)], ["text"])
+    tracemalloc.start()
+    list(quality._context(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6
+
+
 def test_quality_by_plain_loops(spark, docs):
     """Vectors, pooling and the network's output, each against its definition, on whole documents."""
     labels = table(spark, DATA, "labels")
