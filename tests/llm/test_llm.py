@@ -34,6 +34,7 @@ from aerolith.llm import (
 )
 from aerolith.llm.bpe import Encoder, vocabulary_path
 from aerolith.llm.components import components
+from aerolith.llm.packed import pack, unpack
 from aerolith.llm.tables import table
 
 DATA = "/root/testdata/sf0.001"
@@ -410,6 +411,60 @@ def test_changed_passages_of_common_seeds(spark):
     assert all(covered(rows, doc, 20, 75) == 1 for doc, _ in want)
 
 
+def test_packed_rows_are_the_same_rows():
+    rng = np.random.default_rng(1)
+    ends = [-(1 << 63), (1 << 63) - 1, 0, -1]
+    for n in (1, 2, 300):
+        table = np.stack([np.sort(rng.integers(0, 1 << 48, n)), rng.choice(ends, n), rng.integers(-9, 9, n), np.zeros(n, np.int64)])
+        assert (unpack(pack(table), 4) == table).all()
+
+
+def test_seeds_are_dealt_in_few_bytes_and_only_shared_ones_are_matched(spark):
+    """A seed was a row of three 64-bit numbers in the shuffle, whether another document holds it or not."""
+    rng = random.Random(12)
+    line = [f"line{i}" for i in range(9)]
+    texts = [(i, " ".join([f"w{rng.randint(0, 20000)}" for _ in range(300)] + (line if i % 3 else [])) + "  ") for i in range(200)]
+    texts += [(300, texts[0][1] + "end"), (300, texts[5][1]), (None, None)]
+    batch = spark.createDataFrame(texts, "doc_id long, text string").fillna({"doc_id": -5}).toArrow().to_batches()
+    packs = sorted((b for p in fuzzy_passages._seeds(iter(batch), 4, 16) for b in p.to_pylist()), key=lambda r: r["part"])
+    brute, n = {}, 0
+    for doc, text in texts:
+        words = [(m.start(), m.group()) for m in re.finditer(r"[^ ]+", text or "")]
+        for i in range(len(words) - 3):
+            brute.setdefault(tuple(w for _, w in words[i : i + 4]), []).append((doc, (i << 32) | words[i][0]))
+            n += 1
+    assert sum(len(r["packed"]) for r in packs) < 10 * n
+    # The parts of a seed may come in several batches.
+    batches = (pa.RecordBatch.from_pylist(packs[i : i + 5]) for i in range(0, len(packs), 5))
+    got = {}
+    for found in fuzzy_passages._shared(batches):
+        for r in found.to_pylist():
+            got.setdefault(r["seed"], []).append((r["doc_id"], r["place"]))
+    want = [sorted(v) for v in brute.values() if len({doc for doc, _ in v}) > 1]
+    assert len(want) > 300 and sorted(map(sorted, got.values())) == sorted(want)
+
+
+def test_partners_of_every_place_across_chunks(monkeypatch):
+    rng = random.Random(13)
+    for chunk in (1, 7, 1 << 17):
+        monkeypatch.setattr(fuzzy_passages, "CHUNK", chunk)
+        rows = sorted({(seed, rng.randint(0, 9 if seed else 40), (rng.randint(0, 30) << 32) | rng.randint(0, 500)) for seed in range(12) for _ in range(rng.randint(1, 60))})
+        table = pa.table({c: [r[i] for r in rows] for i, c in enumerate(("seed", "doc_id", "place"))})
+        packed = list(fuzzy_passages._partners(iter(table.to_batches(13)), 3, 1, True, 5))
+        both = [[b for b in packed if b.column("weight")[0].as_py() == w] for w in (0, 1)]
+        places = [tuple(r.values()) for b in fuzzy_passages._unpack_places(iter(both[0])) for r in b.to_pylist()]
+        matches = [tuple(r.values()) for b in fuzzy_passages._unpack_matches(iter(both[1])) for r in b.to_pylist()]
+        held, want = {}, []
+        for seed, doc, place in rows:
+            held.setdefault(seed, []).append((doc, place))
+        for group in held.values():
+            for doc, place in group:
+                before = [r for r in group if r[0] < doc]
+                want += [(doc, ref, place, other, 1) for ref, other in before[-3:] + (before[:1] if len(before) > 3 else [])]
+        assert sorted(matches) == sorted(want)
+        assert sorted(places) == sorted(r for r in rows if len({doc for doc, _ in held[r[0]]}) > 1)
+
+
 def test_edit_path_is_shortest():
     rng = random.Random(9)
     for _ in range(300):
