@@ -318,6 +318,39 @@ def test_every_repeated_run_of_fifty_words_is_in_a_passage(docs, raw):
                 assert any(a <= p + 2 and p + 48 <= b for a, b in found[i]), (i, p)
 
 
+def test_stretches_meet_where_the_texts_around_may_hold_a_passage():
+    """Three hundred texts with one common line: only pairs whose surroundings allow a passage are matched, and all of
+    those that have one, across blocks too."""
+    rng = random.Random(12)
+    line = [f"c{i}" for i in range(13)]
+    sides = [[f"s{n}x{i}" for i in range(60)] for n in range(40)]
+    texts = []
+    for doc in range(300):
+        around = [f"f{rng.getrandbits(40)}" for _ in range(60)]
+        if doc % 3 == 0:  # a changed copy of one of the surroundings
+            around = [w if rng.random() < rng.choice([0.6, 0.75, 0.9]) else f"f{rng.getrandbits(40)}" for w in rng.choice(sides)]
+        texts.append([*around[:30], *line, *around[30:]])
+    rows = []
+    for doc, words in enumerate(texts):
+        start = len(" ".join(words[:30])) + 1
+        row = {"seed": 5, "doc_id": doc, "x0": 30, "b0": start, "x1": 39, "from0": 0, "more0": 0, "mine": " ".join(words).encode()}
+        block = rng.randrange(2)
+        rows += [row | {"block": block, "low": min(block, other), "high": max(block, other)} for other in range(2)]
+    rows.sort(key=lambda r: (r["low"], r["high"], r["doc_id"]))
+    got = {}
+    for batch in fuzzy_passages._meet(iter(pa.Table.from_pylist(rows).to_batches(101)), 40, 0.8, 7):
+        for found in fuzzy_passages._unpack_matches(iter([batch])):
+            for r in found.to_pylist():
+                got.setdefault((r["doc_id"], r["ref"]), []).append((r["place"], r["ref_place"]))
+    pairs = [(a, b) for a in range(300) for b in range(a) if a % 3 == 0 == b % 3]
+    want = {(a, b) for a, b in pairs if fuzzy_passages.align(texts[a], texts[b], 40, 0.8)}
+    assert len(want) > 20 and want <= set(got)
+    assert len(got) < 300 and all(a % 3 == 0 == b % 3 for a, b in got)
+    for (a, b), found in got.items():
+        ends = [[(w << 32) | len(" ".join([*texts[d][:w], ""])) for w in (30, 39)] for d in (a, b)]
+        assert sorted(found) == sorted(zip(*ends, strict=True))
+
+
 def covered(rows, doc, start, end):
     """Largest share of the words ``start`` to ``end`` of a document that one passage covers."""
     spans = [(r.start, r.end) for r in rows if r.doc_id == doc]
