@@ -5,11 +5,12 @@ without words the set is empty and links with nothing). Two documents link when
 ``limit[1] * |A and B| >= limit[0] * |A or B|``; components follow links.
 
 1. Equal sets are one class from the start, so exact copies cost one row each.
-2. Every class has a prefix: its smallest shingle hashes, so many that two linked classes share at least
-   ``need`` of them. A class whose prefix meets the prefixes of *all* others in fewer shingles cannot qualify for
-   any group and leaves; so does one that falls short within its band of set sizes. The rarest shared
-   shingles of those left, all but ``need - 1``, connect classes of a band into groups: linked classes are
-   always in one group, and no pair is emitted.
+2. Every class has a prefix: its rarest shingles, so many that two linked classes share at least ``need`` of them.
+   Any order that all classes have in common is exact; this one goes by how often the words of a shingle occur (the
+   rarest word, then all of them, then the hash), so that classes do not meet by frequent words. A class whose prefix
+   meets the prefixes of *all* others in fewer shingles cannot qualify for any group and leaves; so does one that
+   falls short within its band of set sizes. The rarest shared shingles of those left, all but ``need - 1``,
+   connect classes of a band into groups: linked classes are always in one group, and no pair is emitted.
 3. A group is stored in blocks of bounded size: the union of its shingles and, for each member, its row of
    the token-group matrix (places in that union). The pairs of blocks of a large group are dealt as square tiles:
    a task takes the blocks of two edges of a tile, so with B blocks in a group each block is sent about
@@ -37,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.llm import matrices
 from aerolith.llm.arrays import SPACES, hash_terms, list_array, mix, ragged, sliced, split_words, text_bytes
 from aerolith.llm.components import components
 from aerolith.llm.tables import id_key, id_value, stored, texts
@@ -44,15 +46,36 @@ from aerolith.llm.tables import id_key, id_value, stored, texts
 MEMBERS = 256
 SHINGLES = 1 << 17
 TILE = 16
+CELL_BITS = 20
 SKETCH = "row long, doc_id long, mark long, n_shingles long, class binary, need int, prefix array<long>"
 GROUP = "group long, block int, n_blocks int, classes binary, copies binary, sizes binary, shingles binary, matrix binary"
 LINKS = "class long, with long, n_links long"
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << CELL_BITS, np.int64)
+    for batch in batches:
+        for part in sliced(batch, "text"):
+            split = split_words(*text_bytes(part.column("text")), SPACES)
+            if len(split.codes):
+                total += np.bincount(_cell(hash_terms(split.terms))[split.codes], minlength=len(total))
+    yield from matrices.blocks("words", total)
+
+
+def _cell(hashed: np.ndarray) -> np.ndarray:
+    return (hashed >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def word_levels(docs: DataFrame) -> np.ndarray:
+    """How often the words of each hash cell occur in all texts, in quarters of a power of two: one table of fixed size."""
+    found = matrices.gathered(docs.select("text").mapInArrow(_word_counts, matrices.BLOCKS), 1 << CELL_BITS)
+    return np.rint(4 * np.log2(1 + found.get("words", np.zeros(1 << CELL_BITS, np.int64)))).astype(np.uint8)
+
+
 class ShingleSets:
-    """Sorted distinct shingle hashes of each row of a text column."""
+    """Sorted distinct shingle hashes of each row of a text column; with ``levels`` of words also the order of a prefix."""
 
-    def __init__(self, column: pa.Array, words: int):
+    def __init__(self, column: pa.Array, words: int, levels: np.ndarray | None = None):
         from xxhash import xxh3_128_digest
 
         split = split_words(*text_bytes(column), SPACES)
@@ -67,36 +90,57 @@ class ShingleSets:
             word = np.where(place < last, hashed[np.minimum(place, len(hashed) - 1)], np.uint64(0))
             value = mix(value * np.uint64(3) + word)
         ends = np.cumsum(size)
-        for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True):
-            value[a:b].sort()
+        spans = list(zip((ends - size).tolist(), ends.tolist(), strict=True))
+        if levels is None:
+            for a, b in spans:
+                value[a:b].sort()
+        else:
+            order = np.concatenate([np.zeros(0, np.int64), *(a + np.argsort(value[a:b]) for a, b in spans)])
+            level, least, total = levels[_cell(hashed)].astype(np.int64), np.full(len(at), 255), np.zeros(len(at), np.int64)
+            for step in range(words):
+                place = at + step
+                word = level[np.minimum(place, len(level) - 1)]
+                least = np.where(place < last, np.minimum(least, word), least)
+                total += np.where(place < last, word, 0)
+            rarity = ((least << 16) | np.minimum(total, 0xFFFF)).astype(np.uint64)[order]
+            value = value[order]
         new = np.ones(len(value), bool)
         new[1:] = value[1:] != value[:-1]
         new[(ends - size)[size > 0]] = True
         self.values = value[new].view(np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(new)])[np.concatenate([[0], ends])]
         self.sizes = np.diff(self.offsets)
+        if levels is not None:
+            # Ties go by the whole hash: values are sorted, and a prefix sorts its keys stably.
+            self.keys = (rarity[new] << np.uint64(40)) | (value[new] >> np.uint64(24))
         raw = self.values.tobytes()
         self.classes = [
             xxh3_128_digest(raw[8 * a : 8 * b]) if b > a else None
             for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist(), strict=True)
         ]
 
+    def rarest(self, length: np.ndarray) -> np.ndarray:
+        """The first ``length`` values of each row in the order that all rows have in common."""
+        spans = zip(self.offsets[:-1].tolist(), length.tolist(), self.offsets[1:].tolist(), strict=True)
+        places = [a + np.argsort(self.keys[a:b], kind="stable")[:n] for a, n, b in spans]
+        return self.values[np.concatenate([np.zeros(0, np.int64), *places])]
+
 
 def _extra(size: np.ndarray, limit: tuple[int, int]) -> np.ndarray:
     """How many prefix shingles linked classes share at least, by the smaller size."""
     return 1 + size * (limit[1] - limit[0]) // (2 * limit[1])
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], words: int, limit: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], words: int, limit: tuple[int, int], levels: np.ndarray) -> Iterator[pa.RecordBatch]:
     number = itertools.count(TaskContext.get().partitionId() << 36)
     for batch in batches:
         for part in sliced(batch, "text"):
-            sets = ShingleSets(part.column("text"), words)
+            sets = ShingleSets(part.column("text"), words, levels)
             least = -(-sets.sizes * limit[0] // limit[1])  # shingles that any linked set shares
             length = np.minimum(sets.sizes - least + _extra(sets.sizes, limit), sets.sizes)
             # A linked set has at least ``least`` shingles itself; so much is shared inside both prefixes.
             need = np.minimum(_extra(least, limit), np.maximum(least, 1))
-            flat = sets.values[ragged(sets.offsets[:-1], length)]
+            flat = sets.rarest(length)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([next(number) for _ in range(part.num_rows)], pa.int64()), part.column("doc_id"), part.column("mark"),
@@ -114,17 +158,23 @@ def _size_band(size: str, limit: tuple[int, int]) -> Column:
 
 def _groups(sketches: DataFrame, classes: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """``class, group`` of the classes that may link with another one."""
-    # Only sets of like size can link, so all counts are within bands of sizes, each set in its own and the next.
-    # One shuffle by shingle serves the counts of all bands.
-    band = F.posexplode(F.array("_band", F.col("_band") + 1)).alias("_nth", "band")
-    held = (
+    # Only sets of like size can link, so all counts are within bands of sizes, each set in its own and the next: a band
+    # counts its own sets and those one band below. One shuffle by shingle serves all bands, one row a class and shingle goes on.
+    like = Window.partitionBy("shingle").orderBy("_band")
+    # Differences of running counts: such windows hold no rows, however many share a shingle.
+    upto = [F.count(F.lit(1)).over(like.rangeBetween(Window.unboundedPreceding, n)) for n in (-2, -1, 0, 1)]
+    counted = (
         sketches.join(classes.select(F.col("_class").alias("row")), "row", "left_semi")
         .withColumn("_band", _size_band("n_shingles", limit))
-        .select(F.col("row").alias("class"), F.struct("need", "_band").alias("_set"), F.explode("prefix").alias("shingle"))
-        .repartition("shingle")
-        .select("class", "shingle", "_set.*")
-        .select("class", "shingle", "need", band)
-        .withColumn("_held", F.count(F.lit(1)).over(Window.partitionBy("shingle", "band")))
+        .select(F.col("row").alias("class"), "need", "_band", F.explode("prefix").alias("shingle"))
+        .select("*", (upto[2] - upto[0]).alias("_own"), (upto[3] - upto[1]).alias("_next"))
+        .where("_own > 1 OR _next > 1")
+    )
+    bands = F.array(F.struct(F.col("_band").alias("band"), F.col("_own").alias("_held")), F.struct((F.col("_band") + 1).alias("band"), F.col("_next").alias("_held")))
+    held = (
+        counted.repartition("class")
+        .withColumn("_at", F.explode(bands))
+        .select("class", "shingle", "need", "_at.*")
         .where("_held > 1")
     )
     one = Window.partitionBy("class", "band")
@@ -278,7 +328,8 @@ def _tiles(blocks: DataFrame, limit: tuple[int, int]) -> DataFrame:
 def _resolved(docs: DataFrame, words: int, limit: tuple[int, int]) -> DataFrame:
     """One row per document: its id, the hash of its text, its class and component (null without words) and its links."""
     rows = texts(docs).select(id_key().alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    sketches = stored(rows.mapInArrow(lambda b: _sketches(b, words, limit), SKETCH), "sketches")
+    levels = docs.sparkSession.sparkContext.broadcast(word_levels(rows))
+    sketches = stored(rows.mapInArrow(lambda b: _sketches(b, words, limit, levels.value), SKETCH), "sketches")
     classes = stored(
         sketches.where("class IS NOT NULL")
         .groupBy("class")

@@ -261,6 +261,29 @@ def test_large_groups_are_met_block_by_block(spark, monkeypatch):
     assert {r.component_id for r in got} == {0} and all(r.n_links >= 1 for r in got)
 
 
+def test_frequent_words_bring_no_texts_together(spark, monkeypatch):
+    """Groups hold copies, not all texts that share some run of frequent words."""
+    rng, found = random.Random(5), {}
+    frequent = [f"f{i}" for i in range(20)]
+
+    def text(i):
+        words = rng.choices(frequent, k=20)
+        return " ".join([*words[:9], f"own{i}", f"rare{i}", *words[9:]])
+
+    rows = [(i, text(i)) for i in range(600)]
+    rows += [(1000 + i, f"{rows[i][1]} more{i}") for i in range(7)]
+    stored = jaccard_join.stored
+
+    def kept(df, label, **options):
+        found[label] = stored(df, label, **options)
+        return found[label]
+
+    monkeypatch.setattr(jaccard_join, "stored", kept)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, (90, 100)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 1000 for i, _ in rows}
+    assert found["members"].count() == 14
+
+
 def test_rows_are_kept_by_id_and_text(spark):
     """Null and repeated ids: one row of each component stays, and only contaminated rows go."""
     passage = " ".join(f"word{i}" for i in range(30))
